@@ -269,23 +269,23 @@ def enrich_service_alerts(spark, d):
     return enrich.enrich_service_alerts(rows, FIXED_NOW).drop("ingested_at")
 
 
-def _entities(spark: SparkSession, d: str) -> DataFrame:
-    return feed_json.feed_entities(ad.feed_responses(_events(spark, d)))
+def _entities(spark: SparkSession, d: str, part: str) -> DataFrame:
+    return feed_json.feed_entities(ad.feed_responses(_events(spark, d)), part)
 
 
 @query
 def feed_json_positions(spark, d):
-    return feed_json.positions_from_feed(_entities(spark, d))
+    return feed_json.positions_from_feed(_entities(spark, d, "vehicle"))
 
 
 @query
 def feed_json_trip_updates(spark, d):
-    return feed_json.trip_updates_from_feed(_entities(spark, d))
+    return feed_json.trip_updates_from_feed(_entities(spark, d, "trip_update"))
 
 
 @query
 def feed_json_alerts(spark, d):
-    return feed_json.service_alerts_from_feed(_entities(spark, d), FIXED_NOW)
+    return feed_json.service_alerts_from_feed(_entities(spark, d, "alert"), FIXED_NOW)
 
 
 # -- detections ------------------------------------------------------------------------

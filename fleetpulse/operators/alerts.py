@@ -10,7 +10,7 @@ from fleetpulse.functions.keys import natural_key
 from fleetpulse.functions.timecols import flexible_ts
 from fleetpulse.operators.dedup import keep_first
 from fleetpulse.sources.messages import payload_text, to_messages
-from fleetpulse.sources.tables import read_if_present
+from fleetpulse.sources.tables import per_folder, read_if_present
 
 # Fields by which a message shows what it is, and the alert type names.
 _TEXT_FIELDS = (
@@ -136,6 +136,6 @@ def upsert_alerts(
             rows = fresh
         else:
             rows = unseen(fresh, read_if_present(spark, path, fmt), prune_by_date)
-        rows.write.format(fmt).mode("append").partitionBy("event_date").save(path)
+        per_folder(rows, "event_date").write.format(fmt).mode("append").partitionBy("event_date").save(path)
     finally:
         fresh.unpersist()

@@ -92,37 +92,43 @@ RULES: dict[str, list[Rule]] = {
 def check(df: DataFrame, table: str, rules: Sequence[Rule] | None = None) -> DataFrame:
     """Violations per rule: (table_name, column_name, rule, violations).
 
-    Uniqueness counts the values that occur more than once and needs one shuffle per column,
-    with copies counted before it; everything else shares one aggregate.
+    All rules are counted in one pass. Uniqueness means values that occur more than once, so
+    where it is asked for, everything is counted per value first, with copies folded before
+    the one shuffle. A second unique column takes a pass of its own.
     """
     rules = RULES[table] if rules is None else list(rules)
+    keys = [r for r in rules if r.kind == "unique"]
     simple = [r for r in rules if r.kind != "unique"]
-
-    def report(counts: DataFrame, checked: Sequence[Rule]) -> DataFrame:
-        lines = [
-            F.struct(
-                F.lit(table).alias("table_name"),
-                F.lit(r.column).alias("column_name"),
-                F.lit(r.label).alias("rule"),
-                F.col(f"v{i}").alias("violations"),
-            )
-            for i, r in enumerate(checked)
-        ]
-        return counts.select(F.inline(F.array(*lines)))
-
-    parts = []
-    if simple:
-        counts = df.agg(*[F.count_if(r.violated()).alias(f"v{i}") for i, r in enumerate(simple)])
-        parts.append(report(counts, simple))
-    for rule in (r for r in rules if r.kind == "unique"):
-        copies = df.where(F.col(rule.column).isNotNull()).groupBy(rule.column).count()
-        parts.append(report(copies.agg(F.count_if(F.col("count") > 1).alias("v0")), [rule]))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
+    result = _report(table, df, simple, keys[0] if keys else None)
+    for key in keys[1:]:
+        result = result.unionByName(_report(table, df, [], key))
     return result
 
 
+def _report(table: str, df: DataFrame, simple: Sequence[Rule], key: Rule | None) -> DataFrame:
+    bad = {r: f"v{i}" for i, r in enumerate(simple)}
+    counts = [F.count_if(r.violated()).alias(name) for r, name in bad.items()]
+    if key is None:
+        totals = df.agg(*counts)
+    else:
+        per_value = df.groupBy(F.col(key.column).alias("value")).agg(F.count(F.lit(1)).alias("copies"), *counts)
+        repeated = F.count_if(F.col("value").isNotNull() & (F.col("copies") > 1))
+        # An empty table has no groups: its sums are null, its violations zero.
+        sums = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in bad.values()]
+        totals = per_value.agg(*sums, repeated.alias("repeated"))
+        bad[key] = "repeated"
+    lines = [
+        F.struct(
+            F.lit(table).alias("table_name"),
+            F.lit(r.column).alias("column_name"),
+            F.lit(r.label).alias("rule"),
+            F.col(name).alias("violations"),
+        )
+        for r, name in bad.items()
+    ]
+    return totals.select(F.inline(F.array(*lines)))
+
+
 def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, non-null count, mean, deviation, minimum and maximum per numeric column, in one pass."""
     stats = df.agg(

@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.sources.tables import read_if_present
+from fleetpulse.sources.tables import per_folder, read_if_present
 
 
 @dataclass(frozen=True)
@@ -43,9 +43,9 @@ class Mart:
         if not self.path and mode == "overwrite" and options and df.sparkSession.catalog.tableExists(self.identifier):
             # Dynamic partition overwrite of a catalog table goes through insertInto, which is positional.
             columns = df.sparkSession.table(self.identifier).columns
-            df.select(*columns).write.mode("overwrite").options(**options).insertInto(self.identifier)
+            per_folder(df.select(*columns), self.date_col).write.mode("overwrite").options(**options).insertInto(self.identifier)
             return
-        writer = df.write.format(self.fmt).mode(mode).options(**options).partitionBy(self.date_col)
+        writer = per_folder(df, self.date_col).write.format(self.fmt).mode(mode).options(**options).partitionBy(self.date_col)
         if self.path:
             writer.save(self.path)
         else:

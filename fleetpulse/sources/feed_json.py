@@ -4,13 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetpulse.contracts import FEED_RESPONSE
 
+_PARTS = ("vehicle", "trip_update", "alert")
 
-def feed_entities(responses: DataFrame, value: str = "value") -> DataFrame:
-    """One row per entity of every response."""
-    parsed = responses.select(F.from_json(F.col(value).cast("string"), FEED_RESPONSE).alias("doc"))
+
+def _response_schema(parts: tuple[str, ...]) -> T.StructType:
+    """The response schema with only the named entity parts; the parser skips the others."""
+    entity = FEED_RESPONSE["response"].dataType["entity"].dataType.elementType
+    kept = T.StructType([f for f in entity.fields if f.name not in _PARTS or f.name in parts])
+    body = T.StructType([T.StructField("entity", T.ArrayType(kept))])
+    return T.StructType([T.StructField("response", body)])
+
+
+def feed_entities(responses: DataFrame, *parts: str, value: str = "value") -> DataFrame:
+    """One row per entity of every response.
+
+    Name the parts that are used (``vehicle``, ``trip_update``, ``alert``): columns are not
+    pruned through the exploded array, so this is what keeps unused ones from being parsed.
+    """
+    schema = _response_schema(parts or _PARTS)
+    parsed = responses.select(F.from_json(F.col(value).cast("string"), schema).alias("doc"))
     return parsed.select(F.explode("doc.response.entity").alias("entity"))
 
 

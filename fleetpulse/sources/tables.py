@@ -27,6 +27,17 @@ def read_if_present(spark: SparkSession, path: str, fmt: str = "parquet") -> Dat
         raise
 
 
+def per_folder(df: DataFrame, *partitions: str) -> DataFrame:
+    """Rows grouped by target folder for a partitioned write, so a folder gets few files.
+
+    A rebalance also splits a folder that holds too much for one task. It needs AQE; without
+    it (inside a stream's triggers) the rows are written as they lie.
+    """
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+        return df
+    return df.hint("rebalance", *partitions)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
