@@ -86,17 +86,17 @@ def clock_seconds(clock: Column) -> Column:
     return part(0) * 3600 + part(1) * 60 + part(2)
 
 
-def _epoch_text(text: Column, number: str) -> Column:
+def _epoch_text(text: Column) -> Column:
     """Instant of a text of epoch seconds, null for other text.
 
     The pattern comes first because a failing number cast is an exception inside, and slow.
     """
-    return F.when(text.rlike(r"^\s*[+-]?\d+(\.\d*)?\s*$"), F.timestamp_seconds(text.try_cast(number)))
+    return F.when(text.rlike(r"^\s*[+-]?\d+(\.\d*)?\s*$"), F.timestamp_seconds(text.try_cast("double")))
 
 
 def flexible_ts(text: Column) -> Column:
     """Text holding either epoch seconds or an ISO time, as an instant."""
-    return F.coalesce(_epoch_text(text, "bigint"), text.try_cast("timestamp"))
+    return F.coalesce(_epoch_text(text), text.try_cast("timestamp"))
 
 
 DISPLAY_PATTERN = "yyyy-MM-dd HH:mm:ss"
@@ -113,7 +113,7 @@ def display_time(text: Column, zone: str = LOCAL_ZONE, pattern: str = DISPLAY_PA
     """
     raw = text.cast("string")
     zoned = raw.rlike(r"(Z|[+-]\d{2}:?\d{2})$")
-    epoch = _epoch_text(raw, "double")
+    epoch = _epoch_text(raw)
     parsed = raw.try_cast("timestamp")
     wall = (
         F.when(epoch.isNotNull(), local_ts(epoch, zone))
