@@ -125,7 +125,7 @@ def alert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in range(2):
         once.write.mode("append").parquet(f"{base}/topic")
     topic = spark.readStream.schema("key string, value string").parquet(f"{base}/topic")
-    collect = jobs.collect_alerts(spark, f"{base}/table", "parquet")
+    collect = jobs.collect_alerts(f"{base}/table", "parquet")
     finish(sinks.stream_to_sinks(al.normalize_alerts(topic), "alerts_consumer", f"{base}/checkpoint", collect))
     return spark.read.parquet(f"{base}/table").select("alert_id", "alert_type", "route_id", "trip_id", "event_ts", "event_date")
 

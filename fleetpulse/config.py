@@ -30,7 +30,8 @@ class Settings:
     output_path: str = "/tmp/bronze"
     checkpoint_path: str = "/tmp/checkpoints"
     output_format: str = "delta"
-    trigger_interval: str = "30 seconds"
+    # None: work off what is there, then stop.
+    trigger_interval: str | None = "30 seconds"
     headway_watermark: str = "10 minutes"
     stall_state_ttl_s: int | None = 20 * 60
     local_zone: str = LOCAL_ZONE

@@ -46,8 +46,5 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
     Only a session without ``spark.checkpoint.dir`` (tests, a laptop) gets a local one.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="fleetpulse-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="fleetpulse-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -1,7 +1,7 @@
 """The live jobs: three bronze landings, three detections, one alert collector.
 
-Every job is ``transform`` (a plain DataFrame function) plus a source and sinks picked from
-the settings, so tests run the same transforms on files.
+Every job is a plain DataFrame transform plus a transport and tables picked from the
+settings, so tests run the same jobs on folders.
 """
 
 from __future__ import annotations
@@ -21,21 +21,10 @@ from fleetpulse.operators.delay import detect_delays
 from fleetpulse.operators.enrich import FEEDS, Feed, enrich
 from fleetpulse.operators.headway import headway_windows
 from fleetpulse.operators.stall import StallParams
-from fleetpulse.sources.messages import SourceSpec, decode, flatten, read_stream
-from fleetpulse.streaming.sinks import BatchSink, append_table, fan_out, publish, stream_to_sinks, stream_to_table
+from fleetpulse.sources.messages import decode, flatten, read_stream
+from fleetpulse.streaming.sinks import BatchSink, append_table, fan_out, stream_to_sinks, stream_to_table
 from fleetpulse.streaming.stall_state import stall_events_stream
-
-SourceFor = Callable[[str, int | None], SourceSpec]
-
-
-def _kafka_sources(cfg: Settings) -> SourceFor:
-    return lambda topic, limit: SourceSpec.kafka(cfg, topic, limit)
-
-
-def _topic_sink(cfg: Settings, topic: str, to_messages: Callable[[DataFrame], DataFrame]) -> BatchSink:
-    from fleetpulse.sources.messages import broker_options
-
-    return publish(to_messages, "kafka", topic=cfg.topic(topic), **broker_options(cfg))
+from fleetpulse.streaming.transport import KafkaTransport, Transport
 
 
 def records(messages: DataFrame, contract: T.StructType, cfg: Settings, name: str) -> DataFrame:
@@ -78,82 +67,85 @@ def without_date(to_messages: Callable[[DataFrame], DataFrame]) -> Callable[[Dat
     return lambda df: to_messages(df.drop("event_date"))
 
 
-def start_bronze(spark: SparkSession, cfg: Settings, sources: SourceFor | None = None,
-                 interval: str | None = "") -> list[StreamingQuery]:
-    sources = sources or _kafka_sources(cfg)
-    interval = cfg.trigger_interval if interval == "" else interval
-    return [
-        stream_to_table(
-            bronze_rows(read_stream(spark, sources(feed.table, cfg.bronze_rows_per_trigger)), feed, cfg),
-            feed.table, cfg.table_path(feed.table), cfg.checkpoint(feed.table), cfg.output_format, interval=interval,
+def _messages(spark: SparkSession, transport: Transport, topic: str, rows_per_trigger: int) -> DataFrame:
+    return read_stream(spark, transport.source(topic, rows_per_trigger))
+
+
+def _table(cfg: Settings, name: str) -> BatchSink:
+    return append_table(cfg.table_path(name), cfg.output_format)
+
+
+def _detection(rows: DataFrame, name: str, cfg: Settings, mode: str, *sinks: BatchSink) -> list[StreamingQuery]:
+    return [stream_to_sinks(rows, name, cfg.checkpoint(name), fan_out(*sinks), mode, cfg.trigger_interval)]
+
+
+def start_bronze(spark: SparkSession, cfg: Settings, transport: Transport | None = None) -> list[StreamingQuery]:
+    transport = transport or KafkaTransport(cfg)
+    queries = []
+    for name, feed in FEEDS.items():
+        rows = bronze_rows(_messages(spark, transport, name, cfg.bronze_rows_per_trigger), feed, cfg)
+        queries.append(
+            stream_to_table(
+                rows, name, cfg.table_path(name), cfg.checkpoint(name), cfg.output_format, interval=cfg.trigger_interval
+            )
         )
-        for feed in FEEDS.values()
-    ]
+    return queries
 
 
-def start_delays(spark: SparkSession, cfg: Settings, sources: SourceFor | None = None,
-                 sinks: Sequence[BatchSink] | None = None, interval: str | None = "") -> list[StreamingQuery]:
-    sources = sources or _kafka_sources(cfg)
-    raw = read_stream(spark, sources(config.TOPIC_TRIPS, cfg.trip_rows_per_trigger))
+def start_delays(spark: SparkSession, cfg: Settings, transport: Transport | None = None) -> list[StreamingQuery]:
+    transport = transport or KafkaTransport(cfg)
+    raw = _messages(spark, transport, config.TOPIC_TRIPS, cfg.trip_rows_per_trigger)
     rows = delay_rows(records(raw, contracts.TRIP_UPDATE, cfg, "trip_update"))
-    if sinks is None:
-        sinks = [_topic_sink(cfg, config.TOPIC_ALERTS, without_date(al.delay_messages)),
-                 append_table(cfg.table_path("delay_alerts"), cfg.output_format)]
-    interval = cfg.trigger_interval if interval == "" else interval
-    return [stream_to_sinks(rows, "delay_alerts", cfg.checkpoint("delay_alerts"), fan_out(*sinks), "append", interval)]
+    return _detection(
+        rows, "delay_alerts", cfg, "append",
+        transport.sink(config.TOPIC_ALERTS, without_date(al.delay_messages)),
+        _table(cfg, "delay_alerts"),
+    )
 
 
-def start_stalls(spark: SparkSession, cfg: Settings, sources: SourceFor | None = None,
-                 sinks: Sequence[BatchSink] | None = None, interval: str | None = "",
+def start_stalls(spark: SparkSession, cfg: Settings, transport: Transport | None = None,
                  params: StallParams = StallParams()) -> list[StreamingQuery]:
-    sources = sources or _kafka_sources(cfg)
-    raw = read_stream(spark, sources(config.TOPIC_POSITIONS, cfg.position_rows_per_trigger))
+    transport = transport or KafkaTransport(cfg)
+    raw = _messages(spark, transport, config.TOPIC_POSITIONS, cfg.position_rows_per_trigger)
     rows = stall_rows(records(raw, contracts.VEHICLE_POSITION, cfg, "vehicle_position"), params, cfg.stall_state_ttl_s)
-    if sinks is None:
-        sinks = [_topic_sink(cfg, config.TOPIC_ALERTS, without_date(al.stall_messages)),
-                 append_table(cfg.table_path("stall_events"), cfg.output_format)]
-    interval = cfg.trigger_interval if interval == "" else interval
-    return [stream_to_sinks(rows, "vehicle_stalls", cfg.checkpoint("vehicle_stalls"), fan_out(*sinks), "update", interval)]
+    return _detection(
+        rows, "vehicle_stalls", cfg, "update",
+        transport.sink(config.TOPIC_ALERTS, without_date(al.stall_messages)),
+        _table(cfg, "stall_events"),
+    )
 
 
-def start_headways(spark: SparkSession, cfg: Settings, sources: SourceFor | None = None,
-                   sinks: Sequence[BatchSink] | None = None, interval: str | None = "") -> list[StreamingQuery]:
-    sources = sources or _kafka_sources(cfg)
-    raw = read_stream(spark, sources(config.TOPIC_TRIPS, cfg.trip_rows_per_trigger))
+def start_headways(spark: SparkSession, cfg: Settings, transport: Transport | None = None) -> list[StreamingQuery]:
+    transport = transport or KafkaTransport(cfg)
+    raw = _messages(spark, transport, config.TOPIC_TRIPS, cfg.trip_rows_per_trigger)
     rows = headway_rows(records(raw, contracts.TRIP_UPDATE, cfg, "trip_update"), cfg.headway_watermark)
-    if sinks is None:
-        sinks = [_topic_sink(cfg, config.TOPIC_HEADWAY, without_date(al.headway_messages)),
-                 append_table(cfg.table_path("headway_metrics"), cfg.output_format),
-                 _topic_sink(cfg, config.TOPIC_ALERTS, al.bunching_messages)]
-    interval = cfg.trigger_interval if interval == "" else interval
-    return [stream_to_sinks(rows, "headway_metrics", cfg.checkpoint("headway_metrics"), fan_out(*sinks), "update", interval)]
+    return _detection(
+        rows, "headway_metrics", cfg, "update",
+        transport.sink(config.TOPIC_HEADWAY, without_date(al.headway_messages)),
+        _table(cfg, "headway_metrics"),
+        transport.sink(config.TOPIC_ALERTS, al.bunching_messages),
+    )
 
 
-def collect_alerts(spark: SparkSession, path: str, fmt: str) -> BatchSink:
+def collect_alerts(path: str, fmt: str) -> BatchSink:
     def sink(batch: DataFrame, batch_id: int) -> None:
-        al.upsert_alerts(spark, batch, path, fmt, prune_by_date=True)
+        al.upsert_alerts(batch.sparkSession, batch, path, fmt, prune_by_date=True)
 
     return fan_out(sink)
 
 
-def start_alerts(spark: SparkSession, cfg: Settings, sources: SourceFor | None = None,
-                 interval: str | None = "") -> list[StreamingQuery]:
-    sources = sources or _kafka_sources(cfg)
-    raw = read_stream(spark, sources(config.TOPIC_ALERTS, cfg.bronze_rows_per_trigger))
-    interval = cfg.trigger_interval if interval == "" else interval
-    return [
-        stream_to_sinks(
-            al.normalize_alerts(raw), "alerts_consumer", cfg.checkpoint("alerts_consumer"),
-            collect_alerts(spark, cfg.table_path("alerts"), cfg.output_format), "append", interval,
-        )
-    ]
+def start_alerts(spark: SparkSession, cfg: Settings, transport: Transport | None = None) -> list[StreamingQuery]:
+    transport = transport or KafkaTransport(cfg)
+    rows = al.normalize_alerts(_messages(spark, transport, config.TOPIC_ALERTS, cfg.bronze_rows_per_trigger))
+    sink = collect_alerts(cfg.table_path("alerts"), cfg.output_format)
+    return [stream_to_sinks(rows, "alerts_consumer", cfg.checkpoint("alerts_consumer"), sink, "append", cfg.trigger_interval)]
 
 
-def start_all(spark: SparkSession, cfg: Settings, sources: SourceFor | None = None) -> list[StreamingQuery]:
+def start_all(spark: SparkSession, cfg: Settings, transport: Transport | None = None) -> list[StreamingQuery]:
     """All seven queries on one session."""
     started: list[StreamingQuery] = []
     for job in (start_bronze, start_delays, start_stalls, start_headways, start_alerts):
-        started += job(spark, cfg, sources)
+        started += job(spark, cfg, transport)
     return started
 
 
