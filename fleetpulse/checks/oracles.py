@@ -306,6 +306,15 @@ ORACLES: dict[str, str] = {
         "by_hour", "early_by_hour",
     ),
     "incremental_replace": _with("SELECT * FROM by_hour", "by_hour"),
+    "incremental_refresh": _with("SELECT * FROM by_hour", "by_hour"),
+    "decode_messages": _with(
+        """
+        SELECT id, trip_id, route_id, direction_id, start_time, start_date, schedule_relationship, delay, timestamp,
+               is_deleted FROM trips""",
+        "trips",
+    ),
+    "header_scan": "SELECT '00' AS magic_byte, event_id % 3 + 1 AS schema_id, count(*) AS messages FROM events GROUP BY ALL",
+    "latest_messages": 'SELECT event_id AS "offset", props AS value FROM events ORDER BY event_id DESC LIMIT 20',
     "delay_local_time": _with(
         f"""
         SELECT event_id, CAST({_local('event_ts')} AS DATE) AS local_date,

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetpulse import contracts
 from fleetpulse.checks import replays
 from fleetpulse.functions import timecols as tc
 from fleetpulse.functions.geo import haversine_m
@@ -24,7 +25,7 @@ from fleetpulse.operators.stall import StallParams, stall_events
 from fleetpulse.plans import dims, marts, staging
 from fleetpulse.session import configure
 from fleetpulse.sources import adapters as ad
-from fleetpulse.sources import feed_json
+from fleetpulse.sources import feed_json, messages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -177,6 +178,11 @@ def incremental_replace(spark, d):
     return replays.load_twice(spark, _stg_trips(spark, d), replace=True)
 
 
+@query
+def incremental_refresh(spark, d):
+    return replays.refresh_twice(spark, ad.bronze_trip_updates(_events(spark, d)))
+
+
 # -- columns ---------------------------------------------------------------------------
 
 
@@ -269,6 +275,33 @@ def enrich_service_alerts(spark, d):
     return enrich.enrich_service_alerts(rows, FIXED_NOW).drop("ingested_at")
 
 
+def _framed(spark: SparkSession, d: str) -> DataFrame:
+    """Trip updates as binary messages behind a five-byte header."""
+    n = F.col("event_id")
+    trips = _trips(spark, d)
+    body = F.to_json(F.struct(*[F.col(c) for c in contracts.TRIP_UPDATE.fieldNames()]))
+    header = F.unhex(F.concat(F.lit("00"), F.lpad(F.hex(n % 3 + 1), 8, "0")))
+    return trips.select(n.alias("offset"), F.concat(header, body.cast("binary")).alias("value"))
+
+
+@query
+def decode_messages(spark, d):
+    decoded = messages.decode(_framed(spark, d), contracts.TRIP_UPDATE, "json", header_bytes=5)
+    return messages.flatten(decoded, contracts.TRIP_UPDATE, keep=())
+
+
+@query
+def header_scan(spark, d):
+    heads = messages.header_bytes(_framed(spark, d))
+    return heads.groupBy("magic_byte", "schema_id").agg(F.count(F.lit(1)).alias("messages"))
+
+
+@query
+def latest_messages(spark, d):
+    raw = _events(spark, d).select(F.col("event_id").alias("offset"), messages.payload_text("props").alias("value"))
+    return live.latest_messages(raw)
+
+
 def _entities(spark: SparkSession, d: str, part: str) -> DataFrame:
     return feed_json.feed_entities(ad.feed_responses(_events(spark, d)), part)
 

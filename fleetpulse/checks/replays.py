@@ -19,10 +19,11 @@ from fleetpulse.operators.enrich import TRIPS
 from fleetpulse.operators.stall import StallParams
 from fleetpulse.plans import incremental as inc
 from fleetpulse.plans import marts
-from fleetpulse.plans.staging import stg_headway_metrics
+from fleetpulse.plans.staging import stg_headway_metrics, stg_trip_updates
 from fleetpulse.session import scratch_dir
 from fleetpulse.sources import adapters as ad
 from fleetpulse.sources.messages import to_messages
+from fleetpulse.sources.tables import per_folder, read_bronze
 from fleetpulse.streaming import jobs
 from fleetpulse.streaming import sinks
 
@@ -41,6 +42,22 @@ def load_twice(spark: SparkSession, trips: DataFrame, replace: bool) -> DataFram
     return mart.read(spark).select(*columns)
 
 
+def refresh_twice(spark: SparkSession, bronze: DataFrame) -> DataFrame:
+    """The hourly mart after two refreshes from a partitioned bronze table that grew in between."""
+    base = scratch_dir(spark, "refresh")
+    mart = inc.Mart(path=f"{base}/mart")
+
+    def build(rows: DataFrame) -> DataFrame:
+        return marts.fct_delay_by_hour(stg_trip_updates(rows))
+
+    cut = F.lit(FIRST_LOAD_END).cast("timestamp")
+    for part in (F.col("event_ts") < cut, F.col("event_ts") >= cut):
+        grown = bronze.where(part).withColumn("event_date", F.to_date("event_ts"))
+        per_folder(grown, "event_date").write.mode("append").partitionBy("event_date").parquet(f"{base}/trip_updates")
+        inc.refresh(spark, read_bronze(spark, "trip_updates", base), build, mart)
+    return mart.read(spark).select(*build(bronze).columns)
+
+
 def upsert_twice(spark: SparkSession, alerts: DataFrame) -> DataFrame:
     """The alert table after a part of the alerts, all of them, and all of them again."""
     path = scratch_dir(spark, "alerts")

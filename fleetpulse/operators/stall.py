@@ -203,7 +203,7 @@ def independent_stretches(positions: DataFrame, params: StallParams, slice_s: in
 
 
 def stall_events(
-    positions: DataFrame, params: StallParams = StallParams(), slice_s: int = 6 * 3600
+    positions: DataFrame, params: StallParams = StallParams(), slice_s: int = 3600
 ) -> DataFrame:
     """Stall events of stored positions, in event-time order per vehicle.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -87,6 +88,29 @@ def incremental_replace(spark: SparkSession, facts: DataFrame, mart: Mart, lookb
     mart.write(facts, "overwrite", partitionOverwriteMode="dynamic")
 
 
+def refresh(
+    spark: SparkSession,
+    bronze: DataFrame,
+    build: Callable[[DataFrame], DataFrame],
+    mart: Mart,
+    replace: bool = True,
+    lookback_days: int = 0,
+    partition_col: str = "event_date",
+) -> None:
+    """Bring a mart up to date from bronze, reading only the bronze folders that can matter.
+
+    ``build`` turns bronze into the mart's rows. Copies of an event share its event time and
+    so its folder, hence de-duplication sees all of them.
+    """
+    mark = high_water_mark(spark, mart)
+    since = None if mark is None else mark - dt.timedelta(days=lookback_days)
+    facts = build(prune_bronze(bronze, since, partition_col))
+    if replace:
+        incremental_replace(spark, facts, mart, lookback_days)
+    else:
+        incremental_append(spark, facts, mart)
+
+
 def full_refresh(facts: DataFrame, mart: Mart) -> None:
     mart.write(facts, "overwrite", partitionOverwriteMode="static")
 
