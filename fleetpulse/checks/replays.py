@@ -6,6 +6,8 @@ Everything is written to and read back from the session's shared scratch folder.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,6 +69,21 @@ def upsert_twice(spark: SparkSession, alerts: DataFrame) -> DataFrame:
     return spark.read.parquet(path).select(*alerts.columns)
 
 
+@contextmanager
+def few_state_partitions(spark: SparkSession) -> Iterator[None]:
+    """Start a bounded run with no more state partitions than the cluster has cores to use.
+
+    Streams are not coalesced at run time, and each state partition starts a store.
+    """
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    useful = spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.shuffle.partitions", str(min(wanted, useful)))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+
+
 def finish(query: StreamingQuery) -> StreamingQuery:
     """Wait for a bounded run; its error, if any, is raised here."""
     query.awaitTermination()
@@ -85,7 +102,8 @@ def bronze_stream(spark: SparkSession, sf_dir: str, now: int) -> DataFrame:
 
 def _run(df: DataFrame, name: str, base: str, mode: str, *outputs: sinks.BatchSink) -> StreamingQuery:
     sink = sinks.fan_out(*(outputs or [sinks.append_table(f"{base}/table")]))
-    return finish(sinks.stream_to_sinks(df, name, f"{base}/checkpoint", sink, mode))
+    with few_state_partitions(df.sparkSession):
+        return finish(sinks.stream_to_sinks(df, name, f"{base}/checkpoint", sink, mode))
 
 
 def _trip_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

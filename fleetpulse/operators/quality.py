@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -25,17 +25,16 @@ class Rule:
             return "accepted(" + ",".join(str(v) for v in self.values) + ")"
         return self.kind
 
-    def violated(self) -> Column:
-        """Predicate of a bad row. A null only violates ``not_null``."""
-        value = F.col(self.column)
+    @property
+    def violated(self) -> str:
+        """SQL predicate of a bad row. A null only violates ``not_null``."""
         if self.kind == "not_null":
-            return value.isNull()
+            return f"`{self.column}` IS NULL"
         if self.kind == "accepted":
-            return ~value.isin(*self.values)
+            return f"`{self.column}` NOT IN ({', '.join(_quoted(v) for v in self.values)})"
         if self.kind == "between":
-            tests = [value < self.low] if self.low is not None else []
-            tests += [value > self.high] if self.high is not None else []
-            return tests[0] if len(tests) == 1 else tests[0] | tests[1]
+            bounds = (("<", self.low), (">", self.high))
+            return " OR ".join(f"`{self.column}` {op} {bound}" for op, bound in bounds if bound is not None)
         raise ValueError(f"rule kind {self.kind!r} has no row predicate")
 
 
@@ -43,6 +42,10 @@ def _bound(value: float | None) -> str:
     return "" if value is None else f"{value:g}"
 
 
+def _quoted(value: str) -> str:
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def not_null(*columns: str) -> list[Rule]:
     return [Rule(c, "not_null") for c in columns]
 
@@ -107,7 +110,7 @@ def check(df: DataFrame, table: str, rules: Sequence[Rule] | None = None) -> Dat
 
 def _report(table: str, df: DataFrame, simple: Sequence[Rule], key: Rule | None) -> DataFrame:
     bad = {r: f"v{i}" for i, r in enumerate(simple)}
-    counts = [F.count_if(r.violated()).alias(name) for r, name in bad.items()]
+    counts = [F.expr(f"count_if({r.violated})").alias(name) for r, name in bad.items()]
     if key is None:
         totals = df.agg(*counts)
     else:
@@ -117,16 +120,12 @@ def _report(table: str, df: DataFrame, simple: Sequence[Rule], key: Rule | None)
         sums = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in bad.values()]
         totals = per_value.agg(*sums, repeated.alias("repeated"))
         bad[key] = "repeated"
-    lines = [
-        F.struct(
-            F.lit(table).alias("table_name"),
-            F.lit(r.column).alias("column_name"),
-            F.lit(r.label).alias("rule"),
-            F.col(name).alias("violations"),
-        )
+    lines = ", ".join(
+        f"named_struct('table_name', {_quoted(table)}, 'column_name', {_quoted(r.column)}, "
+        f"'rule', {_quoted(r.label)}, 'violations', {name})"
         for r, name in bad.items()
-    ]
-    return totals.select(F.inline(F.array(*lines)))
+    )
+    return totals.selectExpr(f"inline(array({lines}))")
 
 
 def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
