@@ -153,11 +153,14 @@ def _certain_start(params: StallParams, previous: Window) -> Column:
 
 
 def independent_stretches(positions: DataFrame, params: StallParams, slice_s: int) -> DataFrame:
-    """Readings with the ``stretch`` they belong to; stretches of a vehicle do not influence each other.
-
-    Timelines are cut into fixed time slices. A stretch begins at the first certain start of a
-    slice and reaches to the first certain start of a later slice, so only the small per-slice
-    summary is needed to find it. Runs too short to matter are dropped before the last shuffle.
+    """Readings that can be part of a stall, with the ``stretch`` they belong to.
+
+    Stretches of a vehicle do not influence each other. Timelines are cut into fixed time
+    slices; a stretch begins at the first certain start of a slice and reaches to the first
+    certain start of a later slice, so only a small summary per slice is needed to find it.
+    Readings that cannot matter are dropped before the last shuffle: runs that are too short,
+    and runs over slices in which the vehicle reports nothing but a scheduled stop, such as a
+    parked vehicle.
     """
     sliced = readings(positions, params).withColumn("slice", F.floor(F.col("ts") / slice_s))
     in_slice = Window.partitionBy("vehicle_id", "slice")
@@ -167,39 +170,71 @@ def independent_stretches(positions: DataFrame, params: StallParams, slice_s: in
         _certain_start(params, ordered).alias("starts"),
         F.row_number().over(ordered).alias("pos"),
     )
-    # Two window steps on one sort; the neighbours tell which certain starts stand alone.
+    # Further window steps on the same sort. The neighbours tell which starts stand alone.
+    start_pos = F.when(F.col("starts"), F.col("pos"))
     marked = marked.select(
         "*",
-        F.min(F.when(F.col("starts"), F.col("pos"))).over(in_slice).alias("first_start"),
+        F.min(start_pos).over(in_slice).alias("first_start"),
+        F.max(start_pos).over(in_slice).alias("last_start"),
         F.lag("starts").over(ordered).alias("prev_starts"),
         F.lead("starts", 1).over(ordered).alias("next_starts"),
         F.lead("starts", 2).over(ordered).alias("after_next_starts"),
     )
-    slices = marked.groupBy("vehicle_id", "slice").agg(F.max("starts").alias("has_start"))
-    earlier = Window.partitionBy("vehicle_id").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = slices.select(
-        "vehicle_id",
-        "slice",
+    head = F.col("first_start").isNull() | (F.col("pos") < F.col("first_start"))
+    tail = F.coalesce(F.col("pos") >= F.col("last_start"), F.lit(False))
+    slices = _slice_summary(marked, head, tail)
+    # A left join leaves both uses of ``marked`` with the same plan below, so its shuffle is reused.
+    placed = marked.join(slices, ["vehicle_id", "slice"], "left").withColumn(
+        "stretch", F.when(head, F.coalesce(F.col("carried"), F.lit(_BEFORE_ALL))).otherwise(F.col("slice"))
+    )
+    moves = F.when(head, F.col("head_moves")).when(tail, F.col("tail_moves")).otherwise(True)
+    return placed.where(moves & ~_too_short(params))
+
+
+def _slice_summary(marked: DataFrame, head: Column, tail: Column) -> DataFrame:
+    """Per slice: where its head belongs, and whether the runs at its two ends ever move.
+
+    The run after a slice's last certain start goes on through the heads of the next slices, up
+    to and including the next slice with a start. One row per vehicle and slice.
+    """
+    moving = ~F.col("stopped")
+    slices = marked.groupBy("vehicle_id", "slice").agg(
+        F.max("starts").alias("has_start"),
+        F.max(head & moving).alias("own_head_moves"),
+        F.max(tail & moving).alias("own_tail_moves"),
+    )
+    line = Window.partitionBy("vehicle_id").orderBy("slice")
+    earlier = line.rowsBetween(Window.unboundedPreceding, -1)
+    linked = slices.select(
+        "*",
         F.max(F.when(F.col("has_start"), F.col("slice"))).over(earlier).alias("carried"),
+        F.last(F.when(F.col("has_start"), F.col("own_tail_moves")), ignorenulls=True).over(earlier).alias("before_moves"),
     )
-    # A left join leaves both uses of ``marked`` with the same plan below, so its shuffle is reused.
-    placed = marked.join(carried, ["vehicle_id", "slice"], "left").withColumn(
-        "stretch",
-        F.when(F.col("pos") >= F.col("first_start"), F.col("slice")).otherwise(
-            F.coalesce(F.col("carried"), F.lit(_BEFORE_ALL))
-        ),
+    # All heads that continue the same run.
+    heads = linked.withColumn(
+        "heads_move", F.max("own_head_moves").over(Window.partitionBy("vehicle_id", "carried"))
+    )
+    return heads.select(
+        "vehicle_id",
+        "slice",
+        "carried",
+        (F.col("heads_move") | F.coalesce(F.col("before_moves"), F.lit(False))).alias("head_moves"),
+        (F.col("own_tail_moves") | F.lead("heads_move", 1, False).over(line)).alias("tail_moves"),
     )
-    alone = F.col("starts") & F.col("next_starts")
-    if params.min_readings >= 3:
-        alone = (
-            alone
-            | (F.col("starts") & F.col("after_next_starts"))
-            | (F.col("prev_starts") & F.col("next_starts"))
-        )
-    elif params.min_readings < 2:
-        alone = F.lit(False)
-    # Null at the rim of a slice, where the neighbour is unknown: keep the row.
-    return placed.where(~F.coalesce(alone, F.lit(False)))
+
+
+def _too_short(params: StallParams) -> Column:
+    """Rows in runs of one or two readings between certain starts, where more are needed.
+
+    Null at the rim of a slice, where the neighbour is unknown: such rows are kept.
+    """
+    if params.min_readings < 2:
+        return F.lit(False)
+    starts, after = F.col("starts"), F.col("next_starts")
+    short = starts & after
+    if params.min_readings > 2:
+        short = short | (starts & F.col("after_next_starts")) | (F.col("prev_starts") & after)
+    return F.coalesce(short, F.lit(False))
 
 
 def stall_events(

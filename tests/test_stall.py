@@ -141,7 +141,7 @@ def random_walk(rng, n, vehicles=2):
     return rows
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.integers(0, 10_000), st.sampled_from([60, 900, 5000, 10**7]))
 def test_cut_timelines_give_the_sequential_result(spark, seed, slice_s):
     rows = random_walk(random.Random(seed), 250)
@@ -168,3 +168,37 @@ def test_one_vehicle_with_all_rows_is_spread(spark):
     sizes = independent_stretches(rows, StallParams(), 6 * 3600).groupBy("stretch").count().agg(
         F.count(F.lit(1)), F.max("count")).first()
     assert sizes[0] >= 25 and sizes[1] <= 6 * 3600 / 30 + 50
+
+
+def parked(spark, n, status, moves_at=()):
+    """One vehicle on one spot for n readings, stopped except at the given ones."""
+    odd = F.col("id").isin(*moves_at) if moves_at else F.lit(False)
+    return spark.range(n).select(
+        F.lit("V1").alias("vehicle_id"), F.lit("R").alias("route_id"), F.lit("T").alias("trip_id"),
+        F.lit(-36.84).alias("latitude"), F.lit(174.76).alias("longitude"), (F.col("id") * 30).alias("timestamp"),
+        F.when(odd, "MOVING").otherwise(status).alias("current_status"))
+
+
+def test_a_parked_vehicle_never_reaches_the_scan(spark):
+    assert independent_stretches(parked(spark, 20_000, "STOPPED_AT"), StallParams(), 3600).count() == 0
+
+
+@pytest.mark.parametrize("moves_at", [(0,), (999,), (500,), (130, 700)])
+def test_one_moving_reading_keeps_the_whole_run(spark, moves_at):
+    df = parked(spark, 1000, "STOPPED_AT", moves_at)
+    rows = [tuple(r) for r in df.collect()]
+    got = stall_events(df, slice_s=900).collect()
+    assert independent_stretches(df, StallParams(), 900).count() == 1000
+    assert sorted((e.vehicle_id, e.reading_count, e.stall_duration_s, e.stall_detected_ts) for e in got) == \
+        by_the_book(rows, StallParams())
+
+
+def test_parking_after_a_drive_is_dropped_slice_by_slice(spark):
+    """Drive, park over many slices, drive on: only the slices with driving keep readings."""
+    drive = [at(30 * i, lat=-36.9 + i * 0.001, status="IN_TRANSIT_TO") for i in range(100)]
+    park = [at(3000 + 30 * i, lat=-36.7, status="STOPPED_AT") for i in range(3000)]
+    on = [at(93_000 + 30 * i, lat=-36.9 + i * 0.001, status="IN_TRANSIT_TO") for i in range(100)]
+    rows = drive + park + on
+    kept = independent_stretches(spark.createDataFrame(rows, SCHEMA), StallParams(), 3600)
+    assert kept.where("stopped").count() == 0 and kept.count() < 20
+    assert detect(spark, *rows, slice_s=3600) == [] and by_the_book(rows, StallParams()) == []
