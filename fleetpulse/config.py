@@ -27,6 +27,8 @@ class Settings:
     bronze_rows_per_trigger: int = 5000
     trip_rows_per_trigger: int = 2000
     position_rows_per_trigger: int = 4000
+    # Splits broker partitions over more read tasks when a topic has few of them.
+    min_read_partitions: int | None = None
     output_path: str = "/tmp/bronze"
     checkpoint_path: str = "/tmp/checkpoints"
     output_format: str = "delta"

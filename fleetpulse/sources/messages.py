@@ -30,12 +30,15 @@ class SourceSpec:
 
     @classmethod
     def kafka(cls, cfg: Settings, topic: str, rows_per_trigger: int | None = None) -> "SourceSpec":
+        options = broker_options(cfg)
+        if cfg.min_read_partitions:
+            options["minPartitions"] = str(cfg.min_read_partitions)
         return cls(
             fmt="kafka",
             topic=cfg.topic(topic),
             rows_per_trigger=rows_per_trigger,
             starting_offsets=cfg.starting_offsets,
-            options=broker_options(cfg),
+            options=options,
         )
 
     @classmethod

@@ -32,6 +32,8 @@ def test_kafka_reader_options():
     stream, batch = spec.reader_options(True), spec.reader_options(False)
     assert (stream["subscribe"], stream["startingOffsets"], stream["maxOffsetsPerTrigger"]) == ("at.trip_updates", "latest", "2000")
     assert batch["startingOffsets"] == "earliest" and "maxOffsetsPerTrigger" not in batch
+    wide = ms.SourceSpec.kafka(Settings(min_read_partitions=64), "trip_updates").reader_options(True)
+    assert wide["minPartitions"] == "64" and "minPartitions" not in stream
 
 
 def test_file_spec_reads_as_batch_and_stream(spark, tmp_path):

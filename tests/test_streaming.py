@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from fleetpulse import contracts
 from fleetpulse.config import Settings
-from fleetpulse.operators.stall import StallParams, stall_events
+from fleetpulse.operators.enrich import TRIPS
+from fleetpulse.operators.stall import stall_events
 from fleetpulse.plans.staging import stg_headway_metrics
 from fleetpulse.session import scratch_dir
 from fleetpulse.streaming import jobs, sinks
@@ -118,6 +119,20 @@ def test_headway_stream_in_append_mode(spark, tmp_path):
     assert stored.count() == stored.select("window_start").distinct().count() >= 5
 
 
+def test_bronze_never_drops_late_rows(spark, tmp_path):
+    def messages(*rows):
+        return [{"key": r["trip_id"], "value": json.dumps(r)} for r in rows]
+
+    drop_files(tmp_path / "in", messages(update(1, "08:00:00", T0 + 86_400)), messages(update(2, "08:00:00", T0 + 90_000)),
+               messages(update(3, "08:00:00", T0)))
+    cfg = Settings(payload_codec="json", output_format="parquet")
+    rows = jobs.bronze_rows(stream(spark, tmp_path / "in", "key string, value string"), TRIPS, cfg, now=T0 + 90_000)
+    query = sinks.stream_to_table(rows, "late", str(tmp_path / "out"), str(tmp_path / "cp"))
+    query.awaitTermination()
+    got = {r.source_id: r.event_ts_status for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {"u1": "clamped_past", "u2": "ok", "u3": "clamped_past"} and len(query.recentProgress) >= 3
+
+
 def test_fan_out_runs_every_sink_and_skips_empty_triggers(spark):
     calls = []
     sink = sinks.fan_out(lambda b, i: calls.append(("a", b.count(), i)), lambda b, i: calls.append(("b", b.count(), i)))
