@@ -8,7 +8,7 @@ distinct departure seconds of a window.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetpulse.functions.timecols import clock_seconds
@@ -98,6 +98,14 @@ def headway_windows(
     return _metrics(stats, cv_threshold, min_trips)
 
 
+def _whole_slides(spark: SparkSession, window: str, slide: str) -> bool:
+    """Whether a window consists of a whole number of slides."""
+    micros = [f"unix_micros(timestamp_seconds(0) + INTERVAL '{d}')" for d in (window, slide)]
+    # Constants only: answered on the driver without a job.
+    long, short = spark.sql(f"SELECT {', '.join(micros)}").first()
+    return long % short == 0
+
+
 def headway_lag_form(
     updates: DataFrame,
     window: str = WINDOW,
@@ -106,15 +114,24 @@ def headway_lag_form(
     min_trips: int = MIN_TRIPS,
     departure: Column | None = None,
 ) -> DataFrame:
-    """Batch form: departures are counted per second before the shuffle, then differenced.
+    """Batch form: departures are counted per second and pane before they meet their windows.
 
-    A route with a huge share of the rows reaches the window step as at most one row per
-    distinct departure second, whatever its number of updates.
+    A pane is one slide long. Where the window is a whole number of slides, all rows of a pane
+    lie in the same windows, so rows are counted once per pane and only the counts are copied to
+    the overlapping windows. A route with a huge share of the rows thus reaches the window step
+    as a few rows per distinct departure second, whatever its number of updates. A second that
+    occurs in several panes of a window just adds gaps of zero.
     """
-    per_second = (
-        _departures(updates, departure)
-        .groupBy(F.window("event_ts", window, slide).alias("window"), "route_id", "direction_id", "departure")
-        .agg(F.count(F.lit(1)).alias("trips"))
+    departures = _departures(updates, departure)
+    if _whole_slides(updates.sparkSession, window, slide):
+        pane = F.window("event_ts", slide)["start"]
+    else:
+        pane = F.col("event_ts")
+    per_pane = departures.groupBy(pane.alias("pane"), "route_id", "direction_id", "departure").agg(
+        F.count(F.lit(1)).alias("trips")
+    )
+    per_second = per_pane.select(
+        F.window("pane", window, slide).alias("window"), "route_id", "direction_id", "departure", "trips"
     )
     line = Window.partitionBy("window", "route_id", "direction_id")
     gap = F.col("departure") - F.lag("departure").over(line.orderBy("departure"))

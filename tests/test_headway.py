@@ -79,7 +79,15 @@ def test_schema_matches_the_contract(spark):
         assert [(f.name, f.dataType) for f in got] == [(f.name, f.dataType) for f in contracts.HEADWAY_METRIC]
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@pytest.mark.parametrize("window,slide", [("10 minutes", "4 minutes"), ("1 hour", "1 hour"), ("90 seconds", "30 seconds")])
+def test_other_windows(spark, window, slide):
+    df = spark.createDataFrame(
+        [("R", 0, clock(1000 + 37 * i % 900), 0, AT + dt.timedelta(seconds=41 * i)) for i in range(60)], SCHEMA)
+    a, b = (form(df, window, slide).orderBy("window_start").collect() for form in FORMS)
+    assert a == b and len(a) > 0
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.integers(0, 100_000), st.integers(-200, 2000), st.integers(0, 30)), min_size=1, max_size=25))
 def test_both_forms_follow_the_definition(spark, rows):
     data = [("R", 0, clock(s), d, AT + dt.timedelta(minutes=m)) for s, d, m in rows]
