@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm import bpe, chat, langid, licenses, quality, sharding, token_counts
+from fleetpulse.llm import bpe, chat, decontaminate, langid, licenses, neardup, quality, sharding, token_counts
 from fleetpulse.llm.common import table
 
 
@@ -42,6 +42,12 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return picked(found, "n_bytes", "n_tokens", "over_limit")
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.scan(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    hit = F.aggregate("runs", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
+    return picked(found, "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     # A conversation whose texts look like the template's own marks.
     marks = r"\### Assistant: </turn> ok"
@@ -51,6 +57,10 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(pieces, chat.examples(pieces))
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(documents(spark, sf_dir))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     found = quality.judge(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
@@ -67,5 +77,5 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return picked(found, "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_language_id, op3_token_counts, op6_chat_formatting, op8_quality_rules, op9_bpe, op10_license_scan, language_id_pages)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_language_id, op3_token_counts, op5_decontamination, op6_chat_formatting, op7_near_duplicates, op8_quality_rules, op9_bpe, op10_license_scan, language_id_pages)}
 ORACLES: dict[str, str] = {}
