@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm import bpe, chat, decontaminate, langid, licenses, neardup, quality, sharding, token_counts
+from fleetpulse.llm import bpe, chat, decontaminate, langid, licenses, neardup, ppm, quality, sharding, token_counts
 from fleetpulse.llm.common import table
 
 
@@ -42,6 +42,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return picked(found, "n_bytes", "n_tokens", "over_limit")
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(documents(spark, sf_dir))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.scan(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
     hit = F.aggregate("runs", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
@@ -77,5 +81,5 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return picked(found, "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_language_id, op3_token_counts, op5_decontamination, op6_chat_formatting, op7_near_duplicates, op8_quality_rules, op9_bpe, op10_license_scan, language_id_pages)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_language_id, op3_token_counts, op4_lm_scoring, op5_decontamination, op6_chat_formatting, op7_near_duplicates, op8_quality_rules, op9_bpe, op10_license_scan, language_id_pages)}
 ORACLES: dict[str, str] = {}
