@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm import bpe, langid, quality
+from fleetpulse.llm import bpe, decontaminate, langid, neardup, quality
 from fleetpulse.llm.common import stored, table
 
 
@@ -21,13 +21,26 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.identify(docs, F.col("lang"), F.col("source"), F.col("doc_id")).where("kept").select("__row.*")
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal or similar texts."""
+    return neardup.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that the benchmark has; documents of which nothing is left go."""
+    clean = decontaminate.cut(decontaminate.scan(docs, table(spark, sf_dir, "benchmark")))
+    changed = {"text": F.col("clean")} | ({"n_chars": F.length("clean").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
+    columns = [F.when(F.col("changed"), changed[c]).otherwise(F.col(f"row.`{c}`")).alias(c) if c in changed else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
+    return clean.where("NOT changed OR clean IS NOT NULL").select(*columns)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's token ids, digests of ids and of the text decoded from them."""
     found = bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_50k.json"), keep_ids=True)
     return found.select("__row.*", "n_tokens", "ids_sha256", "decoded_sha256", "ids")
 
 
-STAGES = [("quality rules", quality_rules), ("language id", language_id), ("bpe", encode)]
+STAGES = [("quality rules", quality_rules), ("language id", language_id), ("near duplicates", near_duplicates), ("decontamination", decontamination), ("bpe", encode)]
 ORACLE_SQL = None
 
 
