@@ -25,7 +25,9 @@ SHINGLE, SIMILAR = 5, 0.8
 ROWS, BANDS = 8, 40
 PARTS = ROWS * BANDS
 #: Buckets up to this size give all their pairs.
-SMALL = 12
+SMALL = 4
+#: Bits (as a power of two) of the bitmap of candidates.
+FILTER_BITS = 25
 #: Points of the process drawn at once.
 POINTS = 1 << 18
 CACHE_ENTRIES = 300_000
@@ -156,14 +158,32 @@ def signed(texts: DataFrame) -> DataFrame:
     return stored(found.select(F.col("__row.__node").alias("node"), "keys").dropDuplicates(["node"]), "signatures")
 
 
-def sets(texts: DataFrame) -> DataFrame:
-    """(node, hashes, weights) of texts, as packed numbers; no weights where all are 1."""
+def marks(nodes_: DataFrame) -> bytes:
+    """A bitmap of FILTER_BITS bits with one bit set for each node; as large for any number of nodes."""
+    bit = F.pmod(F.xxhash64("node"), F.lit(1 << FILTER_BITS))
+    words = nodes_.groupBy(F.shiftright(bit, 5).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(xxhash64(node), 32) as int))")).alias("b")).toArrow()
+    out = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
+    out[words["w"].to_numpy()] = words["b"].to_numpy().astype(np.uint32)
+    return out.tobytes()
+
+
+def sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, hashes, weights) of the wanted texts, as packed numbers; no weights where all are 1.
+
+    Texts are not joined with the wanted nodes: a bitmap lets the wanted and few others through, and the joins
+    that follow drop those. A bitmap that fills up lets more through, and nothing is lost.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(marks(wanted))
+    texts = texts.withColumn("__bit", F.pmod(F.xxhash64("__node"), F.lit(1 << FILTER_BITS)).cast("int"))
 
     def work(rows):
+        bitmap = np.frombuffer(shared.value, np.uint32)
         for batch in rows:
             seen: set = set()
             hashes, weights = [], []
-            fresh = [i not in seen and not seen.add(i) for i in batch.field("__node").to_pylist()]
+            bit = batch.field("__bit").to_numpy()
+            passed = (bitmap[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1
+            fresh = [bool(p) and i not in seen and not seen.add(i) for i, p in zip(batch.field("__node").to_pylist(), passed, strict=True)]
             doc, code, weight = shingles([t if f else b"" for t, f in zip(binaries(batch, "__text"), fresh, strict=True)])
             ends = np.searchsorted(doc, np.arange(len(fresh) + 1)) if (np.diff(doc) >= 0).all() else None
             if ends is None:
@@ -184,8 +204,7 @@ def sets(texts: DataFrame) -> DataFrame:
 def linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose texts are similar, stored. Only texts of candidates have their shingles gathered."""
     pairs = stored(pairs.distinct(), "candidates")
-    wanted = pairs.select(F.col("a").alias("__node")).union(pairs.select("b")).distinct()
-    packed = stored(sets(texts.join(wanted, "__node", "left_semi")), "shingle-sets")
+    packed = stored(sets(texts, pairs.select(F.col("a").alias("node")).union(pairs.select("b"))), "shingle-sets")
 
     def side(name: str) -> DataFrame:
         return packed.select(F.col("node").alias(name), F.col("hashes").alias(f"h{name}"), F.col("weights").alias(f"w{name}"))

@@ -31,7 +31,9 @@ FREQUENT = 1 << 18
 BEFORE, AFTER = 0xFE, 0xFF
 SYMBOLS = 255  # all bytes but BEFORE
 #: Strings sorted at once, and words counted at once, in a task.
-GATHER, WORDS = 1 << 22, 1 << 18
+GATHER, WORDS = 1 << 21, 1 << 17
+#: Bytes coded or scored at once.
+PORTION = 1 << 19
 # Fixed values of the base: smoothing, and the token that ends a text (no word has white space).
 ADD, END = 0.1, b"\n"
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -40,21 +42,41 @@ SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 def codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Each symbol of each text with the ORDER bytes before it as one number, and where texts start."""
-    head, tail = bytes([BEFORE]) * ORDER, bytes([AFTER])
-    data, starts = flat([head + t + tail for t in texts])
-    wide = data.astype(np.uint64)
+    return coded([bytes([BEFORE]) * ORDER + t + bytes([AFTER]) for t in texts])
+
+
+def coded(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The same of parts that have the ORDER bytes before them in front."""
+    data, starts = flat(parts)
     code = np.zeros(max(0, len(data) - ORDER), np.uint64)
     for k in range(ORDER + 1):
-        code = (code << np.uint64(8)) | wide[k:k + len(code)]
+        code <<= np.uint64(8)
+        code |= data[k:k + len(code)]
     inside = np.ones(len(code), bool)
     for k in range(1, ORDER + 1):
         inside[starts[1:-1] - k] = False
-    sizes = np.diff(starts) - ORDER
-    places = np.zeros(len(texts) + 1, np.int64)
-    np.cumsum(sizes, out=places[1:])
+    places = np.zeros(len(parts) + 1, np.int64)
+    np.cumsum(np.diff(starts) - ORDER, out=places[1:])
     return code[inside], places
 
 
+def portions(texts: list[bytes]) -> Iterator[tuple[list[int], list[bytes]]]:
+    """Texts in parts of bounded size, several short ones or a piece of a long one at a time: owners and parts."""
+    owners, parts, size = [], [], 0
+    for i, t in enumerate(texts):
+        for at in range(0, len(t) + 1, PORTION):
+            end = AFTER if at + PORTION > len(t) else None
+            part = (bytes([BEFORE]) * ORDER if at == 0 else t[at - ORDER:at]) + t[at:at + PORTION] + (bytes([end]) if end else b"")
+            if parts and size + len(part) > PORTION:
+                yield owners, parts
+                owners, parts, size = [], [], 0
+            owners.append(i)
+            parts.append(part)
+            size += len(part)
+    if parts:
+        yield owners, parts
+
+
 def gather(df: DataFrame, text: str) -> DataFrame:
     """(word, gram, n): exact counts over all rows, stored. Each task adds up its own before the shuffle."""
     bounded_batches(df.sparkSession)
@@ -72,16 +94,16 @@ def gather(df: DataFrame, text: str) -> DataFrame:
             for t in texts:
                 words.update(t.split())
             words[END] += len(texts)
-            code, _ = codes(texts)
-            held.append(code)
-            size += len(code)
             if len(words) > WORDS:
                 yield said(list(words), np.array([]), list(words.values()))
                 words.clear()
-            if size > GATHER:
-                g, n = np.unique(np.concatenate(held), return_counts=True)
-                yield said([], g, n)
-                held, size = [], 0
+            for _, parts in portions(texts):
+                held.append(coded(parts)[0])
+                size += len(held[-1])
+                if size > GATHER:
+                    g, n = np.unique(np.concatenate(held), return_counts=True)
+                    held, size = [], 0
+                    yield said([], g, n)
         if words:
             yield said(list(words), np.array([]), list(words.values()))
         if size:
@@ -257,9 +279,12 @@ def score(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
                 base.append(sum(seen))
                 missed = Counter([w for w, v in zip(tokens, got, strict=True) if v is None]) if len(seen) < len(tokens) else {}
                 rare.append([{"word": w, "k": k} for w, k in missed.items()])
-            code, starts = codes(texts)
+            value = np.zeros(len(texts))
+            for owners, parts in portions(texts):
+                code, starts = coded(parts)
+                np.add.at(value, owners, sums(ppm.score(code), starts))
             yield [pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),
-                   pa.array(rare, pa.list_(pa.struct([("word", pa.binary()), ("k", pa.int64())]))), pa.array(sums(ppm.score(code), starts))]
+                   pa.array(rare, pa.list_(pa.struct([("word", pa.binary()), ("k", pa.int64())]))), pa.array(value)]
 
     done = carry(rows, "n_tokens long, n_known long, base double, rare array<struct<word:binary,k:long>>, score double", work)
     done = done.select("__row.doc_id", "__row.held_out", "n_tokens", "n_known", "base", "rare", "score", F.monotonically_increasing_id().alias("row"))
