@@ -21,9 +21,8 @@ from pyspark.sql import types as T
 from fleetpulse.llm.common import binaries, carry
 
 #: Entries of a worker's cache, and the longest unit (characters) it keeps.
-CACHE_ENTRIES, CACHE_LENGTH = 300_000, 64
+CACHE_ENTRIES, CACHE_LENGTH = 600_000, 64
 NEVER = 1 << 40
-LAST = (NEVER, -1)
 
 # Unicode white space as the pre-tokenizer sees it.
 SPACE = r"\t-\r \x85\xa0  -     　"
@@ -79,6 +78,8 @@ class SpeculativeBpe:
             self.rank[left, right] = (r, whole)
             if parts[whole, 0] < 0:
                 parts[whole], made[whole] = (left, right), r
+        self.flat = {a * self.size + b: r for (a, b), (r, _) in self.rank.items()}
+        self.whole = [w for _, w in self.rank.values()]
         keys = np.array([a * self.size + b for a, b in self.rank], np.int64)
         order = np.argsort(keys)
         self.keys, self.ranks = keys[order], np.array([r for r, _ in self.rank.values()], np.int64)[order]
@@ -129,12 +130,16 @@ class SpeculativeBpe:
         """Merging in order of rank, from the left, with a heap over a linked list."""
         ids = list(map(self.single.__getitem__, word))
         if len(word) <= SHORT:
-            rank = self.rank
-            while len(ids) > 1:
-                best, at = min((rank.get(p, LAST), i) for i, p in enumerate(zip(ids, ids[1:], strict=False)))
-                if best is LAST:
-                    break
-                ids[at:at + 2] = [best[1]]
+            get, size, whole = self.flat.get, self.size, self.whole
+            ranks = [get(a * size + b, NEVER) for a, b in zip(ids, ids[1:], strict=False)]
+            while ranks and (r := min(ranks)) < NEVER:
+                i = ranks.index(r)
+                ids[i] = whole[r]
+                del ids[i + 1], ranks[i]
+                if i:
+                    ranks[i - 1] = get(ids[i - 1] * size + ids[i], NEVER)
+                if i < len(ranks):
+                    ranks[i] = get(ids[i] * size + ids[i + 1], NEVER)
             return ids
         after, before = [*range(1, len(ids)), -1], [*range(-1, len(ids) - 1)]
         heap = [(self.rank[p][0], i, *p) for i, p in enumerate(zip(ids, ids[1:], strict=False)) if p in self.rank]

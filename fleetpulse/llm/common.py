@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from fleetpulse.session import scratch_dir
 
 #: Rows and bytes of one Arrow batch, so that a batch of very long texts still fits a worker.
-BATCH_ROWS, BATCH_BYTES = 1024, 32 << 20
+BATCH_ROWS, BATCH_BYTES = 1024, 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

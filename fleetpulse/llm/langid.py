@@ -20,7 +20,7 @@ from fleetpulse.llm.common import binaries, bounded_batches, carry, flat, gram_b
 
 N, BITS = 3, 14
 #: Bound of the labelled sample, and the rows a language must have in it.
-LABELLED, LEAST = 20_000, 20
+LABELLED, LEAST = 20_000, 5
 #: Numbers (hosts times languages) of the broadcast prior table; rows of other hosts are joined by host.
 TABLE_NUMBERS = 100_000
 #: Weights of the parent level in the smoothed priors.
@@ -105,7 +105,7 @@ def priors(rows: DataFrame, model: Model) -> DataFrame:
         return df.groupBy(*by).agg(F.sum("n").alias("n"), F.array(*counts).alias("c"))
 
     total = vector(tally, []).first()
-    table = (np.array(total["c"] or [0.0] * size) + 1) / ((total["n"] or 0) + size)
+    table = (np.array([c or 0.0 for c in total["c"]]) + 1) / ((total["n"] or 0) + size)
     over = F.array(*[F.lit(float(x)) for x in table])
     mix = lambda w: lambda c, p: c + p * F.lit(w)
     domains = vector(tally, ["__domain"]).select("__domain", F.transform(F.zip_with("c", over, mix(DOMAIN_WEIGHT)), lambda x: x / (F.col("n") + DOMAIN_WEIGHT)).alias("parent"))
