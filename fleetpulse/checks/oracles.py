@@ -21,8 +21,8 @@ def _round(value: str, digits: int) -> str:
 
 
 def _key(kind: str, *parts: str) -> str:
-    texts = ", ".join(f"coalesce(CAST({p} AS VARCHAR), '')" for p in parts)
-    return f"sha256(concat_ws('|', '{kind}', {texts}))"
+    texts = ", ".join(f"CAST({p} AS VARCHAR)" for p in parts)
+    return f"sha256(CAST(to_json(['{kind}', {texts}]) AS VARCHAR))"
 
 
 # Each entry is a named subquery; _with() lists those a query needs, in this order.
@@ -234,7 +234,7 @@ def _status(raw: str, now: str) -> str:
 def _bronze(part: str, table: str, entity: str, body: str, extra: str = "", ids: bool = True) -> str:
     ident = ""
     if ids:
-        ident = _key(table, entity, "timestamp", "clamped", "payload") + " AS event_id, payload AS _raw_payload,"
+        ident = _key(table, entity, "timestamp", "payload") + " AS event_id, payload AS _raw_payload,"
     return _with(
         f"""
         SELECT {ident} {body}, make_timestamp(clamped * 1000000) AS event_ts,
@@ -545,5 +545,4 @@ ORACLES: dict[str, str] = {
         FROM delays""",
         "delays",
     ),
-    "progress_frame": "SELECT 'delays' AS query_name, CAST(count(*) AS BIGINT) AS input_rows FROM events",
 }

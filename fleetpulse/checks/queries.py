@@ -568,8 +568,3 @@ def stream_stalls(spark, d):
 @query
 def stream_alerts(spark, d):
     return replays.alert_stream(spark, d)
-
-
-@query
-def progress_frame(spark, d):
-    return replays.progress(spark, d)

@@ -22,15 +22,20 @@ class Settings:
     bootstrap_servers: str = "localhost:9092"
     # Non-empty: managed broker (SASL_SSL, bare topic names, payloads without a header).
     connection_string: str = ""
-    starting_offsets: str = "latest"
+    # A first start reads what the topic still holds.
+    starting_offsets: str = "earliest"
     payload_codec: str = "avro"
-    bronze_rows_per_trigger: int = 5000
-    trip_rows_per_trigger: int = 2000
-    position_rows_per_trigger: int = 4000
+    # In front of topic names on a broker without a connection string.
+    topic_prefix: str = LOCAL_TOPIC_PREFIX
+    # Rows of one trigger at most; None sets no limit, so no backlog outlives its topic.
+    bronze_rows_per_trigger: int | None = None
+    trip_rows_per_trigger: int | None = None
+    position_rows_per_trigger: int | None = None
     # Splits broker partitions over more read tasks when a topic has few of them.
     min_read_partitions: int | None = None
-    output_path: str = "/tmp/bronze"
-    checkpoint_path: str = "/tmp/checkpoints"
+    # Folders that all executors share; a job that needs one raises if it is not set.
+    output_path: str = ""
+    checkpoint_path: str = ""
     output_format: str = "delta"
     # None: work off what is there, then stop.
     trigger_interval: str | None = "30 seconds"
@@ -48,12 +53,16 @@ class Settings:
         return 5 if self.payload_codec == "avro" and not self.managed else 0
 
     def topic(self, name: str) -> str:
-        return name if self.managed else LOCAL_TOPIC_PREFIX + name
+        return name if self.managed else self.topic_prefix + name
 
     def table_path(self, table: str) -> str:
+        if not self.output_path:
+            raise ValueError("output_path is not set")
         return f"{self.output_path.rstrip('/')}/{table}"
 
     def checkpoint(self, query: str) -> str:
+        if not self.checkpoint_path:
+            raise ValueError("checkpoint_path is not set")
         return f"{self.checkpoint_path.rstrip('/')}/{query}"
 
     @classmethod
@@ -61,7 +70,7 @@ class Settings:
         """Read the settings a running deployment already exports."""
         names = {
             "bootstrap_servers": ("KAFKA_BOOTSTRAP_SERVERS", str),
-            "connection_string": ("EVENTHUBS_CONNECTION_STRING", str),
+            "connection_string": ("BROKER_CONNECTION_STRING", str),
             "starting_offsets": ("KAFKA_STARTING_OFFSETS", str),
             "bronze_rows_per_trigger": ("BRONZE_MAX_OFFSETS_PER_TRIGGER", int),
             "trip_rows_per_trigger": ("TRIP_UPDATES_MAX_OFFSETS_PER_TRIGGER", int),
@@ -69,5 +78,10 @@ class Settings:
             "output_path": ("OUTPUT_PATH", str),
             "checkpoint_path": ("CHECKPOINT_PATH", str),
             "output_format": ("OUTPUT_FORMAT", str),
+            "payload_codec": ("PAYLOAD_CODEC", str),
+            "trigger_interval": ("TRIGGER_INTERVAL", str),
+            "headway_watermark": ("HEADWAY_WATERMARK", str),
+            "stall_state_ttl_s": ("STALL_STATE_TTL_S", int),
+            "topic_prefix": ("TOPIC_PREFIX", str),
         }
         return cls(**{field: cast(env[var]) for field, (var, cast) in names.items() if env.get(var)})

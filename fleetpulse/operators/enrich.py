@@ -57,7 +57,7 @@ def enrich(df: DataFrame, feed: Feed, now: Column | int | None = None, ids: str
     ident = (
         random_key()
         if ids == "random"
-        else natural_key(feed.table, feed.entity, "timestamp", ts_clamped(raw, clock), "_raw_payload")
+        else natural_key(feed.table, feed.entity, "timestamp", "_raw_payload")
     )
     return df.select(
         ident.alias("event_id"),

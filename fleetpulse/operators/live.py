@@ -18,7 +18,7 @@ from fleetpulse.operators.dedup import keep_last
 RETENTION_S = 300
 TIME_COLUMNS = (
     "detected_at", "first_seen", "stall_detected_ts", "window_start",
-    "event_ts", "trip_update_time", "alert_time", "vehicle_time",
+    "event_ts",
 )
 _FIELDS = (
     "event_id", "trip_id", "route_id", "delay", "severity", "start_time", "start_date",
@@ -185,7 +185,7 @@ def board(
 ) -> DataFrame:
     """A display table: last row per key, newest first, local times, only the columns at hand.
 
-    The first candidate that exists decides, both for the key and for the order. ``arrival``
+    The first candidate that exists decides, both for the key and for the order; without one, arrival decides. ``arrival``
     lists the columns that say which of two rows of a key came last.
     """
     key = next((c for c in dedup_candidates if c in rows.columns), None)
@@ -195,9 +195,10 @@ def board(
     times = [c for c in (*TIME_COLUMNS, "received_at") if c in rows.columns]
     instants = {f.name for f in rows.schema.fields if isinstance(f.dataType, T.TimestampType)}
     rows = rows.withColumns({c: (display_instant if c in instants else display_time)(F.col(c), zone) for c in times})
-    by = next((c for c in sort_candidates if c in rows.columns), None)
-    if by:
-        rows = rows.orderBy(F.col(by).desc_nulls_last(), *[c for c in preferred if c in rows.columns and c != by])
+    by = [c for c in sort_candidates if c in rows.columns][:1] or [c for c in arrival if c in rows.columns]
+    if not by:
+        raise ValueError("a board needs a sort or an arrival column: without an order its rows would be arbitrary")
+    rows = rows.orderBy(*[F.col(c).desc_nulls_last() for c in by], *[c for c in preferred if c in rows.columns and c not in by])
     shown = [c for c in preferred if c in rows.columns]
     if "received_at" in rows.columns and "received_at" not in shown:
         shown.append("received_at")

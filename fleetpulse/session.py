@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -44,7 +45,12 @@ def local_session(app: str = "fleetpulse", cores: int | str = "*", shuffle_parti
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
-    Only a session without ``spark.checkpoint.dir`` (tests, a laptop) gets a local one.
+    Without ``spark.checkpoint.dir`` only a local master (tests, a laptop) gets a folder, on its own
+    disk; on a cluster the executors would not see each other's files, so that is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="fleetpulse-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="fleetpulse-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

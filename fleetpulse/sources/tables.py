@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetpulse.contracts import ROUTES_SEED, STOPS_SEED
 
+# Tasks over which the rows of one target folder are spread.
+SALTS = 8
+
 
 def read_bronze(spark: SparkSession, table: str, base_path: str | None = None, fmt: str = "parquet",
                 namespace: str | None = None) -> DataFrame:
@@ -30,12 +34,12 @@ def read_if_present(spark: SparkSession, path: str, fmt: str = "parquet") -> Dat
 def per_folder(df: DataFrame, *partitions: str) -> DataFrame:
     """Rows grouped by target folder for a partitioned write, so a folder gets few files.
 
-    A rebalance also splits a folder that holds too much for one task. It needs AQE; without
-    it (inside a stream's triggers) the rows are written as they lie.
+    The rows of one folder are dealt by hash over SALTS tasks, so a folder that holds most rows
+    is written by several. The same with and without adaptive execution.
     """
-    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
-        return df
-    return df.hint("rebalance", *partitions)
+    names = set(partitions)
+    salt = F.pmod(F.xxhash64(*[F.to_json(F.struct(c)) if "map" in t or "variant" in t else F.col(c) for c, t in df.dtypes if c not in names] or [F.lit(0)]), F.lit(SALTS))
+    return df.repartition(*partitions, salt)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

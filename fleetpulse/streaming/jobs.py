@@ -67,7 +67,7 @@ def without_date(to_messages: Callable[[DataFrame], DataFrame]) -> Callable[[Dat
     return lambda df: to_messages(df.drop("event_date"))
 
 
-def _messages(spark: SparkSession, transport: Transport, topic: str, rows_per_trigger: int) -> DataFrame:
+def _messages(spark: SparkSession, transport: Transport, topic: str, rows_per_trigger: int | None) -> DataFrame:
     return read_stream(spark, transport.source(topic, rows_per_trigger))
 
 
@@ -147,11 +147,3 @@ def start_all(spark: SparkSession, cfg: Settings, transport: Transport | None =
     for job in (start_bronze, start_delays, start_stalls, start_headways, start_alerts):
         started += job(spark, cfg, transport)
     return started
-
-
-def progress_frame(spark: SparkSession, queries: Sequence[StreamingQuery]) -> DataFrame:
-    """One row per kept progress report: query, trigger and rows read. Bounded by Spark's report history."""
-    rows = [
-        (q.name, int(p["batchId"]), int(p["numInputRows"]), p["timestamp"]) for q in queries for p in q.recentProgress
-    ]
-    return spark.createDataFrame(rows, "query_name string, batch_id bigint, input_rows bigint, reported_at string")

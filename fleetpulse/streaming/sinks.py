@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from fleetpulse.sources.tables import per_folder
+
 BatchSink = Callable[[DataFrame, int], None]
 
 
@@ -39,7 +41,7 @@ def append_table(path: str, fmt: str = "parquet", partitions: Sequence[str] = ("
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        rows.write.format(fmt).mode("append").partitionBy(*partitions).save(path)
+        per_folder(rows, *partitions).write.format(fmt).mode("append").partitionBy(*partitions).save(path)
 
     return sink
 

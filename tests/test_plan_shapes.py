@@ -29,7 +29,7 @@ def events(spark, sf_dir):
 
 def test_no_query_crosses_rows_or_runs_row_python(spark, sf_dir):
     writes = {"incremental_append", "incremental_replace", "alerts_upsert"}
-    for name in (n for n in QUERIES if not n.startswith("stream_") and n not in writes | {"progress_frame"}):
+    for name in (n for n in QUERIES if not n.startswith("stream_") and n not in writes):
         text = plan(QUERIES[name](spark, sf_dir))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
         assert "BatchEvalPython" not in text and "FlatMapGroupsInPandas" not in text, name

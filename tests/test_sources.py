@@ -24,13 +24,15 @@ def test_local_and_managed_settings():
 def test_settings_from_environment():
     got = Settings.from_env({"OUTPUT_PATH": "/data/", "BRONZE_MAX_OFFSETS_PER_TRIGGER": "7", "OUTPUT_FORMAT": ""})
     assert got.table_path("alerts") == "/data/alerts" and got.bronze_rows_per_trigger == 7
-    assert got.output_format == "delta" and got.checkpoint("q") == "/tmp/checkpoints/q"
+    assert got.output_format == "delta" and got.trip_rows_per_trigger is None
+    with pytest.raises(ValueError):
+        got.checkpoint("q")
 
 
 def test_kafka_reader_options():
     spec = ms.SourceSpec.kafka(Settings(), "trip_updates", 2000)
     stream, batch = spec.reader_options(True), spec.reader_options(False)
-    assert (stream["subscribe"], stream["startingOffsets"], stream["maxOffsetsPerTrigger"]) == ("at.trip_updates", "latest", "2000")
+    assert (stream["subscribe"], stream["startingOffsets"], stream["maxOffsetsPerTrigger"]) == ("at.trip_updates", "earliest", "2000")
     assert batch["startingOffsets"] == "earliest" and "maxOffsetsPerTrigger" not in batch
     wide = ms.SourceSpec.kafka(Settings(min_read_partitions=64), "trip_updates").reader_options(True)
     assert wide["minPartitions"] == "64" and "minPartitions" not in stream

@@ -168,8 +168,9 @@ def test_transport_of_a_broker():
 class _Session:
     """Only what scratch_dir asks a session for; the real setting is fixed at start-up."""
 
-    def __init__(self, folder):
+    def __init__(self, folder, master="local[4]"):
         self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+        self.sparkContext = type("Context", (), {"master": master})
 
 
 def test_scratch_is_under_the_sessions_checkpoint_folder():
@@ -177,6 +178,8 @@ def test_scratch_is_under_the_sessions_checkpoint_folder():
     a, b = scratch_dir(shared, "x"), scratch_dir(shared, "x")
     assert a != b and a.startswith("hdfs://shared/cp/x-")
     assert "/x-" in scratch_dir(_Session(None), "x")
+    with pytest.raises(ValueError):
+        scratch_dir(_Session(None, "yarn"), "x")
 
 
 def test_all_seven_jobs_end_to_end_and_again(spark, tmp_path):
@@ -216,10 +219,6 @@ def test_all_seven_jobs_end_to_end_and_again(spark, tmp_path):
     assert kinds == {"DELAY": 1, "STALL": 1, "BUNCHING": 5}
     assert stored("alerts").where(F.col("detected_at").isNull()).count() == 0
 
-    progress = jobs.progress_frame(spark, queries)
-    rows = {r.query_name: r.n for r in progress.groupBy("query_name").agg(F.sum("input_rows").alias("n")).collect()}
-    assert rows["trip_updates"] == 3 and rows["service_alerts"] == 1 and len(rows) == 6
-
     # The same messages delivered again, as after a failed commit.
     alerts = tmp_path / "topics" / "alerts"
     again = [json.loads(line) for f in alerts.iterdir() if f.suffix == ".json" for line in f.read_text().splitlines()]

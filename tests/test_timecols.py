@@ -95,3 +95,8 @@ def test_natural_key_separates_kinds_and_nulls(spark):
         natural_key("k", "x", "y", "z"), natural_key("k", "x", "y", "z"), natural_key("l", "x", "y", "z")
     ).first()
     assert one == same != other and len(one) == 64
+
+
+def test_natural_keys_do_not_collide(spark):
+    rows = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), (None, "x"), ("", "x"), ('a","b', None)], "x string, y string")
+    assert rows.select(natural_key("k", "x", "y").alias("id")).distinct().count() == 5
