@@ -9,7 +9,8 @@ candidates with a similarity (set or probability Jaccard) of 0.8 or more are lin
 Equal texts are one node. A band's bucket of few nodes gives all its pairs. In a larger one each node is
 held against the bucket's leader; nodes that end up in another component than their leader are held against
 all nodes of other components in the bucket, block by block: sketches of one byte for each part of the
-signature tell which pairs come near enough for an exact check. Nothing is capped.
+signature tell which pairs come near enough for an exact check, and one link for each two components stays.
+Nothing is capped.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ PARTS = ROWS * BANDS
 SMALL = 4
 #: Nodes of a block, and the share of equal sketch bytes from which a pair is checked: four standard errors
 #: below what a similarity of 0.8 gives.
-BLOCK, NEAR = 64, 0.71
+BLOCK, NEAR = 32, 0.71
 #: Bits (as a power of two) of the bitmap of candidates.
 FILTER_BITS = 25
 #: Points of the process drawn at once.
@@ -254,7 +255,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def candidates(signs: DataFrame, texts: DataFrame) -> DataFrame:
-    """All links (a, b) between different texts that the bands find."""
+    """Links (a, b) between different texts that the bands find, enough to join what belongs together."""
     spread = signs.select("node", F.explode("keys").alias("key"))
     buckets = stored(spread.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1"), "buckets")
     members = stored(spread.join(buckets, "key"), "bucket-members")
@@ -272,29 +273,40 @@ def candidates(signs: DataFrame, texts: DataFrame) -> DataFrame:
 
     many = stored(rooted(rooted(many, "node", "root"), "leader", "leader_root"), "large-buckets")
     apart = many.where("root != leader_root").select("key", "node", "root")
-    slim = signs.select("node", "sketch")
-    waiting = blocked(apart.join(slim, "node"), "waiting")
-    there = blocked(many.join(apart.select("key").distinct(), "key", "left_semi").select("key", "node", "root").join(slim, "node"), "there")
+    held = stored(many.join(apart.select("key").distinct(), "key", "left_semi"), "held-buckets")
+    packed = stored(sets(texts, held.select("node")).join(signs.select("node", "sketch"), "node"), "held-sets")
+    held = held.select("key", "node", "root", (F.col("root") != F.col("leader_root")).alias("apart")).join(packed, "node")
+    waiting, there = blocked(held.where("apart"), "waiting"), blocked(held, "there")
+
+    def shares(x: dict) -> tuple[np.ndarray, np.ndarray]:
+        h = np.frombuffer(x["hashes"], np.uint32)
+        return h, np.frombuffer(x["weights"], np.float32).astype(np.float64) if x["weights"] else np.ones(len(h))
 
     def work(rows):
         for batch in rows:
             out = []
             for w, t in zip(batch.field("waiting").to_pylist(), batch.field("there").to_pylist(), strict=True):
                 a, b = (np.frombuffer(b"".join(x["sketch"] for x in side), np.uint8).reshape(-1, PARTS) for side in (w, t))
-                near = np.stack([(a_ == b).mean(axis=1) for a_ in a]) >= NEAR
-                near &= np.array([[x["root"] != y["root"] for y in t] for x in w])
-                out.append([{"a": min(w[i]["node"], t[j]["node"]), "b": max(w[i]["node"], t[j]["node"])} for i, j in zip(*np.nonzero(near), strict=True)])
+                near = np.stack([(sketch == b).mean(axis=1) for sketch in a]) >= NEAR
+                joined: dict[tuple, dict] = {}
+                for i, j in zip(*np.nonzero(near), strict=True):
+                    x, y = w[i], t[j]
+                    roots_ = (min(x["root"], y["root"]), max(x["root"], y["root"]))
+                    # One link joins two components; further ones between the same two change nothing.
+                    if x["root"] != y["root"] and roots_ not in joined and similarity(shares(x), shares(y)) >= SIMILAR - 1e-9:
+                        joined[roots_] = {"a": min(x["node"], y["node"]), "b": max(x["node"], y["node"])}
+                out.append(list(joined.values()))
             yield [pa.array(out, pa.list_(pa.struct([("a", pa.binary()), ("b", pa.binary())])))]
 
     more = carry(waiting.join(there, "key").select("waiting", "there"), "pairs array<struct<a:binary,b:binary>>", work)
-    return links.union(linked(more.select(F.explode("pairs").alias("p")).select("p.a", "p.b"), texts))
+    return links.union(stored(more.select(F.explode("pairs").alias("p")).select("p.a", "p.b").distinct(), "late-links"))
 
 
 def blocked(rows: DataFrame, name: str) -> DataFrame:
     """(key, ``name``): the nodes of each bucket with roots and sketches, in blocks of about BLOCK nodes."""
     size = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     dealt = rows.join(size, "key").withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
-    return dealt.groupBy("key", "block").agg(F.collect_list(F.struct("node", "root", "sketch")).alias(name)).drop("block")
+    return dealt.groupBy("key", "block").agg(F.collect_list(F.struct("node", "root", "sketch", "hashes", "weights")).alias(name)).drop("block")
 
 
 def classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
