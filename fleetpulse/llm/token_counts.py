@@ -1,12 +1,14 @@
 """Token counts: a broadcast table of frequent pre-token lengths, worker caches for the rest, no shuffle.
 
-A pre-token is what stands between ASCII white space. The tokenizer drops white space and none of its
-patterns crosses it, so the tokens of a text are the tokens of its pre-tokens.
+The tokenizer drops white space, none of its patterns crosses it, and it lower-cases. So the tokens of a text
+are those of its pre-tokens: runs of letters, digits and other signs where a word is plain ASCII, and the whole
+word where it is not, as normalisation may then join its characters.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from array import array
 from collections import Counter
 from collections.abc import Iterator
@@ -24,6 +26,16 @@ SAMPLE_PARTITIONS, SAMPLE_DOCS = 32, 256
 FREQUENT = 32_768
 #: Entries of a worker's cache, and the longest pre-token (bytes) it keeps.
 CACHE_ENTRIES, CACHE_LENGTH = 300_000, 64
+#: Pre-tokens encoded in one call; the library's results take far more memory than the pre-tokens.
+AT_ONCE = 1024
+
+# The tokenizer's pattern for ASCII, endings such as 's first, and its mark of special strings.
+PIECES = rb"[A-Za-z]+|(?i:'s|'t|'re|'ve|'m|'ll|'d)|[0-9]|[^\x09-\x0D\x20A-Za-z0-9]+"
+SPECIAL_MARK = b"<|"
+PLAIN = re.compile(PIECES)
+#: A word with a sign beyond printable ASCII is one pre-token.
+MIXED = re.compile(rb"[\x21-\x7E]*+[^\x09-\x0D\x20-\x7E][^\x09-\x0D\x20]*|" + PIECES)
+ODD = re.compile(rb"[^\x09-\x0D\x20-\x7E]")
 
 _worker: dict = {}
 
@@ -41,9 +53,19 @@ def tokenizer(path: str):
     return _worker[path]
 
 
-def lengths(path: str, pre_tokens: list[bytes]) -> list[int]:
-    found = tokenizer(path).encode_batch([p.decode("utf-8", "replace") for p in pre_tokens], add_special_tokens=False)
-    return [len(e) for e in found]
+def pre_tokens(text: bytes) -> list[bytes]:
+    """Stretches that are tokenized apart from each other. Special strings keep the words around them whole."""
+    if SPECIAL_MARK in text:
+        return text.split()
+    return MIXED.findall(text) if ODD.search(text) else PLAIN.findall(text.lower())
+
+
+def lengths(path: str, pieces: list[bytes]) -> list[int]:
+    out: list[int] = []
+    for i in range(0, len(pieces), AT_ONCE):
+        found = tokenizer(path).encode_batch_fast([p.decode("utf-8", "replace") for p in pieces[i:i + AT_ONCE]], add_special_tokens=False)
+        out += [len(e) for e in found]
+    return out
 
 
 def frequent_lengths(df: DataFrame, text: str, path: str, size: int = FREQUENT) -> tuple[bytes, bytes]:
@@ -59,7 +81,7 @@ def frequent_lengths(df: DataFrame, text: str, path: str, size: int = FREQUENT)
         if TaskContext.get().partitionId() % stride == 0:
             for batch in batches:
                 for t in batch.column(0)[:left].to_pylist():
-                    found.update(p for p in (t or b"").split() if len(p) <= CACHE_LENGTH)
+                    found.update(p for p in pre_tokens(t or b"") if len(p) <= CACHE_LENGTH)
                 left -= batch.num_rows
                 if left <= 0:
                     break
@@ -92,7 +114,7 @@ def count_tokens(df: DataFrame, path: str, text: str = "text", limit: int = 2048
         cache = _worker.setdefault(("cache", path), {})
         for batch in rows:
             texts = binaries(batch, text)
-            parts = [t.split() for t in texts]
+            parts = [pre_tokens(t) for t in texts]
             seen = set().union(*parts)
             missing = [p for p in seen if p not in frequent and p not in cache]
             if len(cache) + len(missing) > CACHE_ENTRIES:

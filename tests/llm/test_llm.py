@@ -90,6 +90,29 @@ def test_token_counts_are_the_librarys(spark, sf_dir, docs, odd, none):
     assert token_counts.count_tokens(none, path).count() == 0
 
 
+def mixtures(parts: list[str], seed: int) -> list[str]:
+    draw = random.Random(seed)
+    return ["".join(draw.choice(parts) for _ in range(draw.randint(1, 14))) for _ in range(4000)]
+
+
+def test_token_pieces_are_apart():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    parts = ["'", "s", "S", "L", "e", "é", "\u0301", "<", "|", "<|endoftext|>", " ", "\n", "1", "\u0663", "#", ",", "K", "İ", "Σ", "\x1f", "\u2028"]
+    for text in ["H\u0331", "'stuff I'LL don'T x,'s ''s", "<|ENDOFTEXT|> a<|startoftext|>b", *mixtures(parts, 1)]:
+        pieces = token_counts.pre_tokens(text.encode())
+        assert sum(token_counts.lengths(path, pieces)) == len(library.encode(text, add_special_tokens=False).ids), text
+
+
+def test_bpe_units_are_apart():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, codec = Tokenizer.from_file(path), bpe.codec(path)
+    parts = ["'", "s", "l", "e", "é", "\u0301", "日", " ", "\n", "1", "\u0663", "#", "\u3000", "\x85", "\xa0", "²", "\U0001f600", " 's"]
+    for text in ["日  日\u3000x \u3000 y", " 's 'sé日", *mixtures(parts, 2)]:
+        ids = [i for unit in codec.units(codec.split(text)) for i in unit]
+        assert ids == library.encode(text, add_special_tokens=False).ids, text
+
+
 def test_ppm_is_a_distribution_and_base_is_exact(spark, odd, none):
     train = [b"the cat sat on the mat", b"abracadabra abracadabra", b""] * 3
     code, _ = ppm.codes(train)
