@@ -26,12 +26,13 @@ NEVER = 1 << 40
 
 # Unicode white space as the pre-tokenizer sees it.
 SPACE = r"\t-\r \x85\xa0  -     　"
-#: Stretches that no pre-token crosses: one blank before a run without white space, or white space.
-UNIT = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 
 # The pre-tokenizer's pattern, with the letters and digits below U+0100 written out.
 LETTER, DIGIT = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼½¾"
-LATIN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[{DIGIT}]+| ?[^{SPACE}{LETTER}{DIGIT}]+|[{SPACE}]+")
+PIECES = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[{DIGIT}]+| ?[^{SPACE}{LETTER}{DIGIT}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
+LATIN = re.compile(PIECES)
+#: A run without white space that has a character beyond U+00FF, with the blank before it, is one unit.
+MIXED = re.compile(rf" ?[^{SPACE}\u0100-\U0010FFFF]*+[^\x00-\xFF{SPACE}][^{SPACE}]*|" + PIECES)
 BEYOND_LATIN = re.compile("[^\x00-\xff]")
 #: Up to this many bytes the best merge is looked for along the whole word.
 SHORT = 24
@@ -185,11 +186,11 @@ class SpeculativeBpe:
 
     def pre_tokens(self, unit: str) -> list[bytes]:
         if not BEYOND_LATIN.search(unit):
-            return [p.encode() for p in LATIN.findall(unit)]
+            return [unit.encode()]
         return [bytes(self.letters[c] for c in part) for part, _ in self.pre_tokenizer.pre_tokenize_str(unit)]
 
     def units(self, units: list[str]) -> list[list[int]]:
-        """Ids of stretches that no pre-token crosses."""
+        """Ids of units: pre-tokens, or stretches that no pre-token crosses."""
         parts = [self.pre_tokens(u) for u in units]
         distinct = list(dict.fromkeys(p for ps in parts for p in ps))
         ids = dict(zip(distinct, self.words(distinct), strict=True))
@@ -201,11 +202,12 @@ class SpeculativeBpe:
 
     def split(self, text: str) -> list[str]:
         """Units and special strings of a text, in order."""
+        units = (MIXED if BEYOND_LATIN.search(text) else LATIN).findall
         if not any(s in text for s in self.special):
-            return UNIT.findall(text)
+            return units(text)
         out: list[str] = []
         for i, part in enumerate(re.split("(" + "|".join(map(re.escape, self.special)) + ")", text)):
-            out += [part] if i % 2 else UNIT.findall(part)
+            out += [part] if i % 2 else units(part)
         return out
 
 
