@@ -66,7 +66,7 @@ class SpeculativeBpe:
         for token, i in self.special.items():
             self.bytes_of[i] = token.encode()
         self.id_of = {self.bytes_of[i]: i for i in vocab.values()}
-        self.letter_of = {b: c for c, b in letters.items()}
+        self.digits = list(map(str, range(self.size)))
         self.letters = letters
         self.longest = max(map(len, self.id_of))
         self.single = [self.id_of[bytes([b])] for b in range(256)]
@@ -191,6 +191,8 @@ class SpeculativeBpe:
 
     def units(self, units: list[str]) -> list[list[int]]:
         """Ids of units: pre-tokens, or stretches that no pre-token crosses."""
+        if not BEYOND_LATIN.search("".join(units)):
+            return self.words([u.encode() for u in units])
         parts = [self.pre_tokens(u) for u in units]
         distinct = list(dict.fromkeys(p for ps in parts for p in ps))
         ids = dict(zip(distinct, self.words(distinct), strict=True))
@@ -243,7 +245,7 @@ def encode_decode(df: DataFrame, path: str, text: str = "text", keep_ids: bool =
                 cache.clear()
                 cache.update(found)
             for u, ids in zip(missing, bpe.units(missing), strict=True):
-                found[u] = (len(ids), ",".join(map(str, ids)), bpe.decode(ids))
+                found[u] = (len(ids), ",".join([bpe.digits[i] for i in ids]), bpe.decode(ids))
             cache.update((u, found[u]) for u in missing if len(u) <= CACHE_LENGTH and len(cache) < CACHE_ENTRIES)
             counts, coded, decoded, listed, back = [], [], [], [], []
             for units in parts:
