@@ -32,13 +32,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def carry(df: DataFrame, new: str, work: Callable[[Iterator[pa.StructArray]], Iterator[list[pa.Array]]]) -> DataFrame:
+def carry(df: DataFrame, new: str, work: Callable[[Iterator[pa.StructArray]], Iterator[list[pa.Array]]], keep: list[str] | None = None) -> DataFrame:
     """Columns ``__row`` (the input row as a struct) and those of ``new`` (DDL), whatever the input's columns are called.
 
-    ``work`` gets an iterator of struct arrays and yields for each the list of its new columns.
+    ``work`` gets an iterator of struct arrays and yields for each the list of its new columns. ``keep`` names
+    the fields that ``__row`` brings back (all if None), so that texts need not return from the workers.
     """
     added = T.StructType.fromDDL(new)
-    schema = T.StructType([T.StructField("__row", df.schema), *added.fields])
+    row = df.schema if keep is None else T.StructType([df.schema[k] for k in keep])
+    schema = T.StructType([T.StructField("__row", row), *added.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.StructArray] = []
@@ -46,8 +48,9 @@ def carry(df: DataFrame, new: str, work: Callable[[Iterator[pa.StructArray]], It
         def rows() -> Iterator[pa.StructArray]:
             for batch in batches:
                 if batch.num_rows:
-                    held.append(batch.column(0))
-                    yield batch.column(0)
+                    whole = batch.column(0)
+                    held.append(whole if keep is None else pa.StructArray.from_arrays([whole.field(k) for k in keep], names=keep))
+                    yield whole
 
         for arrays in work(rows()):
             yield pa.RecordBatch.from_arrays([held.pop(0), *arrays], names=["__row", *added.names])
@@ -64,6 +67,19 @@ def binaries(rows: pa.StructArray, name: str) -> list[bytes]:
     return [b if b is not None else b"" for b in column.cast(pa.binary()).to_pylist()]
 
 
+def portions(texts: list[bytes], size: int) -> Iterator[list[bytes]]:
+    """The texts in order, in lists of at most ``size`` bytes; a longer text has a list of its own."""
+    held, total = [], 0
+    for t in texts:
+        if held and total + len(t) > size:
+            yield held
+            held, total = [], 0
+        held.append(t)
+        total += len(t)
+    if held:
+        yield held
+
+
 def flat(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """All bytes one after another, and where each text starts (one more than texts)."""
     starts = np.zeros(len(texts) + 1, np.int64)

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.common import binaries, carry, plain_words, stored
+from fleetpulse.llm.common import binaries, carry, plain_words, portions, stored
 
 SHINGLE, SIMILAR = 5, 0.8
 ROWS, BANDS = 8, 40
@@ -35,7 +35,9 @@ BLOCK, NEAR = 32, 0.71
 FILTER_BITS = 25
 #: Points of the process drawn at once.
 POINTS = 1 << 18
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 100_000
+#: Bytes of the texts that a worker has in work at once.
+PORTION = 1 << 20
 STEP, MIX_A, MIX_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 FACTOR = 0x100000001B3
 
@@ -145,6 +147,11 @@ def nodes(df: DataFrame, text: str) -> DataFrame:
 def signed(texts: DataFrame) -> DataFrame:
     """(node, keys, sketch) of each distinct text with a shingle, stored; texts: __node, __text."""
 
+    def sign(part: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        doc, code, weight = shingles(part)
+        signature = signatures(len(part), doc, code, weight)
+        return band_keys(signature), (signature & np.uint64(0xFF)).astype(np.uint8), np.bincount(doc, minlength=len(part)) > 0
+
     def work(rows):
         for batch in rows:
             seen: dict[bytes, int] = {}
@@ -153,15 +160,13 @@ def signed(texts: DataFrame) -> DataFrame:
             texts, chosen = binaries(batch, "__text"), {}
             for t, w in zip(texts, where, strict=True):
                 chosen.setdefault(w, t)
-            doc, code, weight = shingles(list(chosen.values()))
-            signature = signatures(len(chosen), doc, code, weight)
-            keys, sketch = band_keys(signature), (signature & np.uint64(0xFF)).astype(np.uint8)
-            some = np.bincount(doc, minlength=len(chosen)) > 0
+            parts = [sign(part) for part in portions(list(chosen.values()), PORTION)]
+            keys, sketch, some = (np.concatenate(column) for column in zip(*parts, strict=True))
             first = dict.fromkeys(where)
             shown = [w if some[w] and first.pop(w, 0) is None else None for w in where]
             yield [pa.array([None if w is None else keys[w] for w in shown], pa.list_(pa.int64())), pa.array([None if w is None else sketch[w].tobytes() for w in shown], pa.binary())]
 
-    found = carry(texts, "keys array<long>, sketch binary", work).where("keys IS NOT NULL")
+    found = carry(texts, "keys array<long>, sketch binary", work, ["__node"]).where("keys IS NOT NULL")
     return stored(found.select(F.col("__row.__node").alias("node"), "keys", "sketch").dropDuplicates(["node"]), "signatures")
 
 
@@ -191,20 +196,20 @@ def sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
             bit = batch.field("__bit").to_numpy()
             passed = (bitmap[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1
             fresh = [bool(p) and i not in seen and not seen.add(i) for i, p in zip(batch.field("__node").to_pylist(), passed, strict=True)]
-            doc, code, weight = shingles([t if f else b"" for t, f in zip(binaries(batch, "__text"), fresh, strict=True)])
-            ends = np.searchsorted(doc, np.arange(len(fresh) + 1)) if (np.diff(doc) >= 0).all() else None
-            if ends is None:
+            for part in portions([t if f else b"" for t, f in zip(binaries(batch, "__text"), fresh, strict=True)], PORTION):
+                doc, code, weight = shingles(part)
                 order = np.argsort(doc, kind="stable")
                 doc, code, weight = doc[order], code[order], weight[order]
-                ends = np.searchsorted(doc, np.arange(len(fresh) + 1))
-            for k, f in enumerate(fresh):
-                c, w = code[ends[k]:ends[k + 1]], weight[ends[k]:ends[k + 1]]
-                c, at = np.unique((c >> np.uint64(32)).astype(np.uint32), return_index=True)
-                hashes.append(c.tobytes() if f else None)
-                weights.append(b"" if not f or (w == 1).all() else w[at].astype(np.float32).tobytes())
+                ends = np.searchsorted(doc, np.arange(len(part) + 1))
+                for k in range(len(part)):
+                    c, w = code[ends[k]:ends[k + 1]], weight[ends[k]:ends[k + 1]]
+                    c, at = np.unique((c >> np.uint64(32)).astype(np.uint32), return_index=True)
+                    hashes.append(c.tobytes())
+                    weights.append(b"" if (w == 1).all() else w[at].astype(np.float32).tobytes())
+            hashes = [h if f else None for h, f in zip(hashes, fresh, strict=True)]
             yield [pa.array(hashes, pa.binary()), pa.array(weights, pa.binary())]
 
-    found = carry(texts, "hashes binary, weights binary", work).where("hashes IS NOT NULL")
+    found = carry(texts, "hashes binary, weights binary", work, ["__node"]).where("hashes IS NOT NULL")
     return found.select(F.col("__row.__node").alias("node"), "hashes", "weights").dropDuplicates(["node"])
 
 
@@ -226,7 +231,7 @@ def linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 out.append(similarity((a, weights[0]), (b, weights[1])) >= SIMILAR - 1e-9)
             yield [pa.array(out, pa.bool_())]
 
-    found = carry(pairs.join(side("a"), "a").join(side("b"), "b"), "near boolean", work).where("near")
+    found = carry(pairs.join(side("a"), "a").join(side("b"), "b"), "near boolean", work, ["a", "b"]).where("near")
     return stored(found.select("__row.a", "__row.b"), "links")
 
 
@@ -257,8 +262,11 @@ def components(links: DataFrame) -> DataFrame:
 def candidates(signs: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a, b) between different texts that the bands find, enough to join what belongs together."""
     spread = signs.select("node", F.explode("keys").alias("key"))
-    buckets = stored(spread.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1"), "buckets")
-    members = stored(spread.join(buckets, "key"), "bucket-members")
+    # Most keys are alone: they are counted by number only, and leaders are sought among what is left.
+    shared = stored(spread.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
+    members = stored(spread.join(shared, "key"), "bucket-rows")
+    leaders = members.groupBy("key").agg(F.min("node").alias("leader"))
+    members = stored(members.join(leaders, "key"), "bucket-members")
     few = members.where(f"n <= {SMALL}").select("key", "node")
     pairs = few.select("key", F.col("node").alias("a")).join(few.select("key", F.col("node").alias("b")), "key").where("a < b").select("a", "b")
     to_leader = members.where(f"n > {SMALL} AND node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
@@ -298,7 +306,7 @@ def candidates(signs: DataFrame, texts: DataFrame) -> DataFrame:
                 out.append(list(joined.values()))
             yield [pa.array(out, pa.list_(pa.struct([("a", pa.binary()), ("b", pa.binary())])))]
 
-    more = carry(waiting.join(there, "key").select("waiting", "there"), "pairs array<struct<a:binary,b:binary>>", work)
+    more = carry(waiting.join(there, "key").select("key", "waiting", "there"), "pairs array<struct<a:binary,b:binary>>", work, ["key"])
     return links.union(stored(more.select(F.explode("pairs").alias("p")).select("p.a", "p.b").distinct(), "late-links"))
 
 
