@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from fleetpulse.llm import bpe, chat, decontaminate, langid, licenses, neardup, ppm, quality, sharding, token_counts
-from fleetpulse.llm.common import plain_words
+from fleetpulse.llm.common import plain_words, portions
 from fleetpulse.llm.queries import QUERIES
 
 LONG = "lorem ipsum dolor " * 3000
@@ -234,6 +234,15 @@ def test_large_near_groups_lose_no_link(spark):
     assert sizes[0] == 60 and len(sizes) == 21
 
 
+def test_slices_of_texts_change_no_signature(monkeypatch):
+    texts = [b"", b"one two", b" ".join(b"w%d" % (i % 700) for i in range(3000)), b"a b c d e f", b"a b c d e f"]
+    assert [list(p) for p in portions(texts, 10)] == [texts[:2], texts[2:3], texts[3:4], texts[4:]]
+    assert list(portions([], 10)) == [] and list(portions([b""], 10)) == [[b""]]
+    whole = neardup.band_keys(neardup.signatures(len(texts), *neardup.shingles(texts)))
+    parts = [neardup.band_keys(neardup.signatures(len(p), *neardup.shingles(p))) for p in portions(texts, 10)]
+    assert (np.concatenate(parts) == whole).all()
+
+
 def test_probability_jaccard():
     a, b = np.array([1, 2, 3], np.uint32), np.array([2, 3, 4], np.uint32)
     wa, wb = np.array([1.0, 2, 3]), np.array([2.0, 5, 1])
