@@ -1,10 +1,11 @@
 """Language-model scoring: prediction by partial matching over bytes, pretrained on the training documents.
 
 The corpus gives counts of byte strings one longer than the longest context; shorter ones follow by adding
-up. They form a context trie of bounded size: of each length the most frequent strings, a string only with its
-own ending. A symbol that a context does not know is escaped (method C: as often as the context has distinct
+up. All are kept. A symbol that a context does not know is escaped (method C: as often as the context has distinct
 symbols), and the shorter context leaves out all symbols that the longer one knows. What is left out
-depends on the longer context alone, so its totals are part of the trie and texts are scored by table look-ups.
+depends on the longer context alone, so the score of a symbol depends on the string that ends with it alone.
+The most frequent strings are looked up in a broadcast table of their exact scores; all others, seen or
+not, are counted for each text and scored by joins with the stored counts of every length.
 
 Beside it stands a smoothed unigram of words over exact counts of the whole vocabulary: frequent words from a
 broadcast table, all others by a join.
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from fleetpulse.llm.common import binaries, bounded_batches, carry, flat, stored, sums
 
-#: Longest context in bytes, and the strings of each length that the trie keeps at most.
+#: Longest context in bytes, and the strings that the broadcast table of exact scores holds at most.
 ORDER, TRIE = 5, 1 << 19
 #: Entries of the broadcast table of frequent words.
 FREQUENT = 1 << 18
@@ -139,7 +140,42 @@ class Level:
     lower_log_escape: np.ndarray
 
 
+class Direct:
+    """Open addressing from codes to values."""
+
+    def __init__(self, code: np.ndarray, value: np.ndarray) -> None:
+        self.slots = np.full(1 << max(4, (4 * max(1, len(code)) - 1).bit_length()), EMPTY)
+        self.values = np.zeros(len(self.slots))
+        self.shift = np.uint64(64 - (len(self.slots).bit_length() - 1))
+        slot, left = (code * SPREAD) >> self.shift, np.arange(len(code))
+        while len(left):
+            free = self.slots[slot[left]] == EMPTY
+            self.slots[slot[left[free]]] = code[left[free]]
+            won = self.slots[slot[left]] == code[left]
+            self.values[slot[left[won]]] = value[left[won]]
+            left = left[~won]
+            slot[left] = (slot[left] + np.uint64(1)) & np.uint64(len(self.slots) - 1)
+
+    def look_up(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values (0 where there is none), and the places of codes that are not in the table."""
+        out, slot = np.zeros(len(code)), (code * SPREAD) >> self.shift
+        there = self.slots[slot]
+        hit = there == code
+        out[hit] = self.values[slot[hit]]
+        probe, rest = np.flatnonzero(~hit & (there != EMPTY)), [np.flatnonzero(there == EMPTY)]
+        while len(probe):
+            slot[probe] = (slot[probe] + np.uint64(1)) & np.uint64(len(self.slots) - 1)
+            there = self.slots[slot[probe]]
+            hit = there == code[probe]
+            out[probe[hit]] = self.values[slot[probe[hit]]]
+            rest.append(probe[there == EMPTY])
+            probe = probe[~hit & (there != EMPTY)]
+        return out, np.concatenate(rest)
+
+
 class Trie:
+    """The whole model in memory, over the strings it is given. Jobs use the stored counts instead; see exact()."""
+
     def __init__(self, grams: list[tuple[np.ndarray, np.ndarray]]):
         """grams: for each context length from 0 on, codes (symbol last) and their counts."""
         self.levels: list[Level] = []
@@ -169,36 +205,11 @@ class Trie:
         self.log_rest = -np.log10(max(1, SYMBOLS - known))
         top = self.levels[-1]
         at, _ = find(top.contexts, top.grams >> np.uint64(8))
-        self.slots = np.full(1 << max(4, (4 * max(1, len(top.grams)) - 1).bit_length()), EMPTY)
-        self.direct = np.zeros(len(self.slots))
-        self.shift = np.uint64(64 - (len(self.slots).bit_length() - 1))
-        self._fill(top.grams, top.counts - top.log_denominator[at] if len(at) else top.counts)
-
-    def _fill(self, code: np.ndarray, value: np.ndarray) -> None:
-        slot, left = (code * SPREAD) >> self.shift, np.arange(len(code))
-        while len(left):
-            free = self.slots[slot[left]] == EMPTY
-            self.slots[slot[left[free]]] = code[left[free]]
-            won = self.slots[slot[left]] == code[left]
-            self.direct[slot[left[won]]] = value[left[won]]
-            left = left[~won]
-            slot[left] = (slot[left] + np.uint64(1)) & np.uint64(len(self.slots) - 1)
+        self.direct = Direct(top.grams, top.counts - top.log_denominator[at] if len(at) else top.counts)
 
     def score(self, code: np.ndarray) -> np.ndarray:
         """Log10 probability of each symbol after its context."""
-        out, slot = np.zeros(len(code)), (code * SPREAD) >> self.shift
-        there = self.slots[slot]
-        hit = there == code
-        out[hit] = self.direct[slot[hit]]
-        probe, rest = np.flatnonzero(~hit & (there != EMPTY)), [np.flatnonzero(there == EMPTY)]
-        while len(probe):
-            slot[probe] = (slot[probe] + np.uint64(1)) & np.uint64(len(self.slots) - 1)
-            there = self.slots[slot[probe]]
-            hit = there == code[probe]
-            out[probe[hit]] = self.direct[slot[probe[hit]]]
-            rest.append(probe[there == EMPTY])
-            probe = probe[~hit & (there != EMPTY)]
-        left = np.concatenate(rest)
+        out, left = self.direct.look_up(code)
         escaped = np.full(len(left), -1)
         for k in range(len(self.levels) - 1, -1, -1):
             if not len(left):
@@ -234,14 +245,71 @@ def find(table: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, table[at] == code
 
 
-def trie(counts: DataFrame) -> Trie:
-    """The trie from the counts of the longest strings; at most TRIE strings of each length reach the driver."""
-    grams = []
-    for k in range(ORDER + 1):
-        shorter = counts.where("gram IS NOT NULL").groupBy(F.col("gram").bitwiseAND(F.lit(int(mask(k + 1)))).alias("gram")).agg(F.sum("n").alias("n"))
-        found = most(shorter, TRIE).toArrow()
-        grams.append((found["gram"].to_numpy().astype(np.int64).view(np.uint64), found["n"].to_numpy()))
-    return Trie(grams)
+def strings(counts: DataFrame) -> list[DataFrame]:
+    """(gram, n) of all strings of each length, shortest first; each length adds up the next longer one."""
+    levels = [counts.where("gram IS NOT NULL").select("gram", "n")]
+    for k in range(ORDER - 1, -1, -1):
+        levels.append(stored(levels[-1].groupBy(ending("gram", k + 1).alias("gram")).agg(F.sum("n").alias("n")), f"strings-{k}"))
+    return levels[::-1]
+
+
+def ending(code: str, size: int) -> Column:
+    return F.col(code).bitwiseAND(F.lit(int(mask(size))).cast("long"))
+
+
+def contexts(levels: list[DataFrame], k: int) -> DataFrame:
+    """Contexts of k bytes: what they total, and what the next shorter one totals after an escape from them."""
+    def totals(grams: DataFrame, *more: Column) -> DataFrame:
+        return grams.groupBy(F.shiftright("gram", 8).alias("context")).agg(F.sum("n").cast("double").alias("mass"), F.count("*").cast("double").alias("kinds"), *more)
+
+    if k == 0:
+        return totals(levels[0]).withColumns({"lower_mass": F.lit(0.0), "lower_kinds": F.lit(0.0)})
+    shorter = levels[k - 1].select(F.col("gram").alias("end"), F.col("n").alias("below"))
+    known = totals(levels[k].withColumn("end", ending("gram", k)).join(shorter, "end"), F.sum("below").alias("below"))
+    lower = totals(levels[k - 1]).select(F.col("context").alias("end"), F.col("mass").alias("all_mass"), F.col("kinds").alias("all_kinds"))
+    left = F.col("all_kinds") - F.col("kinds")
+    return known.withColumn("end", ending("context", k - 1)).join(lower, "end").select(
+        "context", "mass", "kinds", (F.col("all_mass") - F.col("below") + left).alias("lower_mass"), left.alias("lower_kinds"))
+
+
+def exact(codes: DataFrame, levels: list[DataFrame], longest: DataFrame) -> DataFrame:
+    """(gram, first) of distinct codes (``gram``): log10 probability of the last byte after those before it.
+
+    ``longest``: contexts of ORDER bytes. On the way down each length is asked for the endings of what the longer one
+    does not know; on the way up ``first`` is the score if the string's own context is looked at first,
+    ``after`` that of the rest after an escape from it. A string has at most 256 longer ones, so no key is large.
+    """
+    asked = []
+    for k in range(ORDER, -1, -1):
+        found = stored(codes.join(levels[k], "gram", "left"), f"asked-{k}")
+        asked.append(found)
+        codes = found.where("n IS NULL").select(ending("gram", k).alias("gram")).distinct()
+    rest = F.lit(-float(np.log10(max(1, SYMBOLS - levels[0].count()))))
+    below = None
+    for k, found in enumerate(reversed(asked)):
+        at = found.withColumn("context", F.shiftright("gram", 8)).join(longest if k == ORDER else contexts(levels, k), "context", "left")
+        if below is None:
+            after = first = rest
+        else:
+            at = at.withColumn("end", F.when(F.col("n").isNull(), ending("gram", k))).join(below, "end", "left")
+            escape = F.when(F.col("lower_kinds") > 0, F.log10("lower_kinds") - F.log10("lower_mass")).otherwise(0.0)
+            after = F.when(F.col("lower_n").isNotNull(), F.log10("lower_n") - F.log10("lower_mass")).otherwise(escape + F.col("lower_after"))
+            first = F.col("lower_first")
+        total = F.log10(F.col("mass") + F.col("kinds"))
+        done = at.withColumn("after", after).select(
+            "gram", "n", "after", F.when(F.col("n").isNotNull(), F.log10("n") - total).when(F.col("mass").isNotNull(), F.log10("kinds") - total + F.col("after")).otherwise(first).alias("first"))
+        below = done.select(F.col("gram").alias("end"), F.col("n").alias("lower_n"), F.col("after").alias("lower_after"), F.col("first").alias("lower_first"))
+    return done.select("gram", "first")
+
+
+def tallied(owner: np.ndarray, code: np.ndarray, size: int) -> pa.Array:
+    """For each of ``size`` texts its codes with how often it has them."""
+    order = np.lexsort((code, owner))
+    owner, code = owner[order], code[order]
+    new = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (code[1:] != code[:-1]))[:len(code)])
+    k = np.diff(np.append(new, len(code)))
+    pairs = pa.StructArray.from_arrays([pa.array(code[new].view(np.int64)), pa.array(k, pa.int64())], names=["gram", "k"])
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(owner[new], np.arange(size + 1)), pa.int32()), pairs)
 
 
 def held_out(key: Column) -> Column:
@@ -261,11 +329,15 @@ def score(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     total, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     below = np.log10(total + ADD * (kinds + 1))
     table = most(words, FREQUENT).toArrow()
-    model = trie(counts)
+    levels = strings(counts)
+    longest = stored(contexts(levels, ORDER), "contexts")
+    top = most(levels[ORDER], TRIE).withColumn("context", F.shiftright("gram", 8)).join(longest, "context")
+    top = top.select("gram", (F.log10("n") - F.log10(F.col("mass") + F.col("kinds"))).alias("first")).toArrow()
+    model = Direct(top["gram"].to_numpy().astype(np.int64).view(np.uint64), top["first"].to_numpy())
     shared = df.sparkSession.sparkContext.broadcast((model, table["word"].to_pylist(), (np.log10(table["n"].to_numpy() + ADD) - below).tolist()))
 
     def work(batches):
-        ppm, names, values = shared.value
+        direct, names, values = shared.value
         frequent = dict(zip(names, values, strict=True))
         for batch in batches:
             texts = [t.lower() for t in binaries(batch, "text")]
@@ -280,19 +352,26 @@ def score(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
                 missed = Counter([w for w, v in zip(tokens, got, strict=True) if v is None]) if len(seen) < len(tokens) else {}
                 rare.append([{"word": w, "k": k} for w, k in missed.items()])
             value = np.zeros(len(texts))
+            owner, other = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
             for owners, parts in portions(texts):
                 code, starts = coded(parts)
-                np.add.at(value, owners, sums(ppm.score(code), starts))
+                found, left = direct.look_up(code)
+                np.add.at(value, owners, sums(found, starts))
+                owner.append(np.array(owners)[np.searchsorted(starts, left, "right") - 1])
+                other.append(code[left])
             yield [pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),
-                   pa.array(rare, pa.list_(pa.struct([("word", pa.binary()), ("k", pa.int64())]))), pa.array(value)]
+                   pa.array(rare, pa.list_(pa.struct([("word", pa.binary()), ("k", pa.int64())]))), pa.array(value), tallied(np.concatenate(owner), np.concatenate(other), len(texts))]
 
-    done = carry(rows, "n_tokens long, n_known long, base double, rare array<struct<word:binary,k:long>>, score double", work)
-    done = done.select("__row.doc_id", "__row.held_out", "n_tokens", "n_known", "base", "rare", "score", F.monotonically_increasing_id().alias("row"))
+    done = carry(rows, "n_tokens long, n_known long, base double, rare array<struct<word:binary,k:long>>, score double, others array<struct<gram:long,k:long>>", work)
+    done = done.select("__row.doc_id", "__row.held_out", "n_tokens", "n_known", "base", "rare", "score", "others", F.monotonically_increasing_id().alias("row"))
     done = stored(done, "scored")
     rare = done.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.k")
     joined = rare.join(words, "word", "left")
     value = F.col("k") * (F.log10(F.coalesce("n", F.lit(0)) + F.lit(ADD)) - F.lit(float(below)))
     rest = joined.groupBy("row").agg(F.sum(value).alias("more"), F.sum(F.when(F.col("n") > 0, F.col("k")).otherwise(0)).alias("found"))
-    return done.drop("rare").join(rest, "row", "left").select(
+    others = done.select("row", F.explode("others").alias("o")).select("row", "o.gram", "o.k")
+    scores = exact(others.select("gram").distinct(), levels, longest)
+    strange = others.join(scores, "gram").groupBy("row").agg(F.sum(F.col("k") * F.col("first")).alias("others_score"))
+    return done.drop("rare", "others").join(rest, "row", "left").join(strange, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("found", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"), "score")
+        (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"), (F.col("score") + F.coalesce("others_score", F.lit(0.0))).alias("score"))

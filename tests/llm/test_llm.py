@@ -137,6 +137,19 @@ def test_ppm_is_a_distribution_and_base_is_exact(spark, odd, none):
     assert len(rows) == len(ODD) and ppm.score(none).count() == 0
 
 
+def test_ppm_scores_are_exact_beyond_the_broadcast_table(spark, docs, monkeypatch):
+    texts = {i: t[:3000].encode().lower() for i, t in sorted(docs.items())[:60]}
+    train = [t for i, t in texts.items() if zlib.crc32(str(i).encode()) % 10]
+    assert 0 < len(train) < len(texts)
+    code, _ = ppm.codes(train)
+    whole = ppm.Trie([np.unique(code & ppm.mask(k + 1), return_counts=True) for k in range(ppm.ORDER + 1)])
+    monkeypatch.setattr(ppm, "TRIE", 50)
+    rows = ppm.score(spark.createDataFrame([(i, t.decode()) for i, t in texts.items()], "doc_id long, text string")).collect()
+    for r in rows:
+        assert math.isclose(r["score"], whole.score(ppm.codes([texts[r["doc_id"]]])[0]).sum(), rel_tol=1e-9), r["doc_id"]
+    assert len(rows) == len(texts)
+
+
 def brute_windows(text, items):
     w, hit, found = plain_words(text.encode()), set(), set()
     for item, words in items:
