@@ -1,7 +1,8 @@
 """Language identification: text likelihoods, declared language, address suffix and host priors in one posterior.
 
-The text model is a multinomial over hashed byte trigrams for each language, fitted on a bounded sample of
-rows that declare their language. Priors are counts of what the texts alone say, over all rows, by host,
+The text model is a multinomial over hashed byte trigrams for each language that enough rows of the whole table
+declare, fitted on a sample of each. A language that fewer declare is a hypothesis for the rows that declare it, as
+a text of any language or of none. Priors are counts of what the texts alone say, over all rows, by host,
 domain and table, each level smoothed by the one above. ``und`` is a hypothesis of its own: bytes that
 follow no language, uniform over the bins.
 """
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from fleetpulse.llm.common import binaries, bounded_batches, carry, flat, gram_bins, stored, sums
 
 N, BITS = 3, 14
-#: Bound of the labelled sample, and the rows a language must have in it.
+#: About how many rows of each language the models are fitted on, and the rows of the table that a language must have.
 LABELLED, LEAST = 20_000, 5
 #: Numbers (hosts times languages) of the broadcast prior table; rows of other hosts are joined by host.
 TABLE_NUMBERS = 100_000
@@ -37,6 +38,7 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 class Model:
     languages: list[str]  # UNKNOWN is the last
     log_bins: np.ndarray  # languages x bins
+    log_any: np.ndarray  # bins, all languages together
 
 
 def language(declared: Column) -> Column:
@@ -48,14 +50,21 @@ def language(declared: Column) -> Column:
 def views(df: DataFrame, text: str, declared: Column, host: Column, key: Column) -> DataFrame:
     """``__row``, and what the evidence needs in columns of their own."""
     host = F.lower(F.coalesce(host.cast("string"), F.lit("")))
-    return df.select(F.struct("*").alias("__row0"), F.col(text).cast("string").alias("__text"), language(declared).alias("__declared"), host.alias("__host"), F.xxhash64(key).alias("__hash")).withColumn(
+    return df.select(F.struct("*").alias("__row0"), F.col(text).cast("string").alias("__text"), language(declared).alias("__declared"), host.alias("__host"), F.xxhash64(key, F.col(text).cast("string")).alias("__hash")).withColumn(
         "__suffix", F.regexp_extract("__host", r"\.([a-z]{2}\.[a-z]{2}|[a-z]+)$", 1)).withColumn("__domain", F.regexp_extract("__host", r"([^.]+\.[^.]+)$", 1))
 
 
 def fit(rows: DataFrame) -> Model:
-    """Trigram models of the languages with LEAST rows in a sample of LABELLED rows, chosen by the hash of their key."""
-    sample = rows.where("__declared IS NOT NULL").select("__hash").orderBy("__hash").limit(LABELLED).distinct()
-    chosen = stored(rows.where("__declared IS NOT NULL").join(F.broadcast(sample), "__hash").select("__text", "__declared").limit(LABELLED), "declared")
+    """Trigram models of all languages that LEAST rows declare, each from its rows with the smallest hashes, LABELLED or so.
+
+    Rows are chosen by a bound of the hash for each language, so no row is sorted; the smallest hash is always chosen.
+    """
+    declared = rows.where("__declared IS NOT NULL")
+    found = declared.groupBy("__declared").agg(F.count("*").alias("n"), F.min("__hash").alias("least")).where(F.col("n") >= LEAST).orderBy("__declared").collect()
+    often = [r[0] for r in found]
+    bounds = [(lang, max(least, -(1 << 63) + (1 << 64) * min(LABELLED, n) // n - 1)) for lang, n, least in found]
+    table = rows.sparkSession.createDataFrame(bounds, "__declared string, __bound long")
+    chosen = declared.join(F.broadcast(table), "__declared").where("__hash <= __bound")
     bounded_batches(rows.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,13 +79,13 @@ def fit(rows: DataFrame) -> Model:
             at = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(n[at])], names=["lang", "bin", "n"])
 
-    often = [r[0] for r in chosen.groupBy("__declared").count().where(F.col("count") >= LEAST).orderBy("__declared").collect()]
     counts = np.zeros((len(often), 1 << BITS))
-    for lang, b, n in chosen.where(F.col("__declared").isin(often)).select(F.col("__text").cast("binary"), "__declared").mapInArrow(count, "lang string, bin int, n long").groupBy("lang", "bin").agg(F.sum("n")).toLocalIterator():
+    for lang, b, n in chosen.select(F.col("__text").cast("binary"), "__declared").mapInArrow(count, "lang string, bin int, n long").groupBy("lang", "bin").agg(F.sum("n")).toLocalIterator():
         counts[often.index(lang), b] += n
     share = (counts + 0.1) / (counts + 0.1).sum(axis=1, keepdims=True)
     uniform = np.full((1, 1 << BITS), 0.5 ** BITS)
-    return Model([*often, UNKNOWN], np.log(np.concatenate([share, uniform])))
+    pooled = counts.sum(axis=0) + 0.1
+    return Model([*often, UNKNOWN], np.log(np.concatenate([share, uniform])), np.log(pooled / pooled.sum()))
 
 
 def likelihoods(texts: list[bytes], model: Model) -> tuple[np.ndarray, np.ndarray]:
@@ -87,6 +96,13 @@ def likelihoods(texts: list[bytes], model: Model) -> tuple[np.ndarray, np.ndarra
     return np.stack(columns, axis=1), sums(whole.astype(np.int64), starts)
 
 
+def any_likelihood(texts: list[bytes], model: Model) -> np.ndarray:
+    """The same if nothing is known of the language: as all languages together or as none, whichever is more likely."""
+    data, starts = flat([t.translate(LOWER) for t in texts])
+    h, whole = gram_bins(data, starts, N, BITS)
+    return np.maximum(sums(np.where(whole, model.log_any[h], 0.0), starts), sums(whole.astype(np.float64), starts) * model.log_bins[-1, 0]) / N
+
+
 def priors(rows: DataFrame, model: Model) -> DataFrame:
     """(__host, n, prior): smoothed shares of the languages, from the texts' own verdicts over all rows."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
@@ -133,25 +149,35 @@ def identify(df: DataFrame, declared: Column, host: Column, key: Column, text: s
     shared = df.sparkSession.sparkContext.broadcast(model)
     new = "lang string, confidence double, kept boolean"
 
-    def hint(names: list[str | None], right: float, langs: list[str]) -> np.ndarray:
-        out, others = np.zeros((len(names), len(langs))), max(1, len(langs) - 1)
+    def hint(names: list[str | None], right: float, langs: list[str], own: list[str | None]) -> np.ndarray:
+        """Of each row and language; the last column is that of the row's own hypothesis, if it has one."""
+        out = np.zeros((len(names), len(langs) + 1))
         for i, name in enumerate(names):
-            if name in langs[:-1]:
-                out[i] = np.log((1 - right) / others)
-                out[i, langs.index(name)] = np.log(right)
+            if name is not None and (name in langs[:-1] or name == own[i]):
+                out[i] = np.log((1 - right) / max(1, len(langs) - (own[i] is None)))
+                out[i, -1 if name == own[i] else langs.index(name)] = np.log(right)
         return out
 
     def work(batches):
         m = shared.value
+        und = len(m.languages) - 1
         for batch in batches:
             prior = np.array(batch.field("prior").to_pylist())
-            ll, grams = likelihoods(binaries(batch, "__text"), m)
-            score = ll + np.log(prior) + hint(batch.field("__declared").to_pylist(), DECLARED_RIGHT, m.languages)
-            score += hint([SUFFIXES.get(s) for s in batch.field("__suffix").to_pylist()], SUFFIX_RIGHT, m.languages)
+            texts, names = binaries(batch, "__text"), batch.field("__declared").to_pylist()
+            ll, grams = likelihoods(texts, m)
+            own = [x if x not in m.languages[:-1] else None for x in names]
+            at = [i for i, x in enumerate(own) if x is not None]
+            # Texts of a language without a model are among those that follow none: the same prior.
+            score = np.concatenate([ll + np.log(prior), np.full((len(texts), 1), -np.inf)], axis=1)
+            if at:
+                score[at, -1] = any_likelihood([texts[i] for i in at], m) + np.log(prior[at, und])
+            score += hint(names, DECLARED_RIGHT, m.languages, own)
+            score += hint([SUFFIXES.get(s) for s in batch.field("__suffix").to_pylist()], SUFFIX_RIGHT, m.languages, own)
             best = score.argmax(axis=1)
             sure = 1 / np.exp(score - score.max(axis=1, keepdims=True)).sum(axis=1)
-            kept = (best < len(m.languages) - 1) & (grams > 0)
-            yield [pa.array([m.languages[b] if k else UNKNOWN for b, k in zip(best, kept, strict=True)], pa.string()), pa.array(np.round(sure, 6)), pa.array(kept)]
+            kept = (best != und) & (grams > 0)
+            said = [own[i] if b > und else m.languages[b] for i, b in enumerate(best)]
+            yield [pa.array([x if k else UNKNOWN for x, k in zip(said, kept, strict=True)], pa.string()), pa.array(np.round(sure, 6)), pa.array(kept)]
 
     done = carry(joined, new, work)
     return done.select(F.col("__row.__row0").alias("__row"), "lang", "confidence", F.col("__row.__declared").alias("declared"), F.col("__row.__host").alias("host"), "kept")

@@ -80,6 +80,18 @@ def test_languages(spark, sf_dir, odd, none):
     assert QUERIES["language_id_pages"](spark, sf_dir).where("lang = declared").count() > 0
 
 
+def test_rare_languages_are_found_on_large_tables(spark, monkeypatch):
+    """Ten of 400 rows, and two of a language without a model, against samples of 20 rows."""
+    rng = random.Random(5)
+    words = {"en": "the house stands near river where old people talk about weather every morning", "fi": "talo seisoo joen vieressa jossa vanhat ihmiset puhuvat saasta joka aamu yhdessa", "th": "บ้าน ตั้ง อยู่ ใกล้ แม่น้ำ คน แก่ พูด คุย ทุก เช้า"}
+    rows = [(i, " ".join(rng.choices(words[lang].split(), k=30)), lang) for i, lang in enumerate(["en"] * 388 + ["fi"] * 10 + ["th"] * 2)]
+    rows += [(400, "the old house stands near the river where people talk every morning", "xx")]
+    monkeypatch.setattr(langid, "LABELLED", 20)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    found = langid.identify(df, F.col("lang"), F.lit(None), F.col("doc_id")).select("__row.doc_id", "lang", "kept").collect()
+    assert {r["doc_id"]: (r["lang"], r["kept"]) for r in found} == {i: ("en" if lang == "xx" else lang, True) for i, _, lang in rows}
+
+
 def test_token_counts_are_the_librarys(spark, sf_dir, docs, odd, none):
     path = public_tokenizers.path("word_bpe_49k.json")
     library = Tokenizer.from_file(path)
