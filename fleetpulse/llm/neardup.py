@@ -3,12 +3,13 @@
 Each shingle (five words; its weight grows with its count) sends points of a Poisson process, at a rate of its
 share of the document's weight, to the parts of the signature; a part keeps the shingle of its first point.
 Points later than the last first point cannot matter, so a document's process ends there. Two documents agree
-in a part with the probability Jaccard of their weights. Documents that agree in a whole band are candidates, and
+in a part with the probability Jaccard of their weights. Documents with repeated shingles have a second signature
+with all weights 1, which agrees with the set Jaccard; the others' one signature says both. Documents that agree in a whole band are candidates, and
 candidates with a similarity (set or probability Jaccard) of 0.8 or more are linked.
 
 Equal texts are one node. A band's bucket of few nodes gives all its pairs. In a larger one each node is
 held against the bucket's leader; nodes that end up in another component than their leader are held against
-all nodes of other components in the bucket, block by block: sketches of one byte for each part of the
+all nodes of other components in the bucket, block by block: sketches of one byte for each part of a
 signature tell which pairs come near enough for an exact check, and one link for each two components stays.
 Nothing is capped.
 """
@@ -29,7 +30,7 @@ PARTS = ROWS * BANDS
 #: Buckets up to this size give all their pairs.
 SMALL = 4
 #: Nodes of a block, and the share of equal sketch bytes from which a pair is checked: four standard errors
-#: below what a similarity of 0.8 gives.
+#: below what a similarity of 0.8 gives in the sketch of its kind, set or probability Jaccard.
 BLOCK, NEAR = 32, 0.71
 #: Bits (as a power of two) of the bitmap of candidates.
 FILTER_BITS = 25
@@ -144,13 +145,35 @@ def nodes(df: DataFrame, text: str) -> DataFrame:
     return df.withColumn("__node", F.unhex(F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary"))))
 
 
-def signed(texts: DataFrame) -> DataFrame:
-    """(node, keys, sketch) of each distinct text with a shingle, stored; texts: __node, __text."""
+def sign(part: list[bytes]) -> tuple[list[np.ndarray], list[bytes], list[bool]]:
+    """Band keys and sketch of each text, and whether it has shingles. Where one is repeated, both of two signatures.
+
+    The sketch of the weighted signature comes first, that of the plain one last; without repetitions they are one.
+    """
+    doc, code, weight = shingles(part)
+    signature = signatures(len(part), doc, code, weight)
+    keys, sketch = list(band_keys(signature)), [x.tobytes() for x in (signature & np.uint64(0xFF)).astype(np.uint8)]
+    repeated = np.unique(doc[weight > 1])
+    if len(repeated):
+        of = np.isin(doc, repeated)
+        plain = signatures(len(repeated), np.searchsorted(repeated, doc[of]), code[of], np.ones(int(of.sum())))
+        for i, k, s in zip(repeated, band_keys(plain), (plain & np.uint64(0xFF)).astype(np.uint8), strict=True):
+            keys[i], sketch[i] = np.unique(np.concatenate([keys[i], k])), sketch[i] + s.tobytes()
+    return keys, sketch, (np.bincount(doc, minlength=len(part)) > 0).tolist()
+
+
+def close(some: list[bytes], others: list[bytes]) -> np.ndarray:
+    """For each sketch of ``some`` and of ``others`` whether one of the two similarities may be large enough."""
+    out = np.zeros((len(some), len(others)), bool)
+    two = any(len(s) > PARTS for s in (*some, *others))
+    for part in (slice(0, PARTS), slice(-PARTS, None)) if two else (slice(0, PARTS),):
+        a, b = (np.frombuffer(b"".join(s[part] for s in side), np.uint8).reshape(-1, PARTS) for side in (some, others))
+        out |= np.stack([(sketch == b).mean(axis=1) for sketch in a]) >= NEAR
+    return out
 
-    def sign(part: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        doc, code, weight = shingles(part)
-        signature = signatures(len(part), doc, code, weight)
-        return band_keys(signature), (signature & np.uint64(0xFF)).astype(np.uint8), np.bincount(doc, minlength=len(part)) > 0
+
+def signed(texts: DataFrame) -> DataFrame:
+    """(node, keys, sketch) of each distinct text with a shingle, stored; texts: __node, __text. See sign()."""
 
     def work(rows):
         for batch in rows:
@@ -161,10 +184,10 @@ def signed(texts: DataFrame) -> DataFrame:
             for t, w in zip(texts, where, strict=True):
                 chosen.setdefault(w, t)
             parts = [sign(part) for part in portions(list(chosen.values()), PORTION)]
-            keys, sketch, some = (np.concatenate(column) for column in zip(*parts, strict=True))
+            keys, sketch, some = (sum(column, []) for column in zip(*parts, strict=True))
             first = dict.fromkeys(where)
             shown = [w if some[w] and first.pop(w, 0) is None else None for w in where]
-            yield [pa.array([None if w is None else keys[w] for w in shown], pa.list_(pa.int64())), pa.array([None if w is None else sketch[w].tobytes() for w in shown], pa.binary())]
+            yield [pa.array([None if w is None else keys[w] for w in shown], pa.list_(pa.int64())), pa.array([None if w is None else sketch[w] for w in shown], pa.binary())]
 
     found = carry(texts, "keys array<long>, sketch binary", work, ["__node"]).where("keys IS NOT NULL")
     return stored(found.select(F.col("__row.__node").alias("node"), "keys", "sketch").dropDuplicates(["node"]), "signatures")
@@ -294,8 +317,7 @@ def candidates(signs: DataFrame, texts: DataFrame) -> DataFrame:
         for batch in rows:
             out = []
             for w, t in zip(batch.field("waiting").to_pylist(), batch.field("there").to_pylist(), strict=True):
-                a, b = (np.frombuffer(b"".join(x["sketch"] for x in side), np.uint8).reshape(-1, PARTS) for side in (w, t))
-                near = np.stack([(sketch == b).mean(axis=1) for sketch in a]) >= NEAR
+                near = close([x["sketch"] for x in w], [x["sketch"] for x in t])
                 joined: dict[tuple, dict] = {}
                 for i, j in zip(*np.nonzero(near), strict=True):
                     x, y = w[i], t[j]

@@ -259,6 +259,21 @@ def test_large_near_groups_lose_no_link(spark):
     assert sizes[0] == 60 and len(sizes) == 21
 
 
+def test_near_copies_with_repeated_lines(spark):
+    """Set Jaccard 300 / 374; what one text says fifty times lowers the probability Jaccard to about 0.71."""
+    texts = []
+    for i in range(60):
+        line, rest = " ".join(f"s{i}x{k}" for k in range(104)), " ".join(f"t{i}x{k}" for k in range(200))
+        texts += [" ".join([line] * 50 + [rest, *(f"a{i}x{k}" for k in range(33))]), " ".join([line, rest, *(f"b{i}x{k}" for k in range(37))])]
+    sets = [set(c.tolist()) for t in texts for _, c, _ in [neardup.shingles([t.encode()])]]
+    assert all(len(a & b) / len(a | b) == 300 / 374 for a, b in zip(sets[::2], sets[1::2], strict=True))
+    found = neardup.classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["class_id"] for r in found} == {i: i - i % 2 for i in range(120)}
+    # In large buckets sketches decide: each of the two similarities by its own.
+    sketch = [neardup.sign([t.encode()])[1][0] for t in texts]
+    assert all(neardup.close([a], [b])[0, 0] for a, b in zip(sketch[::2], sketch[1::2], strict=True))
+
+
 def test_slices_of_texts_change_no_signature(monkeypatch):
     texts = [b"", b"one two", b" ".join(b"w%d" % (i % 700) for i in range(3000)), b"a b c d e f", b"a b c d e f"]
     assert [list(p) for p in portions(texts, 10)] == [texts[:2], texts[2:3], texts[3:4], texts[4:]]
