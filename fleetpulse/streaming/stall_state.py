@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import heapq
+import pickle
+import tempfile
+from collections.abc import Iterable, Iterator
+from itertools import islice
+from typing import IO
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -12,11 +17,62 @@ from fleetpulse.contracts import STALL_STATE
 from fleetpulse.operators.stall import FINDING, FINDING_COLUMNS, READING, Run, StallParams, as_events, readings
 
 
+# Readings sorted at once, readings of a file in memory, files merged at once, findings of a frame.
+SORTED, SLICE, MERGED, FOUND = 1 << 16, 256, 64, 1 << 12
+
+
+def spilled(ordered: Iterable[tuple]) -> IO[bytes]:
+    """Rows in a file without a name, which ends with its use."""
+    file, rows = tempfile.TemporaryFile(), iter(ordered)
+    while part := list(islice(rows, SLICE)):
+        pickle.dump(part, file, pickle.HIGHEST_PROTOCOL)
+    return file
+
+
+def merged(files: list[IO[bytes]]) -> Iterator[tuple]:
+    def read(file: IO[bytes]) -> Iterator[tuple]:
+        with file:
+            file.seek(0)
+            while True:
+                try:
+                    part = pickle.load(file)
+                except EOFError:
+                    return
+                yield from part
+
+    return heapq.merge(*map(read, files))
+
+
+def in_order(frames: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+    """The readings of all frames in time order, with bounded memory: what is more than SORTED is sorted in files."""
+    held: list[tuple] = []
+    levels: list[list[IO[bytes]]] = []
+
+    def put(file: IO[bytes], level: int = 0) -> None:
+        if level == len(levels):
+            levels.append([])
+        levels[level].append(file)
+        if len(levels[level]) == MERGED:
+            files, levels[level] = levels[level], []
+            put(spilled(merged(files)), level + 1)
+
+    for frame in frames:
+        rows = zip(*[frame[c].tolist() for c in READING])
+        del frame
+        while part := list(islice(rows, SORTED - len(held))):
+            held += part
+            if len(held) >= SORTED:
+                put(spilled(sorted(held)))
+                held = []
+    held.sort()
+    yield from heapq.merge(merged([f for files in levels for f in files]), held) if levels else held
+
+
 class StallProcessor(StatefulProcessor):
     """Feeds a vehicle's new readings, in time order, to its stored run.
 
-    A key's share of one trigger is sorted as a whole, so its size is bounded by the source's
-    rows-per-trigger limit and not by the history of the vehicle.
+    A key's share of one trigger may be its whole backlog, as sources set no rows-per-trigger limit
+    by default. It is sorted in files, so its task needs constant memory and time that grows with it.
     """
 
     def __init__(self, params: StallParams, ttl_s: int | None) -> None:
@@ -27,13 +83,15 @@ class StallProcessor(StatefulProcessor):
         self.run = handle.getValueState("run", STALL_STATE, self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values(list(READING), kind="stable")
         run = Run.from_tuple(self.run.get()) if self.run.exists() else Run()
         found = []
-        for ts, route, trip, lat, lon, stopped in zip(*[batch[c].tolist() for c in READING]):
+        for ts, route, trip, lat, lon, stopped in in_order(rows):
             span = run.advance(self.params, ts, route, trip, lat, lon, stopped)
             if span is not None:
                 found.append((key[0], route, trip, run.lat, run.lon, run.n, span, run.since, ts))
+                if len(found) >= FOUND:
+                    yield pd.DataFrame(found, columns=FINDING_COLUMNS)
+                    found = []
         self.run.update(run.as_tuple())
         if found:
             yield pd.DataFrame(found, columns=FINDING_COLUMNS)

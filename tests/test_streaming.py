@@ -1,18 +1,21 @@
 import datetime as dt
+import gc
 import json
 import random
 import time
+import weakref
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from fleetpulse import contracts
 from fleetpulse.config import Settings
 from fleetpulse.operators.enrich import TRIPS
-from fleetpulse.operators.stall import stall_events
+from fleetpulse.operators.stall import READING, Run, StallParams, stall_events
 from fleetpulse.plans.staging import stg_headway_metrics
 from fleetpulse.session import scratch_dir
-from fleetpulse.streaming import jobs, sinks
+from fleetpulse.streaming import jobs, sinks, stall_state
 from fleetpulse.streaming.stall_state import stall_events_stream
 from fleetpulse.streaming.transport import FolderTransport, KafkaTransport
 from tests.test_stall import SCHEMA as POSITIONS
@@ -59,6 +62,50 @@ def test_stall_stream_over_many_triggers_equals_batch(spark, tmp_path):
     assert want.count() > 0 and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
+def test_a_backlog_of_one_vehicle_is_sorted_in_bounded_memory(monkeypatch):
+    """Readings of one trigger out of order, with ties, merged over several levels of files."""
+    monkeypatch.setattr(stall_state, "SORTED", 16)
+    monkeypatch.setattr(stall_state, "SLICE", 4)
+    monkeypatch.setattr(stall_state, "MERGED", 3)
+    monkeypatch.setattr(stall_state, "FOUND", 5)
+    rng, alive, most = random.Random(7), weakref.WeakSet(), 0
+    rows = [(1000 + 20 * (i // 2), "R", f"T{i // 300}", -36.85 + rng.randrange(3) * 5e-5, 174.76, i % 7 == 0) for i in range(1200)]
+    shuffled = rng.sample(rows, len(rows))
+
+    class Frame(pd.DataFrame):
+        __hash__ = object.__hash__
+
+    def frames():
+        nonlocal most
+        for i in range(0, len(shuffled), 10):
+            frame = Frame(shuffled[i:i + 10], columns=list(READING))
+            alive.add(frame)
+            yield frame
+            del frame
+            gc.collect()
+            most = max(most, len(alive))
+
+    class State:
+        value = None
+
+        def exists(self):
+            return self.value is not None
+
+        def update(self, value):
+            self.value = value
+
+    processor = stall_state.StallProcessor(StallParams(), None)
+    processor.run = State()
+    got = [tuple(r) for f in processor.handleInputRows(("v",), frames(), None) for r in f.itertuples(index=False)]
+    walk, want = Run(), []
+    for ts, route, trip, lat, lon, stopped in sorted(rows):
+        span = walk.advance(StallParams(), ts, route, trip, lat, lon, stopped)
+        if span is not None:
+            want.append(("v", route, trip, walk.lat, walk.lon, walk.n, span, walk.since, ts))
+    assert len(want) > 20 and got == want and processor.run.value == walk.as_tuple()
+    assert most <= 2
+
+
 def test_a_silent_vehicle_is_forgotten(spark, tmp_path):
     """With a time-to-live the third reading starts afresh once the state has expired."""
     drop_files(tmp_path / "in", positions([at(1000), at(1030)]))
