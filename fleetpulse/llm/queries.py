@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm import bpe, chat, decontaminate, langid, licenses, neardup, ppm, quality, sharding, token_counts
+from fleetpulse.llm import bpe, chat, decontaminate, langid, licenses, neardup, phrases, ppm, quality, ranking, sharding, spelling, token_counts
 from fleetpulse.llm.common import table
+from fleetpulse.llm.oracles import ORACLES as ORACLES
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,5 +82,17 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return picked(found, "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_language_id, op3_token_counts, op4_lm_scoring, op5_decontamination, op6_chat_formatting, op7_near_duplicates, op8_quality_rules, op9_bpe, op10_license_scan, language_id_pages)}
-ORACLES: dict[str, str] = {}
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return picked(ranking.score(docs, ranking.fit(docs, table(spark, sf_dir, "labels"))), "held_out", "score", "predicted")
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_language_id, op3_token_counts, op4_lm_scoring, op5_decontamination, op6_chat_formatting, op7_near_duplicates, op8_quality_rules, op9_bpe, op10_license_scan, op11_quality_classifier, op12_phrase_collocations, op13_spelling_variants, language_id_pages)}
