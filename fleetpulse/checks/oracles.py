@@ -25,6 +25,70 @@ def _key(kind: str, *parts: str) -> str:
     return f"sha256(CAST(to_json(['{kind}', {texts}]) AS VARCHAR))"
 
 
+def _gaps(source: str) -> str:
+    return f"""
+        SELECT *, departure - lag(departure) OVER (
+                   PARTITION BY window_start, route_id, direction_id ORDER BY departure) AS gap
+        FROM {source}"""
+
+
+def _spread(source: str) -> str:
+    return f"""
+        SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, route_id, direction_id,
+               count(*) AS trip_count, count(gap) AS gap_count, CAST(sum(gap) AS BIGINT) AS span,
+               count(gap) * sum(CAST(gap AS HUGEINT) * gap) - sum(gap) * sum(gap) AS scatter
+        FROM {source} GROUP BY ALL"""
+
+
+def _measured(source: str) -> str:
+    return f"""
+        SELECT window_start, window_end, route_id, direction_id, trip_count,
+               CASE WHEN gap_count > 0 THEN span / gap_count END AS headway_mean_s,
+               CASE WHEN gap_count > 0 THEN sqrt(CAST(scatter AS DOUBLE)) / gap_count END AS headway_stddev_s,
+               CASE WHEN trip_count >= 3 AND span > 0 THEN sqrt(CAST(scatter AS DOUBLE)) / span END AS headway_cv,
+               coalesce(trip_count >= 3 AND span > 0 AND 4 * scatter > CAST(span AS HUGEINT) * span, false) AS is_bunching
+        FROM {source}"""
+
+
+def _staged_windows(source: str) -> str:
+    return f"""
+        SELECT *, CAST({_local('window_start')} AS DATE) AS event_date,
+               CAST(hour({_local('window_start')}) AS INTEGER) AS event_hour
+        FROM {source} WHERE trip_count > 0"""
+
+
+def _walk(name: str, source: str, silence: int | None = None) -> str:
+    """One step per reading: (moved) a new anchor, (over) too long, else one more reading."""
+    silent = "false" if silence is None else f"r.ts - w.ts > {silence}"
+    return f"""
+        SELECT vehicle_id, i, route_id, trip_id, latitude AS a_lat, longitude AS a_lon, 1 AS n, ts AS since,
+               stopped AS parked, ts, CAST(0 AS BIGINT) AS span
+        FROM {source} WHERE i = 1
+        UNION ALL
+        SELECT vehicle_id, i, route_id, trip_id,
+               CASE WHEN moved OR over THEN latitude ELSE a_lat END, CASE WHEN moved OR over THEN longitude ELSE a_lon END,
+               CASE WHEN moved OR over THEN 1 ELSE k + 1 END, CASE WHEN moved OR over THEN ts ELSE since END,
+               CASE WHEN moved OR over THEN stopped ELSE parked AND stopped END, ts,
+               CASE WHEN moved OR over THEN 0 ELSE ts - since END
+        FROM (SELECT *, NOT moved AND k + 1 >= 3 AND ts - since > 43200 AS over
+              FROM (SELECT r.* EXCLUDE (n), w.a_lat, w.a_lon, w.n AS k, w.since, w.parked,
+                           r.route_id <> w.route_id OR r.trip_id <> w.trip_id OR {silent}
+                           OR 2 * 6371000e0 * asin(sqrt(
+                                  pow(sin(radians(r.latitude - w.a_lat) / 2), 2)
+                                  + cos(radians(r.latitude)) * cos(radians(w.a_lat))
+                                    * pow(sin(radians(r.longitude - w.a_lon) / 2), 2))) > 15 AS moved
+                    FROM {name} w JOIN {source} r ON r.vehicle_id = w.vehicle_id AND r.i = w.i + 1))"""
+
+
+def _stalls(walk: str) -> str:
+    return f"""
+        SELECT {_key('stall', 'vehicle_id', 'route_id', 'trip_id', 'since', 'ts', 'n')} AS stall_id,
+               vehicle_id, route_id, trip_id, a_lat AS latitude, a_lon AS longitude, CAST(n AS INTEGER) AS reading_count,
+               CAST(span AS INTEGER) AS stall_duration_s, make_timestamp(since * 1000000) AS first_seen,
+               ts AS stall_detected_ts
+        FROM {walk} WHERE n >= 3 AND span >= 3600 AND NOT parked"""
+
+
 # Each entry is a named subquery; _with() lists those a query needs, in this order.
 PARTS = {
     "trips": """
@@ -59,30 +123,14 @@ PARTS = {
         FROM trips WHERE delay > 300""",
     "departures": """
         SELECT make_timestamp((epoch_us(event_ts) // 21600000000 - k) * 21600000000) AS window_start,
-               route_id, direction_id,
+               n, route_id, direction_id,
                CAST(split_part(start_time, ':', 1) AS BIGINT) * 3600 + CAST(split_part(start_time, ':', 2) AS BIGINT) * 60
                    + CAST(split_part(start_time, ':', 3) AS BIGINT) + delay AS departure
         FROM trips, (SELECT unnest([0, 1, 2, 3]) AS k)""",
-    "gaps": """
-        SELECT *, departure - lag(departure) OVER (
-                   PARTITION BY window_start, route_id, direction_id ORDER BY departure) AS gap
-        FROM departures""",
-    "spread": """
-        SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, route_id, direction_id,
-               count(*) AS trip_count, count(gap) AS gap_count, CAST(sum(gap) AS BIGINT) AS span,
-               count(gap) * sum(CAST(gap AS HUGEINT) * gap) - sum(gap) * sum(gap) AS scatter
-        FROM gaps GROUP BY ALL""",
-    "windows": """
-        SELECT window_start, window_end, route_id, direction_id, trip_count,
-               CASE WHEN gap_count > 0 THEN span / gap_count END AS headway_mean_s,
-               CASE WHEN gap_count > 0 THEN sqrt(CAST(scatter AS DOUBLE)) / gap_count END AS headway_stddev_s,
-               CASE WHEN trip_count >= 3 AND span > 0 THEN sqrt(CAST(scatter AS DOUBLE)) / span END AS headway_cv,
-               coalesce(trip_count >= 3 AND span > 0 AND 4 * scatter > CAST(span AS HUGEINT) * span, false) AS is_bunching
-        FROM spread""",
-    "stg_windows": f"""
-        SELECT *, CAST({_local('window_start')} AS DATE) AS event_date,
-               CAST(hour({_local('window_start')}) AS INTEGER) AS event_hour
-        FROM windows WHERE trip_count > 0""",
+    "gaps": _gaps("departures"),
+    "spread": _spread("gaps"),
+    "windows": _measured("spread"),
+    "stg_windows": _staged_windows("windows"),
     "positions": """
         SELECT event_id AS n, 'V' || (user_id % 30) AS vehicle_id, 'D' || day(ts) AS trip_id, 'R' || (user_id % 30) AS route_id,
                CASE WHEN event_type = 'error' THEN 0e0 ELSE -36.85e0 + floor(value / 50) * 0.001e0 END AS latitude,
@@ -112,35 +160,37 @@ PARTS = {
     "readings": """
         SELECT *, row_number() OVER (PARTITION BY vehicle_id
                                      ORDER BY ts, route_id, trip_id, latitude, longitude, stopped) AS i
-        FROM (SELECT vehicle_id, route_id, trip_id, latitude, longitude, timestamp AS ts,
+        FROM (SELECT n, vehicle_id, route_id, trip_id, latitude, longitude, timestamp AS ts,
                      current_status = 'STOPPED_AT' AS stopped
               FROM positions
               WHERE latitude BETWEEN -37.05 AND -36.60 AND longitude BETWEEN 174.62 AND 174.95)""",
-    # One step per reading: (moved) a new anchor, (over) too long, else one more reading.
-    "walk": """
-        SELECT vehicle_id, i, route_id, trip_id, latitude AS a_lat, longitude AS a_lon, 1 AS n, ts AS since,
-               stopped AS parked, ts, CAST(0 AS BIGINT) AS span
-        FROM readings WHERE i = 1
-        UNION ALL
-        SELECT vehicle_id, i, route_id, trip_id,
-               CASE WHEN moved OR over THEN latitude ELSE a_lat END, CASE WHEN moved OR over THEN longitude ELSE a_lon END,
-               CASE WHEN moved OR over THEN 1 ELSE n + 1 END, CASE WHEN moved OR over THEN ts ELSE since END,
-               CASE WHEN moved OR over THEN stopped ELSE parked AND stopped END, ts,
-               CASE WHEN moved OR over THEN 0 ELSE ts - since END
-        FROM (SELECT *, NOT moved AND n + 1 >= 3 AND ts - since > 43200 AS over
-              FROM (SELECT r.*, w.a_lat, w.a_lon, w.n, w.since, w.parked,
-                           r.route_id <> w.route_id OR r.trip_id <> w.trip_id
-                           OR 2 * 6371000e0 * asin(sqrt(
-                                  pow(sin(radians(r.latitude - w.a_lat) / 2), 2)
-                                  + cos(radians(r.latitude)) * cos(radians(w.a_lat))
-                                    * pow(sin(radians(r.longitude - w.a_lon) / 2), 2))) > 15 AS moved
-                    FROM walk w JOIN readings r ON r.vehicle_id = w.vehicle_id AND r.i = w.i + 1))""",
-    "stalls": f"""
-        SELECT {_key('stall', 'vehicle_id', 'route_id', 'trip_id', 'since', 'ts', 'n')} AS stall_id,
-               vehicle_id, route_id, trip_id, a_lat AS latitude, a_lon AS longitude, CAST(n AS INTEGER) AS reading_count,
-               CAST(span AS INTEGER) AS stall_duration_s, make_timestamp(since * 1000000) AS first_seen,
-               ts AS stall_detected_ts
-        FROM walk WHERE n >= 3 AND span >= 3600 AND NOT parked""",
+    "walk": _walk("walk", "readings"),
+    "stalls": _stalls("walk"),
+    "silent_walk": _walk("silent_walk", "readings", 7200),
+    "silent_stalls": _stalls("silent_walk"),
+    # When each event arrives in a replay of six parts.
+    "arrivals": """
+        SELECT event_id AS n, CAST(least((s - low) * 6 // (high - low + 1) + wait, 5) AS INTEGER) AS part
+        FROM (SELECT event_id, epoch_us(ts) // 1000000 AS s,
+                     CASE WHEN event_id % 50 = 7 THEN 2 WHEN event_id % 10 = 3 THEN 1 ELSE 0 END AS wait FROM events),
+             (SELECT min(epoch_us(ts) // 1000000) AS low, max(epoch_us(ts) // 1000000) AS high FROM events)""",
+    # What the watermark is when a part is taken: six days before the latest reading of all earlier parts.
+    "timely_readings": """
+        SELECT * EXCLUDE (i), row_number() OVER (PARTITION BY vehicle_id
+                                                 ORDER BY ts, route_id, trip_id, latitude, longitude, stopped) AS i
+        FROM readings r JOIN arrivals a USING (n)
+        WHERE (r.ts // 3600 + 1) * 3600 > coalesce((SELECT max(o.ts) FROM readings o JOIN arrivals b USING (n)
+                                                    WHERE b.part < a.part), 0) - 6 * 86400""",
+    "timely_walk": _walk("timely_walk", "timely_readings"),
+    "timely_stalls": _stalls("timely_walk"),
+    "timely_departures": """
+        SELECT d.* FROM departures d JOIN arrivals a USING (n)
+        WHERE epoch_us(window_start) // 1000000 + 86400
+              > coalesce((SELECT max(t.timestamp) FROM trips t JOIN arrivals b USING (n) WHERE b.part < a.part), 0) - 6 * 86400""",
+    "timely_gaps": _gaps("timely_departures"),
+    "timely_spread": _spread("timely_gaps"),
+    "timely_windows": _measured("timely_spread"),
+    "timely_stg_windows": _staged_windows("timely_windows"),
     "stg_stalls": f"""
         SELECT stall_id, vehicle_id, route_id, latitude, longitude, reading_count, first_seen,
                make_timestamp(stall_detected_ts * 1000000) AS stall_detected_at,
@@ -194,6 +244,10 @@ _NEEDS = {
     "windows": ["spread"], "stg_windows": ["windows"], "stg_positions": ["positions"], "readings": ["positions"],
     "walk": ["readings"], "stalls": ["walk"], "stg_stalls": ["stalls"], "by_hour": ["stg"], "early_by_hour": ["stg"],
     "fct_delays": ["stg", "routes"], "fct_stalls": ["stg_stalls", "routes"], "fct_headways": ["stg_windows", "routes"],
+    "silent_walk": ["readings"], "silent_stalls": ["silent_walk"], "timely_readings": ["readings", "arrivals"],
+    "timely_walk": ["timely_readings"], "timely_stalls": ["timely_walk"], "timely_departures": ["departures", "trips", "arrivals"],
+    "timely_gaps": ["timely_departures"], "timely_spread": ["timely_gaps"], "timely_windows": ["timely_spread"],
+    "timely_stg_windows": ["timely_windows"],
     "alerts": ["delays", "stalls", "windows"], "board_kinds": ["delays", "stalls"],
 }
 
@@ -534,9 +588,22 @@ ORACLES: dict[str, str] = {
         SELECT event_id, count(*) AS table_rows, min(severity) AS severity, count(*) AS messages FROM delays GROUP BY 1""",
         "delays",
     ),
-    "stream_headway": _with(_windows_rounded("stg_windows", ", event_date, event_hour"), "stg_windows"),
+    "stream_headway": _with(_windows_rounded("timely_stg_windows", ", event_date, event_hour"), "timely_stg_windows"),
+    "stream_headway_final": _with(_windows_rounded("timely_stg_windows", ", event_date, event_hour"), "timely_stg_windows"),
+    # Lateness is judged by the watermark of the trigger before, which knows the parts before that one.
+    "stream_dedup_late": _with(
+        """
+        SELECT DISTINCT trip_id, route_id, direction_id, start_date FROM trips t JOIN arrivals a USING (n)
+        WHERE epoch_us(date_trunc('day', ts)) // 1000000
+              > coalesce((SELECT max(epoch_us(date_trunc('day', o.ts)) // 1000000) FROM trips o JOIN arrivals b USING (n)
+                          WHERE b.part < a.part - 1), 0) - 6 * 86400""",
+        "trips", "arrivals",
+    ),
     "stream_dedup": _with("SELECT DISTINCT trip_id, route_id, direction_id FROM trips", "trips"),
     "stream_stalls": _with("SELECT * FROM stalls", "stalls"),
+    "stream_stalls_late": _with("SELECT * FROM timely_stalls", "timely_stalls"),
+    "stream_stalls_silence": _with("SELECT * FROM silent_stalls", "silent_stalls"),
+    "stalls_silence": _with("SELECT * FROM silent_stalls", "silent_stalls"),
     "stream_alerts": _with(
         """
         SELECT DISTINCT event_id AS alert_id, 'DELAY' AS alert_type, route_id, trip_id,

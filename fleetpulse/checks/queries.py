@@ -33,6 +33,7 @@ QUERIES: dict[str, Query] = {}
 # The benchmark's events are minutes apart, so windows and stall spans are widened to match.
 WIDE = {"window": "1 day", "slide": "6 hours"}
 LONG_STALLS = StallParams(min_span_s=3600, max_span_s=12 * 3600)
+SILENT_STALLS = StallParams(min_span_s=3600, max_span_s=12 * 3600, silence_s=2 * 3600)
 # 2024-01-20 00:00 UTC, a moment inside the events.
 FIXED_NOW = 1_705_708_800
 
@@ -560,9 +561,37 @@ def stream_dedup(spark, d):
     return replays.dedup_stream(spark, d)
 
 
+@query
+def stream_headway_final(spark, d):
+    """Each window once, when the watermark has passed it."""
+    return _rounded_windows(replays.headway_stream(spark, d, WIDE, "append"))
+
+
+@query
+def stream_dedup_late(spark, d):
+    return replays.late_dedup_stream(spark, d)
+
+
 @query
 def stream_stalls(spark, d):
-    return replays.stall_stream(spark, d, LONG_STALLS)
+    """Out of order, but none too late."""
+    return replays.stall_stream(spark, d, LONG_STALLS, "30 days")
+
+
+@query
+def stream_stalls_late(spark, d):
+    return replays.stall_stream(spark, d, LONG_STALLS, replays.LATENESS)
+
+
+@query
+def stream_stalls_silence(spark, d):
+    """A vehicle silent for two hours starts a new run."""
+    return replays.stall_stream(spark, d, SILENT_STALLS, "30 days")
+
+
+@query
+def stalls_silence(spark, d):
+    return stall_events(_positions(spark, d), SILENT_STALLS)
 
 
 @query

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -26,7 +27,10 @@ from fleetpulse.sources.messages import to_messages
 from fleetpulse.sources.tables import per_folder, read_bronze
 from fleetpulse.streaming import jobs
 from fleetpulse.streaming import sinks
+from fleetpulse.streaming.stall_state import closed_readings, judged
 
+# Triggers of a replayed stream and files of each, and how late its rows may be where some are to be lost.
+PARTS, FILES, LATENESS = 6, 2, "6 days"
 # The first load ends here, in the middle of a local day.
 FIRST_LOAD_END = dt.datetime(2024, 1, 15, 6)
 
@@ -83,38 +87,97 @@ def bronze_stream(spark: SparkSession, sf_dir: str, now: int) -> DataFrame:
     return spark.read.parquet(f"{base}/table").drop("event_id", "ingested_at", "_raw_payload")
 
 
+def replay(spark: SparkSession, sf_dir: str, tick: bool = False) -> DataFrame:
+    """The events as a stream of PARTS triggers, out of order: some arrive one or two parts after their time.
+
+    ``tick`` adds one event long after all others, so that the watermark passes them.
+    """
+    base = scratch_dir(spark, "replay")
+    events = ad.table(spark, sf_dir, "events")
+    second = F.unix_timestamp(F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min(second), F.max(second)).first()
+    n = F.col("event_id")
+    wait = F.when(n % 50 == 7, 2).when(n % 10 == 3, 1).otherwise(0)
+    part = F.least(F.floor((second - low) * PARTS / (high - low + 1)) + wait, F.lit(PARTS - 1))
+    for i in range(PARTS):
+        # A trigger takes the oldest files, so parts are written one after another.
+        events.where(part == i).repartition(FILES).write.mode("append").parquet(base)
+    if tick:
+        last = events.where(F.col("event_type") == "view").orderBy(F.desc("ts"), "event_id").limit(1)
+        later = last.withColumns({"ts": F.col("ts") + F.expr("INTERVAL 60 DAYS"), "event_id": F.lit(-1).cast("bigint"), "value": F.lit(0.0)})
+        later.write.mode("append").parquet(base)
+    return spark.readStream.schema(ad.EVENTS_DDL).option("maxFilesPerTrigger", FILES).parquet(base)
+
+
 def _run(df: DataFrame, name: str, base: str, mode: str, *outputs: sinks.BatchSink) -> StreamingQuery:
     sink = sinks.fan_out(*(outputs or [sinks.append_table(f"{base}/table")]))
     return finish(sinks.stream_to_sinks(df, name, f"{base}/checkpoint", sink, mode))
 
 
+def _table(spark: SparkSession, base: str) -> DataFrame:
+    return sinks.read_committed(spark, f"{base}/table")
+
+
+def failing_once(at: int) -> sinks.BatchSink:
+    """A sink that breaks the first time it gets the trigger ``at``."""
+    left = [at]
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        if batch_id in left:
+            left.remove(batch_id)
+            raise RuntimeError("lost between two sinks")
+
+    return sink
+
+
 def _trip_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ad.event_stream(spark, sf_dir).select(*ad.trip_columns())
 
 
 def delay_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Delay alerts through the table and message sinks; the message count per alert is joined on."""
+    """Delay alerts of several triggers, one of which fails between its two sinks and is run again.
+
+    The message count per alert is joined to its count in the table.
+    """
     base = scratch_dir(spark, "delays")
     publish = sinks.publish(jobs.without_date(al.delay_messages), "json", f"{base}/topic")
-    rows = jobs.delay_rows(_trip_stream(spark, sf_dir))
-    _run(rows, "delay_alerts", base, "append", publish, sinks.append_table(f"{base}/table"))
-    stored = spark.read.parquet(f"{base}/table").groupBy("event_id").agg(
+    rows = jobs.delay_rows(replay(spark, sf_dir).select(*ad.trip_columns()))
+    outputs = (publish, failing_once(2), sinks.append_table(f"{base}/table"), failing_once(3))
+    for _ in range(2):
+        try:
+            _run(rows, "delay_alerts", base, "append", *outputs)
+        except StreamingQueryException:
+            continue
+    _run(rows, "delay_alerts", base, "append", *outputs)
+    stored = _table(spark, base).groupBy("event_id").agg(
         F.count(F.lit(1)).alias("table_rows"), F.min("severity").alias("severity")
     )
-    topic = spark.read.schema("key string, value string").json(f"{base}/topic")
+    topic = spark.read.schema("key string, value string").option("recursiveFileLookup", "true").json(f"{base}/topic")
     sent = topic.groupBy(F.get_json_object("value", "$.event_id").alias("event_id")).agg(
         F.count(F.lit(1)).alias("messages")
     )
     return stored.join(sent, "event_id", "full")
 
 
-def headway_stream(spark: SparkSession, sf_dir: str, params: dict) -> DataFrame:
-    """Windows in update mode; staging keeps the last revision. Repeats stay in: which one
-    the watermarked de-duplication keeps depends on how rows fall into triggers."""
+def headway_stream(spark: SparkSession, sf_dir: str, params: dict, mode: str = "update") -> DataFrame:
+    """Windows over several triggers, revised by late updates until their end is passed; staging keeps the last
+    revision. Repeats stay in: which one the watermarked de-duplication keeps depends on how rows fall into triggers."""
     base = scratch_dir(spark, "headways")
-    rows = jobs.headway_rows(_trip_stream(spark, sf_dir), "10 minutes", dedup=False, **params)
-    _run(rows, "headway_metrics", base, "update")
-    return stg_headway_metrics(spark.read.parquet(f"{base}/table"))
+    trips = replay(spark, sf_dir, tick=mode == "append").select(*ad.trip_columns())
+    rows = jobs.headway_rows(trips, LATENESS, dedup=False, mode=mode, **params)
+    _run(rows, "headway_metrics", base, mode)
+    return stg_headway_metrics(_table(spark, base))
+
+
+def late_dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips of a day that pass the watermarked de-duplication; repeats come in later triggers, some too late."""
+    base = scratch_dir(spark, "late-dedup")
+    keys = ["trip_id", "route_id", "direction_id", "start_date"]
+    trips = replay(spark, sf_dir).select(*ad.trip_columns())
+    timed = trips.withColumn("event_ts", F.date_trunc("day", F.timestamp_seconds("timestamp"))).withWatermark("event_ts", LATENESS)
+    rows = timed.dropDuplicatesWithinWatermark(keys).select(*keys, F.to_date("event_ts").alias("event_date"))
+    _run(rows, "late_dedup", base, "append")
+    return _table(spark, base).select(*keys)
 
 
 def dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,14 +188,17 @@ def dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = timed.withWatermark("event_ts", "10 minutes").dropDuplicatesWithinWatermark(keys)
     rows = first.select(*keys, F.to_date("event_ts").alias("event_date"))
     _run(rows, "dedup", base, "append")
-    return spark.read.parquet(f"{base}/table").select(*keys)
+    return _table(spark, base).select(*keys)
 
 
-def stall_stream(spark: SparkSession, sf_dir: str, params: StallParams) -> DataFrame:
+def stall_stream(spark: SparkSession, sf_dir: str, params: StallParams, delay: str) -> DataFrame:
+    """Stall events of readings that come out of order over several triggers; a reading later than ``delay`` is lost."""
     base = scratch_dir(spark, "stalls")
-    positions = ad.event_stream(spark, sf_dir).select(*ad.position_columns())
-    _run(jobs.stall_rows(positions, params, ttl_s=None), "vehicle_stalls", base, "update")
-    return spark.read.parquet(f"{base}/table").select(*contracts.STALL_EVENT.fieldNames())
+    positions = replay(spark, sf_dir, tick=True).select(*ad.position_columns())
+    rows = closed_readings(positions, params, delay, slice_s=3600)
+    sink = judged(f"{base}/runs", params, jobs.stall_rows, sinks.append_table(f"{base}/table"))
+    finish(sinks.stream_to_sinks(rows, "vehicle_stalls", f"{base}/checkpoint", sink))
+    return _table(spark, base).select(*contracts.STALL_EVENT.fieldNames())
 
 
 def alert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,7 +40,11 @@ class Settings:
     # None: work off what is there, then stop.
     trigger_interval: str | None = "30 seconds"
     headway_watermark: str = "10 minutes"
+    # A vehicle silent for longer, by its own clock, is forgotten. None: never.
     stall_state_ttl_s: int | None = 20 * 60
+    # How late a reading may be, and the seconds of event time that are judged together.
+    stall_watermark: str = "1 minute"
+    stall_slice_s: int = 60
     local_zone: str = LOCAL_ZONE
 
     @property

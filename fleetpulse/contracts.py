@@ -73,13 +73,6 @@ STALL_EVENT = _record(
     _may(_TS, "first_seen"),
     _may(_L, "stall_detected_ts"),
 )
-STALL_STATE = _record(
-    _may(_D, "anchor_lat", "anchor_lon"),
-    _may(_I, "count"),
-    _may(_L, "first_ts"),
-    _may(_S, "last_route_id", "last_trip_id"),
-    _may(_I, "already_emitted", "all_stopped_at"),
-)
 HEADWAY_METRIC = _record(
     _may(_TS, "window_start", "window_end"),
     _may(_S, "route_id"),

@@ -139,3 +139,15 @@ def rounded(value: Column, digits: int) -> Column:
     a decimal removes the last-bit noise that would otherwise decide it.
     """
     return F.round(value.cast("decimal(38,10)"), digits).cast("double")
+
+
+# Seconds of the units that interval texts use.
+_UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86_400, "week": 604_800}
+
+
+def interval_seconds(text: str) -> int:
+    """Seconds of an interval text such as ``10 minutes`` or ``1 day 6 hours``."""
+    parts = text.lower().removeprefix("interval").split()
+    if not parts or len(parts) % 2:
+        raise ValueError(f"no interval: {text!r}")
+    return sum(int(n) * _UNITS[unit.removesuffix("s")] for n, unit in zip(parts[::2], parts[1::2]))

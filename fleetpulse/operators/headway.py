@@ -8,10 +8,10 @@ distinct departure seconds of a window.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetpulse.functions.timecols import clock_seconds
+from fleetpulse.functions.timecols import clock_seconds, interval_seconds
 
 # Fixed values.
 WINDOW = "10 minutes"
@@ -25,13 +25,13 @@ def scheduled_plus_delay() -> Column:
     return clock_seconds(F.col("start_time")) + F.coalesce(F.col("delay"), F.lit(0))
 
 
-def _departures(updates: DataFrame, departure: Column | None) -> DataFrame:
+def departures(updates: DataFrame, departure: Column | None) -> DataFrame:
     usable = updates.where((F.col("route_id") != "") & F.col("start_time").isNotNull())
     second = scheduled_plus_delay() if departure is None else departure
     return usable.select("event_ts", "route_id", "direction_id", second.cast("bigint").alias("departure"))
 
 
-def _metrics(stats: DataFrame, cv_threshold: float, min_trips: int) -> DataFrame:
+def metrics(stats: DataFrame, cv_threshold: float, min_trips: int) -> DataFrame:
     """Mean, population deviation and variation from trip_count, first, last and gap_squares."""
     gaps = F.col("trip_count") - 1
     span = F.col("last") - F.col("first")
@@ -67,12 +67,12 @@ def headway_windows(
     min_trips: int = MIN_TRIPS,
     departure: Column | None = None,
 ) -> DataFrame:
-    """Streaming form: a single aggregation, so it runs in update and append mode.
+    """One aggregation that holds the set of distinct departure seconds of each window.
 
-    State per window is a count and the set of distinct departure seconds.
+    For small inputs; stored tables take ``headway_lag_form`` and streams ``headway_windows_stream``.
     """
     grouped = (
-        _departures(updates, departure)
+        departures(updates, departure)
         .groupBy(F.window("event_ts", window, slide).alias("window"), "route_id", "direction_id")
         .agg(
             F.count("departure").alias("trip_count"),
@@ -95,15 +95,7 @@ def headway_windows(
         F.array_max("seconds").alias("last"),
         F.aggregate("seconds", start, add_gap, lambda acc: acc["squares"]).alias("gap_squares"),
     )
-    return _metrics(stats, cv_threshold, min_trips)
-
-
-def _whole_slides(spark: SparkSession, window: str, slide: str) -> bool:
-    """Whether a window consists of a whole number of slides."""
-    micros = [f"unix_micros(timestamp_seconds(0) + INTERVAL '{d}')" for d in (window, slide)]
-    # Constants only: answered on the driver without a job.
-    long, short = spark.sql(f"SELECT {', '.join(micros)}").first()
-    return long % short == 0
+    return metrics(stats, cv_threshold, min_trips)
 
 
 def headway_lag_form(
@@ -122,12 +114,12 @@ def headway_lag_form(
     as a few rows per distinct departure second, whatever its number of updates. A second that
     occurs in several panes of a window just adds gaps of zero.
     """
-    departures = _departures(updates, departure)
-    if _whole_slides(updates.sparkSession, window, slide):
+    rows = departures(updates, departure)
+    if interval_seconds(window) % interval_seconds(slide) == 0:
         pane = F.window("event_ts", slide)["start"]
     else:
         pane = F.col("event_ts")
-    per_pane = departures.groupBy(pane.alias("pane"), "route_id", "direction_id", "departure").agg(
+    per_pane = rows.groupBy(pane.alias("pane"), "route_id", "direction_id", "departure").agg(
         F.count(F.lit(1)).alias("trips")
     )
     per_second = per_pane.select(
@@ -145,4 +137,4 @@ def headway_lag_form(
             F.coalesce(F.sum(F.col("gap") * F.col("gap")), F.lit(0)).alias("gap_squares"),
         )
     )
-    return _metrics(stats, cv_threshold, min_trips)
+    return metrics(stats, cv_threshold, min_trips)

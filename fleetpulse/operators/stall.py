@@ -41,6 +41,8 @@ class StallParams:
     max_span_s: int = 600
     area: Box = SERVICE_AREA
     stopped_status: str = "STOPPED_AT"
+    # A vehicle silent for longer is forgotten: its next reading starts a run. None: never.
+    silence_s: int | None = None
 
 
 # Columns of one reading, in the order that also breaks ties between equal timestamps.
@@ -51,23 +53,23 @@ FINDING = (
     "reading_count int, stall_duration_s int, first_ts bigint, stall_detected_ts bigint"
 )
 FINDING_COLUMNS = [part.split()[0] for part in FINDING.split(", ")]
+# What is known of a vehicle's run after its last judged reading. ``stretch`` orders the runs of one walk.
+RUN = (
+    "vehicle_id string, route_id string, trip_id string, latitude double, longitude double, "
+    "readings int, since bigint, last bigint, moved boolean"
+)
+RUN_COLUMNS = [part.split()[0] for part in RUN.split(", ")]
 _BEFORE_ALL = -(1 << 62)
 
 
 class Run:
-    """The run a vehicle is in: anchor, readings so far, and what was reported."""
+    """The run a vehicle is in: its anchor and start, how many readings it has, whether one of them moved, the last one."""
 
-    __slots__ = ("lat", "lon", "n", "since", "route", "trip", "reported", "parked")
+    __slots__ = ("route", "trip", "lat", "lon", "n", "since", "last", "moved")
 
-    def __init__(self) -> None:
-        self.lat = self.lon = 0.0
-        self.n = self.since = self.reported = 0
-        self.route = self.trip = ""
-        self.parked = True
-
-    def restart(self, ts: int, lat: float, lon: float, stopped: bool) -> None:
-        self.lat, self.lon, self.since = lat, lon, ts
-        self.n, self.reported, self.parked = 1, 0, stopped
+    def __init__(self, route="", trip="", lat=0.0, lon=0.0, n=0, since=0, last=0, moved=False) -> None:
+        self.route, self.trip, self.lat, self.lon = route, trip, lat, lon
+        self.n, self.since, self.last, self.moved = n, since, last, moved
 
     def near(self, lat: float, lon: float, radius_m: float) -> bool:
         if lat == self.lat and lon == self.lon:
@@ -77,34 +79,23 @@ class Run:
         h += math.cos(a) * math.cos(b) * math.sin(math.radians(lon - self.lon) / 2) ** 2
         return 2 * EARTH_RADIUS_M * math.atan2(math.sqrt(h), math.sqrt(1 - h)) <= radius_m
 
+    def goes_on(self, p: StallParams, ts: int, route: str, trip: str, lat: float, lon: float) -> bool:
+        silent = p.silence_s is not None and ts - self.last > p.silence_s
+        return self.n > 0 and not silent and (route, trip) == (self.route, self.trip) and self.near(lat, lon, p.radius_m)
+
     def advance(self, p: StallParams, ts: int, route: str, trip: str, lat: float, lon: float, stopped: bool):
         """Take one reading; returns the run's span in seconds if it is an event, else None."""
-        same_trip = route == self.route and trip == self.trip
-        if self.n and same_trip and self.near(lat, lon, p.radius_m):
-            self.n += 1
-            self.parked = self.parked and stopped
+        if self.goes_on(p, ts, route, trip, lat, lon):
+            self.n, self.last, self.moved = self.n + 1, ts, self.moved or not stopped
         else:
-            self.route, self.trip = route, trip
-            self.restart(ts, lat, lon, stopped)
+            self.__init__(route, trip, lat, lon, 1, ts, ts, not stopped)
         span = ts - self.since
-        if self.n < p.min_readings or self.n <= self.reported or span < p.min_span_s:
+        if self.n < p.min_readings or span < p.min_span_s:
             return None
         if span > p.max_span_s:
-            self.restart(ts, lat, lon, stopped)
+            self.__init__(route, trip, lat, lon, 1, ts, ts, not stopped)
             return None
-        self.reported = self.n
-        return None if self.parked else span
-
-    def as_tuple(self) -> tuple:
-        """State-store row, in the order of the state contract."""
-        return (self.lat, self.lon, self.n, self.since, self.route, self.trip, self.reported, int(self.parked))
-
-    @classmethod
-    def from_tuple(cls, row: tuple) -> "Run":
-        run = cls()
-        run.lat, run.lon, run.n, run.since, run.route, run.trip, run.reported = row[:7]
-        run.parked = bool(row[7])
-        return run
+        return span if self.moved else None
 
 
 def readings(positions: DataFrame, params: StallParams) -> DataFrame:
@@ -149,10 +140,12 @@ def _certain_start(params: StallParams, previous: Window) -> Column:
         | (before("trip_id") != F.col("trip_id"))
         | (apart > 2 * params.radius_m + 0.01)
     )
+    if params.silence_s is not None:
+        certain = certain | (F.col("ts") - before("ts") > params.silence_s)
     return F.coalesce(certain, F.lit(False))
 
 
-def independent_stretches(positions: DataFrame, params: StallParams, slice_s: int) -> DataFrame:
+def independent_stretches(rows: DataFrame, params: StallParams, slice_s: int, open_ends: bool = False) -> DataFrame:
     """Readings that can be part of a stall, with the ``stretch`` they belong to.
 
     Stretches of a vehicle do not influence each other. Timelines are cut into fixed time
@@ -160,9 +153,9 @@ def independent_stretches(positions: DataFrame, params: StallParams, slice_s: in
     certain start of a later slice, so only a small summary per slice is needed to find it.
     Readings that cannot matter are dropped before the last shuffle: runs that are too short,
     and runs over slices in which the vehicle reports nothing but a scheduled stop, such as a
-    parked vehicle.
+    parked vehicle. ``open_ends`` keeps all of what may go on from before or after these rows.
     """
-    sliced = readings(positions, params).withColumn("slice", F.floor(F.col("ts") / slice_s))
+    sliced = rows.withColumn("slice", F.floor(F.col("ts") / slice_s))
     in_slice = Window.partitionBy("vehicle_id", "slice")
     ordered = in_slice.orderBy(*READING)
     marked = sliced.select(
@@ -188,7 +181,11 @@ def independent_stretches(positions: DataFrame, params: StallParams, slice_s: in
         "stretch", F.when(head, F.coalesce(F.col("carried"), F.lit(_BEFORE_ALL))).otherwise(F.col("slice"))
     )
     moves = F.when(head, F.col("head_moves")).when(tail, F.col("tail_moves")).otherwise(True)
-    return placed.where(moves & ~_too_short(params))
+    matters = moves & ~_too_short(params)
+    if open_ends:
+        last = (F.col("stretch") == F.col("last_start_slice")) & (head | tail)
+        matters = matters | (F.col("stretch") == _BEFORE_ALL) | last
+    return placed.where(matters)
 
 
 def _slice_summary(marked: DataFrame, head: Column, tail: Column) -> DataFrame:
@@ -218,6 +215,7 @@ def _slice_summary(marked: DataFrame, head: Column, tail: Column) -> DataFrame:
         "vehicle_id",
         "slice",
         "carried",
+        F.max(F.when(F.col("has_start"), F.col("slice"))).over(Window.partitionBy("vehicle_id")).alias("last_start_slice"),
         (F.col("heads_move") | F.coalesce(F.col("before_moves"), F.lit(False))).alias("head_moves"),
         (F.col("own_tail_moves") | F.lead("heads_move", 1, False).over(line)).alias("tail_moves"),
     )
@@ -237,34 +235,84 @@ def _too_short(params: StallParams) -> Column:
     return F.coalesce(short, F.lit(False))
 
 
-def stall_events(
-    positions: DataFrame, params: StallParams = StallParams(), slice_s: int = 3600
-) -> DataFrame:
-    """Stall events of stored positions, in event-time order per vehicle.
+def _walk(rows: DataFrame, params: StallParams, slice_s: int, before: DataFrame | None) -> DataFrame:
+    """Findings, and with ``before`` also the run at the end of each stretch (those have ``stretch`` set).
 
-    ``slice_s`` only steers how finely a vehicle's timeline is spread; results do not depend on it.
+    ``before`` holds the runs (RUN) that the vehicles were in; each leads in its vehicle's first stretch.
     """
-    stretches = independent_stretches(positions, params, slice_s).select(
-        "vehicle_id", "stretch", "slice", "pos", "starts", *READING
-    )
-    lined_up = stretches.repartition("vehicle_id", "stretch").sortWithinPartitions(
-        "vehicle_id", "stretch", "slice", "pos"
+    steps = independent_stretches(rows, params, slice_s, before is not None).select(
+        "vehicle_id", "stretch", "slice", "pos", "starts", *READING, F.lit(0).alias("readings"), F.lit(0).cast("bigint").alias("last")
     )
-    wire = lined_up.select("vehicle_id", "stretch", "starts", *READING)
+    if before is not None:
+        steps = steps.unionByName(before.select(
+            "vehicle_id", F.lit(_BEFORE_ALL).alias("stretch"), F.lit(None).cast("bigint").alias("slice"), F.lit(0).alias("pos"),
+            F.lit(False).alias("starts"), F.col("since").alias("ts"), *READING[1:5], (~F.col("moved")).alias("stopped"), "readings", "last"
+        ))
+    lined_up = steps.repartition("vehicle_id", "stretch").sortWithinPartitions("vehicle_id", "stretch", "slice", "pos")
+    wire = lined_up.select("vehicle_id", "stretch", "starts", *READING, "readings", "last")
+    with_ends = before is not None
+    columns = [*FINDING_COLUMNS, "stretch", "moved"]
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, run = None, Run()
+
+        def end() -> list[tuple]:
+            if not with_ends or current is None:
+                return []
+            return [(current[0], run.route, run.trip, run.lat, run.lon, run.n, 0, run.since, run.last, current[1], run.moved)]
+
         for batch in batches:
             found = []
-            columns = [batch[c].tolist() for c in ("vehicle_id", "stretch", "starts", *READING)]
-            for vehicle, stretch, starts, ts, route, trip, lat, lon, stopped in zip(*columns):
+            values = [batch[c].tolist() for c in ("vehicle_id", "stretch", "starts", *READING, "readings", "last")]
+            for vehicle, stretch, starts, ts, route, trip, lat, lon, stopped, known, last in zip(*values):
                 # The flag matters: what lay between this start and the row before may be dropped.
-                if starts or (vehicle, stretch) != current:
+                if (vehicle, stretch) != current:
+                    found += end()
                     current, run = (vehicle, stretch), Run()
+                elif starts:
+                    run = Run()
+                if known:
+                    run = Run(route, trip, lat, lon, known, ts, last, not stopped)
+                    continue
                 span = run.advance(params, ts, route, trip, lat, lon, stopped)
                 if span is not None:
-                    found.append((vehicle, route, trip, run.lat, run.lon, run.n, span, run.since, ts))
+                    found.append((vehicle, route, trip, run.lat, run.lon, run.n, span, run.since, ts, None, None))
             if found:
-                yield pd.DataFrame(found, columns=FINDING_COLUMNS)
+                yield pd.DataFrame(found, columns=columns).astype({"stretch": "Int64", "moved": "boolean"})
+        if end():
+            yield pd.DataFrame(end(), columns=columns).astype({"stretch": "Int64", "moved": "boolean"})
+
+    return wire.mapInPandas(scan, f"{FINDING}, stretch bigint, moved boolean")
+
+
+def stall_events(
+    positions: DataFrame, params: StallParams = StallParams(), slice_s: int = 3600
+) -> DataFrame:
+    """Stall events of stored positions, in event-time order per vehicle.
+
+    ``slice_s`` only steers how finely a vehicle's timeline is spread; results do not depend on it.
+    """
+    return as_events(_walk(readings(positions, params), params, slice_s, None))
+
+
+def stall_step(rows: DataFrame, before: DataFrame, params: StallParams, slice_s: int = 3600) -> DataFrame:
+    """Findings of the readings that follow the runs in ``before``, and the runs after them, in one frame to be stored.
+
+    ``found`` and ``after`` take it apart. No reading may be older than one judged before.
+    """
+    return _walk(rows, params, slice_s, before)
+
+
+def found(step: DataFrame) -> DataFrame:
+    return as_events(step.where("stretch IS NULL"))
+
 
-    return as_events(wire.mapInPandas(scan, FINDING))
+def after(step: DataFrame, before: DataFrame, params: StallParams, now: Column | int) -> DataFrame:
+    """The runs (RUN) of all vehicles up to ``now``; those that would be forgotten anyway are left out."""
+    ends = step.where("stretch IS NOT NULL").groupBy("vehicle_id").agg(F.max_by(F.struct(
+        "route_id", "trip_id", "latitude", "longitude", F.col("reading_count").alias("readings"), F.col("first_ts").alias("since"),
+        F.col("stall_detected_ts").alias("last"), "moved"), "stretch").alias("run"))
+    fresh = ends.select("vehicle_id", "run.*").select(*RUN_COLUMNS)
+    silent = before.join(fresh.select("vehicle_id"), "vehicle_id", "left_anti").select(*RUN_COLUMNS)
+    runs = fresh.unionByName(silent)
+    return runs if params.silence_s is None else runs.where(F.lit(now) - F.col("last") <= params.silence_s)

@@ -51,10 +51,12 @@ def stg_stall_events(bronze: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
 
 
 def stg_headway_metrics(bronze: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
-    """Windows with trips. Where the table says which trigger wrote a row, only the last revision
-    of a window counts: the stream writes a window again every time it changes."""
-    if "batch_id" in bronze.columns:
-        bronze = keep_last(bronze, ["window_start", "route_id", "direction_id"], ["batch_id"])
+    """Windows with trips. Where the table says when and in which trigger a row was written, only the last revision
+    of a window counts: the stream writes a window again every time it changes. Triggers are counted from 0 again
+    after a new checkpoint, so the time comes first."""
+    order = [c for c in ("written_at", "batch_id") if c in bronze.columns]
+    if order:
+        bronze = keep_last(bronze, ["window_start", "route_id", "direction_id"], order)
     return bronze.where(F.col("trip_count") > 0).select(
         *("route_id", "direction_id", "window_start", "window_end", "trip_count"),
         *("headway_mean_s", "headway_stddev_s", "headway_cv", "is_bunching"),

@@ -6,7 +6,8 @@ settings, so tests run the same jobs on folders.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,11 +20,11 @@ from fleetpulse.functions.timecols import epoch_date, epoch_ts
 from fleetpulse.operators import alerts as al
 from fleetpulse.operators.delay import detect_delays
 from fleetpulse.operators.enrich import FEEDS, Feed, enrich
-from fleetpulse.operators.headway import headway_windows
 from fleetpulse.operators.stall import StallParams
 from fleetpulse.sources.messages import decode, flatten, read_stream
+from fleetpulse.streaming.headway_state import headway_windows_stream
 from fleetpulse.streaming.sinks import BatchSink, append_table, fan_out, stream_to_sinks, stream_to_table
-from fleetpulse.streaming.stall_state import stall_events_stream
+from fleetpulse.streaming.stall_state import closed_readings, judged
 from fleetpulse.streaming.transport import KafkaTransport, Transport
 
 
@@ -51,12 +52,11 @@ def headway_rows(updates: DataFrame, watermark: str, dedup: bool = True, **param
     timed = updates.withColumn("event_ts", epoch_ts(F.col("timestamp"))).withWatermark("event_ts", watermark)
     if dedup:
         timed = timed.dropDuplicatesWithinWatermark(["trip_id", "route_id", "direction_id"])
-    return headway_windows(timed, **params).withColumn("event_date", F.to_date("window_start"))
+    return headway_windows_stream(timed, **params).withColumn("event_date", F.to_date("window_start"))
 
 
-def stall_rows(positions: DataFrame, params: StallParams, ttl_s: int | None) -> DataFrame:
+def stall_rows(events: DataFrame) -> DataFrame:
     """Detection time is stamped before the rows fan out, so messages carry it too."""
-    events = stall_events_stream(positions, params, ttl_s)
     return events.withColumn("detected_at", F.current_timestamp()).withColumn(
         "event_date", epoch_date(F.col("stall_detected_ts"))
     )
@@ -106,13 +106,17 @@ def start_delays(spark: SparkSession, cfg: Settings, transport: Transport | None
 def start_stalls(spark: SparkSession, cfg: Settings, transport: Transport | None = None,
                  params: StallParams = StallParams()) -> list[StreamingQuery]:
     transport = transport or KafkaTransport(cfg)
+    params = replace(params, silence_s=cfg.stall_state_ttl_s)
     raw = _messages(spark, transport, config.TOPIC_POSITIONS, cfg.position_rows_per_trigger)
-    rows = stall_rows(records(raw, contracts.VEHICLE_POSITION, cfg, "vehicle_position"), params, cfg.stall_state_ttl_s)
-    return _detection(
-        rows, "vehicle_stalls", cfg, "update",
+    positions = records(raw, contracts.VEHICLE_POSITION, cfg, "vehicle_position")
+    rows = closed_readings(positions, params, cfg.stall_watermark, cfg.stall_slice_s)
+    checkpoint = cfg.checkpoint("vehicle_stalls")
+    sink = judged(
+        f"{checkpoint}-runs", params, stall_rows,
         transport.sink(config.TOPIC_ALERTS, without_date(al.stall_messages)),
         _table(cfg, "stall_events"),
     )
+    return [stream_to_sinks(rows, "vehicle_stalls", checkpoint, sink, "append", cfg.trigger_interval)]
 
 
 def start_headways(spark: SparkSession, cfg: Settings, transport: Transport | None = None) -> list[StreamingQuery]:

@@ -1,121 +1,122 @@
-"""Stall detection on a stream: one keyed state row per vehicle."""
+"""Stall detection on a stream: readings wait in keyed state until their time is over, then are judged in order.
+
+The state store holds readings by slice of event time, in lists under (slice, bucket); the bucket is a hash of the
+reading, so a vehicle that sends a third of all rows fills as many lists as any others. An event-time timer at the end
+of a slice, with the watermark, empties its lists into the trigger. What a trigger gets is thus complete up to the end
+of a slice, and Spark sorts, cuts and walks it like stored positions (``operators.stall``); the runs that vehicles are
+in at that moment are the only thing carried on, one row a vehicle, in a table with one folder a trigger.
+"""
 
 from __future__ import annotations
 
-import heapq
-import pickle
-import tempfile
-from collections.abc import Iterable, Iterator
-from itertools import islice
-from typing import IO
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from fleetpulse.contracts import STALL_STATE
-from fleetpulse.operators.stall import FINDING, FINDING_COLUMNS, READING, Run, StallParams, as_events, readings
-
-
-# Readings sorted at once, readings of a file in memory, files merged at once, findings of a frame.
-SORTED, SLICE, MERGED, FOUND = 1 << 16, 256, 64, 1 << 12
-
-
-def spilled(ordered: Iterable[tuple]) -> IO[bytes]:
-    """Rows in a file without a name, which ends with its use."""
-    file, rows = tempfile.TemporaryFile(), iter(ordered)
-    while part := list(islice(rows, SLICE)):
-        pickle.dump(part, file, pickle.HIGHEST_PROTOCOL)
-    return file
+from fleetpulse.functions.timecols import epoch_ts
+from fleetpulse.operators.stall import READING, RUN, StallParams, after, found, readings, stall_step
+from fleetpulse.streaming.sinks import BatchSink, commit, committed, fan_out, forget, run_id, trigger_folder
 
+WAITING = "vehicle_id string, ts bigint, route_id string, trip_id string, latitude double, longitude double, stopped boolean"
+WAITING_COLUMNS = ["vehicle_id", *READING]
+#: Lists of one slice, and readings of one frame.
+BUCKETS, FRAME = 16, 1 << 12
 
-def merged(files: list[IO[bytes]]) -> Iterator[tuple]:
-    def read(file: IO[bytes]) -> Iterator[tuple]:
-        with file:
-            file.seek(0)
-            while True:
-                try:
-                    part = pickle.load(file)
-                except EOFError:
-                    return
-                yield from part
 
-    return heapq.merge(*map(read, files))
+class Waiting(StatefulProcessor):
+    """Keeps a slice's readings until the watermark has passed its end. Readings of a slice that is over are dropped."""
 
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.list = handle.getListState("waiting", WAITING)
 
-def in_order(frames: Iterator[pd.DataFrame]) -> Iterator[tuple]:
-    """The readings of all frames in time order, with bounded memory: what is more than SORTED is sorted in files."""
-    held: list[tuple] = []
-    levels: list[list[IO[bytes]]] = []
-
-    def put(file: IO[bytes], level: int = 0) -> None:
-        if level == len(levels):
-            levels.append([])
-        levels[level].append(file)
-        if len(levels[level]) == MERGED:
-            files, levels[level] = levels[level], []
-            put(spilled(merged(files)), level + 1)
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        end_ms = int(key[0]) * 1000
+        if timerValues.getCurrentWatermarkInMs() < end_ms:
+            if not self.list.exists():
+                self.handle.registerTimer(end_ms)
+            for frame in rows:
+                self.list.appendList(list(zip(*[frame[c].tolist() for c in WAITING_COLUMNS])))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        part = []
+        for row in self.list.get():
+            part.append(tuple(row))
+            if len(part) == FRAME:
+                yield pd.DataFrame(part, columns=WAITING_COLUMNS)
+                part = []
+        if part:
+            yield pd.DataFrame(part, columns=WAITING_COLUMNS)
+        self.list.clear()
 
-    for frame in frames:
-        rows = zip(*[frame[c].tolist() for c in READING])
-        del frame
-        while part := list(islice(rows, SORTED - len(held))):
-            held += part
-            if len(held) >= SORTED:
-                put(spilled(sorted(held)))
-                held = []
-    held.sort()
-    yield from heapq.merge(merged([f for files in levels for f in files]), held) if levels else held
+    def close(self) -> None:
+        pass
 
 
-class StallProcessor(StatefulProcessor):
-    """Feeds a vehicle's new readings, in time order, to its stored run.
+def closed_readings(
+    positions: DataFrame, params: StallParams = StallParams(), delay: str = "1 minute", slice_s: int = 60
+) -> DataFrame:
+    """Readings of a position stream, each given out once no earlier one can come (append mode).
 
-    A key's share of one trigger may be its whole backlog, as sources set no rows-per-trigger limit
-    by default. It is sorted in files, so its task needs constant memory and time that grows with it.
+    A reading may be late by ``delay`` and the rest of its slice; later ones are dropped.
     """
+    timed = readings(positions, params).withColumn("event_ts", epoch_ts(F.col("ts"))).withWatermark("event_ts", delay)
+    # Without the column that carries the watermark: what is late is decided by slice, not by row.
+    plain = timed.select(
+        ((F.floor(F.col("ts") / slice_s) + 1) * slice_s).alias("slice_end"),
+        F.pmod(F.xxhash64("vehicle_id", "ts", "latitude", "longitude"), F.lit(BUCKETS)).cast("int").alias("bucket"),
+        *WAITING_COLUMNS,
+    )
+    return plain.groupBy("slice_end", "bucket").transformWithStateInPandas(
+        statefulProcessor=Waiting(), outputStructType=WAITING, outputMode="Append", timeMode="EventTime"
+    )
 
-    def __init__(self, params: StallParams, ttl_s: int | None) -> None:
-        self.params = params
-        self.ttl_ms = None if ttl_s is None else ttl_s * 1000
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.run = handle.getValueState("run", STALL_STATE, self.ttl_ms)
+def triggers_before(spark: SparkSession, path: str, run: str, batch_id: int) -> list[int]:
+    """Numbers of the complete triggers before this one, the last one first. Only the last two are kept."""
+    done = committed(spark, path)
+    if done is None:
+        return []
+    earlier = done.where((F.col("run_id") == run) & (F.col("batch_id") < batch_id)).distinct()
+    return [row["batch_id"] for row in earlier.orderBy(F.desc("batch_id")).limit(3).collect()]
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        run = Run.from_tuple(self.run.get()) if self.run.exists() else Run()
-        found = []
-        for ts, route, trip, lat, lon, stopped in in_order(rows):
-            span = run.advance(self.params, ts, route, trip, lat, lon, stopped)
-            if span is not None:
-                found.append((key[0], route, trip, run.lat, run.lon, run.n, span, run.since, ts))
-                if len(found) >= FOUND:
-                    yield pd.DataFrame(found, columns=FINDING_COLUMNS)
-                    found = []
-        self.run.update(run.as_tuple())
-        if found:
-            yield pd.DataFrame(found, columns=FINDING_COLUMNS)
 
-    def close(self) -> None:
-        pass
+def runs_after(spark: SparkSession, path: str, run: str, batch_id: int | None) -> DataFrame:
+    if batch_id is None:
+        return spark.createDataFrame([], RUN)
+    return spark.read.schema(RUN).parquet(trigger_folder(path, run, batch_id))
 
 
-def stall_events_stream(
-    positions: DataFrame, params: StallParams = StallParams(), ttl_s: int | None = 20 * 60
-) -> DataFrame:
-    """Stall events of a position stream (update mode).
+def judged(
+    state_path: str, params: StallParams, to_events: Callable[[DataFrame], DataFrame], *sinks: BatchSink, slice_s: int = 3600
+) -> BatchSink:
+    """A sink that turns closed readings into stall events and hands those on.
 
-    A vehicle silent for ``ttl_s`` of wall-clock time is forgotten. Pass None for a bounded
-    run: with a processing-time clock, ``availableNow`` never finds the query finished.
+    The runs are stored under the trigger's own number after the sinks are done, so a trigger that is run
+    again starts from the same runs and its sinks replace what they wrote.
     """
-    findings = (
-        readings(positions, params)
-        .groupBy("vehicle_id")
-        .transformWithStateInPandas(
-            statefulProcessor=StallProcessor(params, ttl_s),
-            outputStructType=FINDING,
-            outputMode="Update",
-            timeMode="None" if ttl_s is None else "ProcessingTime",
-        )
-    )
-    return as_events(findings)
+    out = fan_out(*sinks)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        run = run_id(spark)
+        if batch.isEmpty():
+            return
+        earlier = triggers_before(spark, state_path, run, batch_id)
+        before = runs_after(spark, state_path, run, earlier[0] if earlier else None)
+        step = stall_step(batch, before, params, slice_s).persist()
+        try:
+            out(to_events(found(step)), batch_id)
+            now = batch.agg(F.max("ts")).first()[0]
+            after(step, before, params, now).write.mode("overwrite").parquet(trigger_folder(state_path, run, batch_id))
+            commit(spark, state_path, run, batch_id)
+            for old in earlier[1:]:
+                forget(spark, state_path, run, old)
+        finally:
+            step.unpersist()
+
+    return sink

@@ -27,7 +27,7 @@ class KafkaTransport:
 
 @dataclass(frozen=True)
 class FolderTransport:
-    """One folder of JSON key/value files per topic."""
+    """One folder of JSON key/value files per topic, with a folder in it for each trigger that wrote some."""
 
     base: str
     files_per_trigger: int | None = None
@@ -36,7 +36,7 @@ class FolderTransport:
         return f"{self.base.rstrip('/')}/{topic}"
 
     def source(self, topic: str, rows_per_trigger: int | None) -> SourceSpec:
-        return SourceSpec.files("json", self.path(topic), files_per_trigger=self.files_per_trigger)
+        return SourceSpec.files("json", self.path(topic), files_per_trigger=self.files_per_trigger, recursiveFileLookup="true")
 
     def sink(self, topic: str, to_messages: ToMessages) -> BatchSink:
         return publish(to_messages, "json", self.path(topic))
