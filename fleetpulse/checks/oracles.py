@@ -179,7 +179,7 @@ PARTS = {
         SELECT * EXCLUDE (i), row_number() OVER (PARTITION BY vehicle_id
                                                  ORDER BY ts, route_id, trip_id, latitude, longitude, stopped) AS i
         FROM readings r JOIN arrivals a USING (n)
-        WHERE (r.ts // 3600 + 1) * 3600 > coalesce((SELECT max(o.ts) FROM readings o JOIN arrivals b USING (n)
+        WHERE (r.ts // 86400 + 1) * 86400 > coalesce((SELECT max(o.ts) FROM readings o JOIN arrivals b USING (n)
                                                     WHERE b.part < a.part), 0) - 6 * 86400""",
     "timely_walk": _walk("timely_walk", "timely_readings"),
     "timely_stalls": _stalls("timely_walk"),

@@ -195,7 +195,7 @@ def stall_stream(spark: SparkSession, sf_dir: str, params: StallParams, delay: s
     """Stall events of readings that come out of order over several triggers; a reading later than ``delay`` is lost."""
     base = scratch_dir(spark, "stalls")
     positions = replay(spark, sf_dir, tick=True).select(*ad.position_columns())
-    rows = closed_readings(positions, params, delay, slice_s=3600)
+    rows = closed_readings(positions, params, delay, slice_s=86_400)
     sink = judged(f"{base}/runs", params, jobs.stall_rows, sinks.append_table(f"{base}/table"))
     finish(sinks.stream_to_sinks(rows, "vehicle_stalls", f"{base}/checkpoint", sink))
     return _table(spark, base).select(*contracts.STALL_EVENT.fieldNames())

@@ -14,9 +14,8 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -25,11 +24,11 @@ from fleetpulse.operators import headway
 from fleetpulse.operators.headway import departures, metrics
 
 #: Seconds of a word, and what is added to a second so that none is negative (departures before midnight).
-WORD, SHIFT = 1 << 10, 1 << 20
+WORD, SHIFT = 1 << 12, 1 << 20
 COUNTED = "pane bigint, route_id string, direction_id int, departure bigint, trips bigint"
 NUMBERS = "trips bigint, first bigint, last bigint, squares bigint, words binary"
 STATS = "window_start bigint, route_id string, direction_id int, trip_count bigint, first bigint, last bigint, gap_squares bigint"
-STATS_COLUMNS = [part.split()[0] for part in STATS.split(", ")]
+STATS_ROW = Row(*[part.split()[0] for part in STATS.split(", ")])
 
 
 def packed(bits: int) -> bytes:
@@ -97,12 +96,10 @@ class HeadwayState(StatefulProcessor):
         self.numbers = handle.getValueState("numbers", NUMBERS)
         self.words = handle.getMapState("words", "word int", "bits binary")
 
-    def _row(self, key) -> pd.DataFrame:
-        trips, first, last, squares, _ = self.numbers.get()
-        row = (key[0], key[1], key[2], trips, first, last, squares)
-        return pd.DataFrame([row], columns=STATS_COLUMNS).astype({"first": "Int64", "last": "Int64", "direction_id": "Int32"})
+    def _row(self, key, numbers: tuple) -> Row:
+        return STATS_ROW(*key, *numbers[:4])
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         end_ms = (int(key[0]) + self.window_s) * 1000
         if timerValues.getCurrentWatermarkInMs() >= end_ms:
             return
@@ -111,20 +108,20 @@ class HeadwayState(StatefulProcessor):
             trips = 0
             self.handle.registerTimer(end_ms)
         seconds = Seconds(lambda w: int.from_bytes(self.words.getValue((w,))[0], "little"), int.from_bytes(used, "little"), first, last, squares)
-        for frame in rows:
-            known = frame[frame["departure"].notna()]
-            trips += int(known["trips"].sum())
-            for second in known["departure"].unique().tolist():
-                seconds.add(int(second))
+        for row in rows:
+            if row.departure is not None:
+                trips += row.trips
+                seconds.add(row.departure)
         for w in seconds.changed:
             self.words.updateValue((w,), (packed(seconds.words[w]),))
-        self.numbers.update((trips, seconds.first, seconds.last, seconds.squares, packed(seconds.used)))
+        numbers = (trips, seconds.first, seconds.last, seconds.squares, packed(seconds.used))
+        self.numbers.update(numbers)
         if not self.final:
-            yield self._row(key)
+            yield self._row(key, numbers)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         if self.final:
-            yield self._row(key)
+            yield self._row(key, self.numbers.get())
         self.words.clear()
         self.numbers.clear()
 
@@ -162,7 +159,7 @@ def headway_windows_stream(
     spread = rows.mapInArrow(counted, COUNTED).select(
         F.explode(F.sequence(earliest, latest, F.lit(slide_s).cast("bigint"))).alias("window_start"), "route_id", "direction_id", "departure", "trips"
     )
-    stats = spread.groupBy("window_start", "route_id", "direction_id").transformWithStateInPandas(
+    stats = spread.groupBy("window_start", "route_id", "direction_id").transformWithState(
         statefulProcessor=HeadwayState(window_s, mode == "append"), outputStructType=STATS,
         outputMode=mode.capitalize(), timeMode="EventTime",
     )

@@ -10,9 +10,9 @@ in at that moment are the only thing carried on, one row a vehicle, in a table w
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import islice
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -22,8 +22,9 @@ from fleetpulse.streaming.sinks import BatchSink, commit, committed, fan_out, fo
 
 WAITING = "vehicle_id string, ts bigint, route_id string, trip_id string, latitude double, longitude double, stopped boolean"
 WAITING_COLUMNS = ["vehicle_id", *READING]
-#: Lists of one slice, and readings of one frame.
-BUCKETS, FRAME = 16, 1 << 12
+WAITING_ROW = Row(*WAITING_COLUMNS)
+#: Lists of one slice, and readings that are added to a list at once.
+BUCKETS, PORTION = 16, 1 << 12
 
 
 class Waiting(StatefulProcessor):
@@ -33,24 +34,18 @@ class Waiting(StatefulProcessor):
         self.handle = handle
         self.list = handle.getListState("waiting", WAITING)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         end_ms = int(key[0]) * 1000
         if timerValues.getCurrentWatermarkInMs() < end_ms:
             if not self.list.exists():
                 self.handle.registerTimer(end_ms)
-            for frame in rows:
-                self.list.appendList(list(zip(*[frame[c].tolist() for c in WAITING_COLUMNS])))
+            while part := [tuple(row[c] for c in WAITING_COLUMNS) for row in islice(rows, PORTION)]:
+                self.list.appendList(part)
         return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        part = []
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         for row in self.list.get():
-            part.append(tuple(row))
-            if len(part) == FRAME:
-                yield pd.DataFrame(part, columns=WAITING_COLUMNS)
-                part = []
-        if part:
-            yield pd.DataFrame(part, columns=WAITING_COLUMNS)
+            yield WAITING_ROW(*row)
         self.list.clear()
 
     def close(self) -> None:
@@ -71,7 +66,7 @@ def closed_readings(
         F.pmod(F.xxhash64("vehicle_id", "ts", "latitude", "longitude"), F.lit(BUCKETS)).cast("int").alias("bucket"),
         *WAITING_COLUMNS,
     )
-    return plain.groupBy("slice_end", "bucket").transformWithStateInPandas(
+    return plain.groupBy("slice_end", "bucket").transformWithState(
         statefulProcessor=Waiting(), outputStructType=WAITING, outputMode="Append", timeMode="EventTime"
     )
 
@@ -102,16 +97,22 @@ def judged(
     out = fan_out(*sinks)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        run = run_id(spark)
-        if batch.isEmpty():
-            return
+        spark, run = batch.sparkSession, run_id(batch.sparkSession)
+        # The state is read for these rows, so they are taken once.
+        batch = batch.persist()
+        try:
+            now = batch.agg(F.max("ts")).first()[0]
+            if now is not None:
+                _judge(spark, run, batch, batch_id, now)
+        finally:
+            batch.unpersist()
+
+    def _judge(spark: SparkSession, run: str, batch: DataFrame, batch_id: int, now: int) -> None:
         earlier = triggers_before(spark, state_path, run, batch_id)
         before = runs_after(spark, state_path, run, earlier[0] if earlier else None)
         step = stall_step(batch, before, params, slice_s).persist()
         try:
             out(to_events(found(step)), batch_id)
-            now = batch.agg(F.max("ts")).first()[0]
             after(step, before, params, now).write.mode("overwrite").parquet(trigger_folder(state_path, run, batch_id))
             commit(spark, state_path, run, batch_id)
             for old in earlier[1:]:

@@ -7,7 +7,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from fleetpulse import contracts
-from fleetpulse.operators.stall import Run, StallParams, independent_stretches, stall_events
+from fleetpulse.operators import stall
+from fleetpulse.operators.stall import Run, StallParams, readings, stall_events
 
 SCHEMA = ("vehicle_id string, route_id string, trip_id string, latitude double, longitude double, "
           "timestamp bigint, current_status string")
@@ -94,10 +95,21 @@ def test_columns_match_the_contract(spark):
     assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in contracts.STALL_EVENT]
 
 
-def test_stored_state_continues_a_run():
-    run = Run.from_tuple((*SPOT, 2, 900, "R1", "T1", 0, 0))
+def test_a_known_run_goes_on():
+    run = Run("R1", "T1", *SPOT, 2, 900, 960, True)
     assert run.advance(StallParams(), 1000, "R1", "T1", *SPOT, False) == 100 and run.n == 3
-    assert Run.from_tuple(run.as_tuple()).as_tuple() == run.as_tuple()
+
+
+def test_silence_restarts(spark):
+    rows = [at(1000), at(1030), at(1100), at(1130), at(1161)]
+    assert [e.stall_detected_ts for e in detect(spark, *rows)] == [1100, 1130, 1161]
+    got = detect(spark, *rows, params=StallParams(silence_s=69))
+    assert [(e.reading_count, e.stall_detected_ts) for e in got] == [(3, 1161)]
+    assert len(detect(spark, *rows, params=StallParams(silence_s=70))) == 3
+
+
+def independent_stretches(rows, params, slice_s):
+    return stall.independent_stretches(readings(rows, params), params, slice_s)
 
 
 # An independent reading of the rules, with positions and history kept as they come.
@@ -113,9 +125,11 @@ def by_the_book(rows, p):
             if group:
                 a = group[0]
                 far = metres(a[3], a[4], r[3], r[4]) > p.radius_m
-                group = [r] if far or a[1:3] != r[1:3] else group + [r]
+                silent = p.silence_s is not None and r[0] - last > p.silence_s
+                group = [r] if far or silent or a[1:3] != r[1:3] else group + [r]
             else:
                 group = [r]
+            last = r[0]
             span = r[0] - group[0][0]
             if len(group) >= p.min_readings and span > p.max_span_s:
                 group = [r]
@@ -142,12 +156,29 @@ def random_walk(rng, n, vehicles=2):
 
 
 @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.integers(0, 10_000), st.sampled_from([60, 900, 5000, 10**7]))
-def test_cut_timelines_give_the_sequential_result(spark, seed, slice_s):
-    rows = random_walk(random.Random(seed), 250)
-    got = detect(spark, *rows, slice_s=slice_s)
-    assert sorted((e.vehicle_id, e.reading_count, e.stall_duration_s, e.stall_detected_ts) for e in got) == \
-        by_the_book(rows, StallParams())
+@given(st.integers(0, 10_000), st.sampled_from([60, 900, 5000, 10**7]), st.sampled_from([None, 60, 300]))
+def test_cut_timelines_give_the_sequential_result(spark, seed, slice_s, silence_s):
+    rows, p = random_walk(random.Random(seed), 250), StallParams(silence_s=silence_s)
+    got = detect(spark, *rows, slice_s=slice_s, params=p)
+    assert sorted((e.vehicle_id, e.reading_count, e.stall_duration_s, e.stall_detected_ts) for e in got) == by_the_book(rows, p)
+
+
+@pytest.mark.parametrize("seed,silence_s", [(1, None), (2, None), (3, 60), (4, 300), (5, None)])
+def test_steps_with_runs_between_them_give_the_sequential_result(spark, seed, silence_s):
+    """Readings cut at any time into steps; only the runs go from one to the next."""
+    rng, p = random.Random(seed), StallParams(silence_s=silence_s)
+    rows = random_walk(rng, 250)
+    top = max(r[5] for r in rows)
+    cuts = [-1, *sorted(rng.sample(range(top), 5)), top]
+    runs, got = spark.createDataFrame([], stall.RUN), []
+    for low, high in zip(cuts, cuts[1:]):
+        part = readings(spark.createDataFrame([r for r in rows if low < r[5] <= high], SCHEMA), p)
+        step = spark.createDataFrame(stall.stall_step(part, runs, p, 900).collect(), f"{stall.FINDING}, stretch bigint, moved boolean")
+        got += stall.found(step).collect()
+        runs = spark.createDataFrame(stall.after(step, runs, p, high).collect(), stall.RUN)
+        if silence_s:
+            assert all(high - r["last"] <= silence_s for r in runs.collect())
+    assert sorted((e.vehicle_id, e.reading_count, e.stall_duration_s, e.stall_detected_ts) for e in got) == by_the_book(rows, p)
 
 
 @pytest.mark.parametrize("min_readings", [1, 2, 3])

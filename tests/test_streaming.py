@@ -1,25 +1,27 @@
 import datetime as dt
-import gc
 import json
 import random
-import time
-import weakref
 
-import pandas as pd
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from fleetpulse import contracts
+from fleetpulse.checks import replays
 from fleetpulse.config import Settings
+from fleetpulse.operators import alerts as al
+from fleetpulse.operators import stall
 from fleetpulse.operators.enrich import TRIPS
-from fleetpulse.operators.stall import READING, Run, StallParams, stall_events
+from fleetpulse.operators.headway import headway_lag_form
+from fleetpulse.operators.stall import StallParams, stall_events
 from fleetpulse.plans.staging import stg_headway_metrics
 from fleetpulse.session import scratch_dir
 from fleetpulse.streaming import jobs, sinks, stall_state
-from fleetpulse.streaming.stall_state import stall_events_stream
+from fleetpulse.streaming.headway_state import SHIFT, WORD, Seconds
+from fleetpulse.streaming.stall_state import closed_readings, judged
 from fleetpulse.streaming.transport import FolderTransport, KafkaTransport
 from tests.test_stall import SCHEMA as POSITIONS
-from tests.test_stall import at, random_walk
+from tests.test_stall import SPOT, at, random_walk
 
 UPDATES = ("id string, trip_id string, route_id string, direction_id int, start_time string, start_date string, "
            "schedule_relationship int, delay int, timestamp bigint, is_deleted boolean")
@@ -52,78 +54,83 @@ def positions(rows):
     return [dict(zip(names, r)) for r in rows]
 
 
+def judge(spark, tmp_path, params=StallParams(), delay="1 minute", slice_s=60, *more, name="q", interval=None):
+    rows = closed_readings(stream(spark, tmp_path / "in", POSITIONS), params, delay, slice_s)
+    sink = judged(str(tmp_path / "runs"), params, jobs.stall_rows, *more, sinks.append_table(str(tmp_path / name)), slice_s=900)
+    return sinks.stream_to_sinks(rows, name, str(tmp_path / f"{name}_cp"), sink, "append", interval)
+
+
+def stall_columns(df):
+    return sorted(tuple(r) for r in df.select(*contracts.STALL_EVENT.fieldNames()).collect())
+
+
 def test_stall_stream_over_many_triggers_equals_batch(spark, tmp_path):
-    rows = sorted(random_walk(random.Random(3), 240), key=lambda r: r[5])
-    drop_files(tmp_path / "in", *[positions(rows[i:i + 60]) for i in range(0, 240, 60)])
-    live = stall_events_stream(stream(spark, tmp_path / "in", POSITIONS), ttl_s=None)
-    run(live.withColumn("event_date", F.lit("d")), tmp_path, "update")
-    got = spark.read.parquet(str(tmp_path / "q")).select(*contracts.STALL_EVENT.fieldNames())
-    want = stall_events(spark.createDataFrame(rows, POSITIONS))
-    assert want.count() > 0 and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-
-
-def test_a_backlog_of_one_vehicle_is_sorted_in_bounded_memory(monkeypatch):
-    """Readings of one trigger out of order, with ties, merged over several levels of files."""
-    monkeypatch.setattr(stall_state, "SORTED", 16)
-    monkeypatch.setattr(stall_state, "SLICE", 4)
-    monkeypatch.setattr(stall_state, "MERGED", 3)
-    monkeypatch.setattr(stall_state, "FOUND", 5)
-    rng, alive, most = random.Random(7), weakref.WeakSet(), 0
-    rows = [(1000 + 20 * (i // 2), "R", f"T{i // 300}", -36.85 + rng.randrange(3) * 5e-5, 174.76, i % 7 == 0) for i in range(1200)]
-    shuffled = rng.sample(rows, len(rows))
-
-    class Frame(pd.DataFrame):
-        __hash__ = object.__hash__
-
-    def frames():
-        nonlocal most
-        for i in range(0, len(shuffled), 10):
-            frame = Frame(shuffled[i:i + 10], columns=list(READING))
-            alive.add(frame)
-            yield frame
-            del frame
-            gc.collect()
-            most = max(most, len(alive))
-
-    class State:
-        value = None
-
-        def exists(self):
-            return self.value is not None
-
-        def update(self, value):
-            self.value = value
-
-    processor = stall_state.StallProcessor(StallParams(), None)
-    processor.run = State()
-    got = [tuple(r) for f in processor.handleInputRows(("v",), frames(), None) for r in f.itertuples(index=False)]
-    walk, want = Run(), []
-    for ts, route, trip, lat, lon, stopped in sorted(rows):
-        span = walk.advance(StallParams(), ts, route, trip, lat, lon, stopped)
-        if span is not None:
-            want.append(("v", route, trip, walk.lat, walk.lon, walk.n, span, walk.since, ts))
-    assert len(want) > 20 and got == want and processor.run.value == walk.as_tuple()
-    assert most <= 2
+    """Out of order within and between triggers, and a far-off clock at the end that closes all slices."""
+    rng = random.Random(3)
+    rows = random_walk(rng, 240)
+    order = sorted(rows, key=lambda r: r[5] + rng.randrange(3000))
+    far = at(10**7, vehicle="none")
+    drop_files(tmp_path / "in", *[positions(order[i:i + 40]) for i in range(0, 240, 40)], positions([far]))
+    judge(spark, tmp_path, delay="2 hours").awaitTermination()
+    want = stall_columns(stall_events(spark.createDataFrame(rows, POSITIONS)))
+    got = sinks.read_committed(spark, str(tmp_path / "q"))
+    assert len(want) > 5 and stall_columns(got) == want
+    assert got.select("batch_id").distinct().count() > 1
+    # Runs of two triggers are kept, whatever the number of triggers.
+    assert len(list((tmp_path / "runs" / "_committed").iterdir())) == 2
+
+
+def test_a_trigger_that_fails_between_its_sinks_writes_each_row_once(spark, tmp_path):
+    rows = [at(1000 + 30 * i, vehicle=f"V{v}") for i in range(40) for v in range(3)]
+    drop_files(tmp_path / "in", *[positions(rows[i:i + 20]) for i in range(0, 120, 20)], positions([at(10**6, vehicle="none")]))
+    topic = sinks.publish(jobs.without_date(al.stall_messages), "json", str(tmp_path / "topic"))
+    fail = replays.failing_once(3)
+    with pytest.raises(StreamingQueryException):
+        judge(spark, tmp_path, StallParams(), "1 minute", 60, topic, fail).awaitTermination()
+    judge(spark, tmp_path, StallParams(), "1 minute", 60, topic, fail).awaitTermination()
+    want = [r[0] for r in stall_columns(stall_events(spark.createDataFrame(rows, POSITIONS)))]
+    sent = spark.read.schema("key string, value string").option("recursiveFileLookup", "true").json(str(tmp_path / "topic"))
+    ids = sorted(r[0] for r in sent.select(F.get_json_object("value", "$.stall_id")).collect())
+    assert len(want) > 50 and ids == want
+    assert [r[0] for r in stall_columns(sinks.read_committed(spark, str(tmp_path / "q")))] == want
+
+
+def test_readers_see_complete_triggers_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert sinks.read_committed(spark, path) is None
+    df = spark.createDataFrame([(1, "d")], "id int, event_date string")
+    write = sinks.append_table(path)
+    write(df, 0)
+    write(df, 1)
+    write(df, 1)
+    df.write.parquet(sinks.trigger_folder(path, "q0", 2) + "/event_date=d")
+    assert spark.read.parquet(path).count() == 3
+    assert sorted(r.batch_id for r in sinks.read_committed(spark, path).collect()) == [0, 1]
+    sinks.forget(spark, path, "q0", 0)
+    assert [r.batch_id for r in sinks.read_committed(spark, path).collect()] == [1]
+
+
+def test_one_busy_vehicle_fills_all_lists_of_a_slice(spark):
+    rows = spark.createDataFrame([at(1000 + i % 60, lat=SPOT[0] + i * 1e-7) for i in range(4000)], POSITIONS)
+    sizes = rows.groupBy(F.pmod(F.xxhash64("vehicle_id", F.col("timestamp"), "latitude", "longitude"), F.lit(stall_state.BUCKETS))).count()
+    assert sizes.count() == stall_state.BUCKETS and sizes.agg(F.max("count")).first()[0] < 400
 
 
 def test_a_silent_vehicle_is_forgotten(spark, tmp_path):
-    """With a time-to-live the third reading starts afresh once the state has expired."""
-    drop_files(tmp_path / "in", positions([at(1000), at(1030)]))
-    live = stall_events_stream(stream(spark, tmp_path / "in", POSITIONS), ttl_s=1).withColumn("event_date", F.lit("d"))
-    sink = sinks.fan_out(sinks.append_table(str(tmp_path / "out")))
-    query = sinks.stream_to_sinks(live, "ttl", str(tmp_path / "cp"), sink, "update", interval="500 milliseconds")
-    try:
-        deadline = time.time() + 60
-        while time.time() < deadline and not any(p["numInputRows"] for p in query.recentProgress):
-            time.sleep(0.2)
-        time.sleep(3)
-        drop_files(tmp_path / "in", positions([at(1060)]))
-        seen = len([p for p in query.recentProgress if p["numInputRows"]])
-        while time.time() < deadline and len([p for p in query.recentProgress if p["numInputRows"]]) <= seen:
-            time.sleep(0.2)
-    finally:
-        query.stop()
-    assert query.exception() is None and not (tmp_path / "out").exists()
+    """By event time: the run is left out of what is carried on, and the third reading starts afresh."""
+    far = [at(50_000, vehicle="none")]
+    drop_files(tmp_path / "in", positions([at(1000), at(1030)]), positions([at(2000, vehicle="V2")]), positions([at(3000)]), positions(far))
+    judge(spark, tmp_path, StallParams(silence_s=600, max_span_s=10_000)).awaitTermination()
+    assert not (tmp_path / "q").exists()
+    kept = spark.read.schema(stall.RUN).option("recursiveFileLookup", "true").parquet(str(tmp_path / "runs"))
+    assert {(r.vehicle_id, r.readings) for r in kept.collect()} <= {("V2", 1), ("V1", 1)}
+
+
+def test_late_readings_of_a_closed_slice_are_dropped(spark, tmp_path):
+    drop_files(tmp_path / "in", positions([at(1000), at(1030)]), positions([at(9000, vehicle="V2")]), positions([at(1060)]),
+               positions([at(90_000, vehicle="none")]))
+    judge(spark, tmp_path).awaitTermination()
+    assert not (tmp_path / "q").exists()
 
 
 def update(i, start, at_s, trip=None, delay=0):
@@ -159,9 +166,40 @@ def test_repeats_within_the_watermark_count_once(spark, tmp_path):
     assert {r.trip_count for r in spark.read.parquet(str(tmp_path / "q")).collect()} == {1}
 
 
+def test_seconds_of_a_window_keep_their_gaps():
+    rng, stored = random.Random(5), {}
+    seconds = [rng.choice([rng.randrange(-4000, 100_000), rng.randrange(30)]) for _ in range(600)]
+    state = (0, None, None, 0)
+    for i in range(0, 600, 7):
+        live = Seconds(stored.__getitem__, *state)
+        for s in seconds[i:i + 7]:
+            live.add(s)
+        stored |= {w: live.words[w] for w in live.changed}
+        state = (live.used, live.first, live.last, live.squares)
+    line = sorted(set(seconds))
+    assert state[1:] == (line[0], line[-1], sum((b - a) ** 2 for a, b in zip(line, line[1:])))
+    assert set(stored) == {(s + SHIFT) // WORD for s in line}
+
+
+def test_headway_stream_equals_the_batch_form(spark, tmp_path):
+    """A line with most rows, windows that are no whole number of slides, nulls, several triggers."""
+    rng = random.Random(9)
+    rows = [{**update(i, f"{rng.randrange(26):02d}:{rng.randrange(60):02d}:{rng.randrange(60):02d}", T0 + rng.randrange(1500), delay=rng.randrange(-900, 900)),
+             "route_id": rng.choice(["R", "R", "R", "Q", ""]), "direction_id": rng.choice([0, 1, None])} for i in range(300)]
+    rows[7]["start_time"] = None
+    drop_files(tmp_path / "in", *[rows[i:i + 60] for i in range(0, 300, 60)])
+    for window, slide in (("10 minutes", "2 minutes"), ("5 minutes", "2 minutes")):
+        live = jobs.headway_rows(stream(spark, tmp_path / "in", UPDATES), "1 hour", dedup=False, window=window, slide=slide)
+        run(live, tmp_path, "update", name=f"w{window[0]}")
+        batch = spark.createDataFrame(rows, UPDATES).withColumn("event_ts", F.timestamp_seconds("timestamp"))
+        want = stg_headway_metrics(headway_lag_form(batch, window=window, slide=slide))
+        got = stg_headway_metrics(sinks.read_committed(spark, str(tmp_path / f"w{window[0]}")))
+        assert want.count() > 20 and sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+
+
 def test_headway_stream_in_append_mode(spark, tmp_path):
     drop_files(tmp_path / "in", [update(1, "08:00:00", T0)], [update(2, "08:00:00", T0 + 7200)], [update(3, "08:00:00", T0 + 7300)])
-    run(jobs.headway_rows(stream(spark, tmp_path / "in", UPDATES), "10 minutes"), tmp_path, "append")
+    run(jobs.headway_rows(stream(spark, tmp_path / "in", UPDATES), "10 minutes", mode="append"), tmp_path, "append")
     stored = spark.read.parquet(str(tmp_path / "q"))
     assert stored.count() == stored.select("window_start").distinct().count() >= 5
 
@@ -240,7 +278,7 @@ def test_all_seven_jobs_end_to_end_and_again(spark, tmp_path):
 
     ts = int(dt.datetime(2024, 1, 1, 12, tzinfo=dt.timezone.utc).timestamp())
     trips = [update(i, s, ts, delay=d) for i, (s, d) in enumerate((("07:48:20", 700), ("08:01:00", 0), ("08:20:00", 10)))]
-    spots = positions([at(ts + 30 * i, status="IN_TRANSIT_TO") for i in range(3)])
+    spots = positions([at(ts + 30 * i, status="IN_TRANSIT_TO") for i in range(3)] + [at(ts + 900, vehicle="V2")])
     notice = {"id": "n1", "route_id": "R", "timestamp": ts, "active_period_start": ts}
     deliver = {"trip_updates": [message(t["trip_id"], t) for t in trips],
                "vehicle_positions": [message(p["vehicle_id"], p) for p in spots],
@@ -258,7 +296,7 @@ def test_all_seven_jobs_end_to_end_and_again(spark, tmp_path):
     def stored(table):
         return spark.read.parquet(cfg.table_path(table))
 
-    assert [stored(t).count() for t in ("trip_updates", "vehicle_positions", "service_alerts")] == [3, 3, 1]
+    assert [stored(t).count() for t in ("trip_updates", "vehicle_positions", "service_alerts")] == [3, 4, 1]
     assert {"event_date", "event_hour"} <= set(stored("trip_updates").columns)
     assert stored("delay_alerts").count() == 1 and stored("stall_events").count() == 1
     assert stored("headway_metrics").where("is_bunching").count() == 5
@@ -268,7 +306,7 @@ def test_all_seven_jobs_end_to_end_and_again(spark, tmp_path):
 
     # The same messages delivered again, as after a failed commit.
     alerts = tmp_path / "topics" / "alerts"
-    again = [json.loads(line) for f in alerts.iterdir() if f.suffix == ".json" for line in f.read_text().splitlines()]
+    again = [json.loads(line) for f in alerts.rglob("*.json") for line in f.read_text().splitlines()]
     assert len(again) == 7
     drop_files(alerts, again)
     (collector,) = jobs.start_alerts(spark, cfg, transport)
