@@ -331,6 +331,13 @@ _TRIP_RECORD = (
     "source_id, trip_id, route_id, direction_id, start_time, start_date, schedule_relationship, delay"
 )
 
+_COLLECTED = f"""
+        SELECT DISTINCT *, CAST(event_ts AS DATE) AS event_date FROM alerts
+        UNION ALL
+        SELECT DISTINCT {_key('unknown', 'props')} AS alert_id, 'UNKNOWN' AS alert_type, NULL AS route_id, NULL AS vehicle_id,
+               NULL AS trip_id, CAST(NULL AS TIMESTAMP) AS event_ts, CAST(NULL AS DATE) AS event_date
+        FROM events"""
+
 ORACLES: dict[str, str] = {
     "delay_by_hour": _with("SELECT * FROM by_hour", "by_hour"),
     "delay_alerts": _with("SELECT * FROM delays", "delays"),
@@ -361,6 +368,9 @@ ORACLES: dict[str, str] = {
     ),
     "incremental_replace": _with("SELECT * FROM by_hour", "by_hour"),
     "incremental_refresh": _with("SELECT * FROM by_hour", "by_hour"),
+    "incremental_delay_alerts": _with("SELECT * FROM fct_delays", "fct_delays"),
+    "incremental_stalls": _with("SELECT * FROM fct_stalls", "fct_stalls"),
+    "incremental_headways": _with("SELECT * FROM fct_headways", "fct_headways"),
     "decode_messages": _with(
         """
         SELECT id, trip_id, route_id, direction_id, start_time, start_date, schedule_relationship, delay, timestamp,
@@ -471,14 +481,7 @@ ORACLES: dict[str, str] = {
               UNION ALL SELECT route_id FROM windows WHERE is_bunching) GROUP BY 1""",
         "delays", "stalls", "windows",
     ),
-    "alerts_upsert": _with(
-        """
-        SELECT DISTINCT event_id AS alert_id, 'DELAY' AS alert_type, route_id, CAST(NULL AS VARCHAR) AS vehicle_id, trip_id,
-               make_timestamp(event_timestamp * 1000000) AS event_ts,
-               CAST(make_timestamp(event_timestamp * 1000000) AS DATE) AS event_date
-        FROM delays""",
-        "delays",
-    ),
+    "alerts_upsert": _with(_COLLECTED, "alerts"),
     "headway_message_keys": _with(
         "SELECT route_id || ':' || direction_id AS key, count(*) AS messages FROM windows GROUP BY 1", "windows"
     ),
@@ -604,12 +607,5 @@ ORACLES: dict[str, str] = {
     "stream_stalls_late": _with("SELECT * FROM timely_stalls", "timely_stalls"),
     "stream_stalls_silence": _with("SELECT * FROM silent_stalls", "silent_stalls"),
     "stalls_silence": _with("SELECT * FROM silent_stalls", "silent_stalls"),
-    "stream_alerts": _with(
-        """
-        SELECT DISTINCT event_id AS alert_id, 'DELAY' AS alert_type, route_id, trip_id,
-               make_timestamp(event_timestamp * 1000000) AS event_ts,
-               CAST(make_timestamp(event_timestamp * 1000000) AS DATE) AS event_date
-        FROM delays""",
-        "delays",
-    ),
+    "stream_alerts": _with(_COLLECTED, "alerts"),
 }

@@ -181,7 +181,39 @@ def incremental_replace(spark, d):
 
 @query
 def incremental_refresh(spark, d):
-    return replays.refresh_twice(spark, ad.bronze_trip_updates(_events(spark, d)))
+    return replays.refresh_twice(
+        spark, ad.bronze_trip_updates(_events(spark, d)), lambda rows: marts.fct_delay_by_hour(staging.stg_trip_updates(rows))
+    )
+
+
+@query
+def incremental_delay_alerts(spark, d):
+    routes = _routes(spark, d)
+    return replays.refresh_twice(
+        spark, ad.bronze_trip_updates(_events(spark, d)), lambda rows: marts.fct_delay_alerts(staging.stg_trip_updates(rows), routes)
+    )
+
+
+@query
+def incremental_stalls(spark, d):
+    """Stalls that cross the first load's end are dated by their start, so the second load looks back over their longest span."""
+    routes = _routes(spark, d)
+    found = _stalls(spark, d).withColumn("at", F.timestamp_seconds("stall_detected_ts"))
+    bronze = found.withColumns({"detected_at": F.col("at"), "event_date": F.to_date("at")})
+    loaded = replays.refresh_twice(
+        spark, bronze, lambda rows: marts.fct_stall_incidents(staging.stg_stall_events(rows), routes), "at", lookback_days=1
+    )
+    return loaded.drop("detected_at")
+
+
+@query
+def incremental_headways(spark, d):
+    """Windows come when they are over and are dated by their start."""
+    routes = _routes(spark, d)
+    bronze = _windows(spark, d).withColumn("event_date", F.to_date("window_start"))
+    return replays.refresh_twice(
+        spark, bronze, lambda rows: marts.fct_headway_regularity(staging.stg_headway_metrics(rows), routes), "window_end", lookback_days=2
+    )
 
 
 # -- columns ---------------------------------------------------------------------------
@@ -360,6 +392,11 @@ def _all_messages(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _collected_messages(spark: SparkSession, d: str) -> DataFrame:
+    other = _events(spark, d).select(F.col("user_id").cast("string").alias("key"), F.col("props").alias("value"))
+    return al.union_messages(_all_messages(spark, d), other)
+
+
 @query
 def alert_envelope(spark, d):
     return al.normalize_alerts(_all_messages(spark, d)).drop("detected_at", "payload", "ingested_at")
@@ -372,8 +409,9 @@ def alerts_union(spark, d):
 
 @query
 def alerts_upsert(spark, d):
-    delays = al.normalize_alerts(al.delay_messages(detect_delays(_trips(spark, d))))
-    return replays.upsert_twice(spark, delays).drop("detected_at", "payload", "ingested_at")
+    """All three kinds, and messages that fit none."""
+    alerts = al.normalize_alerts(_collected_messages(spark, d))
+    return replays.upsert_twice(spark, alerts).drop("detected_at", "payload", "ingested_at")
 
 
 @query
@@ -596,4 +634,5 @@ def stalls_silence(spark, d):
 
 @query
 def stream_alerts(spark, d):
-    return replays.alert_stream(spark, d)
+    columns = ["alert_id", "alert_type", "route_id", "vehicle_id", "trip_id", "event_ts", "event_date"]
+    return replays.alert_stream(spark, _collected_messages(spark, d), columns)

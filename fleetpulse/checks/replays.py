@@ -6,6 +6,7 @@ Everything is written to and read back from the session's shared scratch folder.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
@@ -15,12 +16,11 @@ from pyspark.sql.streaming import StreamingQuery
 from fleetpulse import contracts
 from fleetpulse.config import Settings
 from fleetpulse.operators import alerts as al
-from fleetpulse.operators.delay import detect_delays
 from fleetpulse.operators.enrich import TRIPS
 from fleetpulse.operators.stall import StallParams
 from fleetpulse.plans import incremental as inc
 from fleetpulse.plans import marts
-from fleetpulse.plans.staging import stg_headway_metrics, stg_trip_updates
+from fleetpulse.plans.staging import stg_headway_metrics
 from fleetpulse.session import scratch_dir
 from fleetpulse.sources import adapters as ad
 from fleetpulse.sources.messages import to_messages
@@ -46,28 +46,32 @@ def load_twice(spark: SparkSession, trips: DataFrame, replace: bool) -> DataFram
     return mart.read(spark).select(*columns)
 
 
-def refresh_twice(spark: SparkSession, bronze: DataFrame) -> DataFrame:
-    """The hourly mart after two refreshes from a partitioned bronze table that grew in between."""
+def refresh_twice(
+    spark: SparkSession, bronze: DataFrame, build: Callable[[DataFrame], DataFrame], arrived: str = "event_ts", lookback_days: int = 0
+) -> DataFrame:
+    """A mart after two refreshes from a partitioned bronze table that grew in between.
+
+    ``arrived`` says when a bronze row came, ``event_date`` (by default that of ``event_ts``) which folder it is in.
+    """
     base = scratch_dir(spark, "refresh")
     mart = inc.Mart(path=f"{base}/mart")
-
-    def build(rows: DataFrame) -> DataFrame:
-        return marts.fct_delay_by_hour(stg_trip_updates(rows))
-
+    if "event_date" not in bronze.columns:
+        bronze = bronze.withColumn("event_date", F.to_date("event_ts"))
     cut = F.lit(FIRST_LOAD_END).cast("timestamp")
-    for part in (F.col("event_ts") < cut, F.col("event_ts") >= cut):
-        grown = bronze.where(part).withColumn("event_date", F.to_date("event_ts"))
-        per_folder(grown, "event_date").write.mode("append").partitionBy("event_date").parquet(f"{base}/trip_updates")
-        inc.refresh(spark, read_bronze(spark, "trip_updates", base), build, mart)
+    for part in (F.col(arrived) < cut, F.col(arrived) >= cut):
+        per_folder(bronze.where(part), "event_date").write.mode("append").partitionBy("event_date").parquet(f"{base}/bronze")
+        inc.refresh(spark, read_bronze(spark, "bronze", base), build, mart, lookback_days=lookback_days)
     return mart.read(spark).select(*build(bronze).columns)
 
 
 def upsert_twice(spark: SparkSession, alerts: DataFrame) -> DataFrame:
     """The alert table after a part of the alerts, all of them, and all of them again."""
-    path = scratch_dir(spark, "alerts")
-    al.upsert_alerts(spark, alerts.where(F.col("event_ts") < F.lit(FIRST_LOAD_END).cast("timestamp")), path)
-    al.upsert_alerts(spark, alerts, path)
-    al.upsert_alerts(spark, alerts, path, prune_by_date=True)
+    base = scratch_dir(spark, "alerts")
+    alerts.write.parquet(f"{base}/batch")
+    batch, path = spark.read.parquet(f"{base}/batch"), f"{base}/alerts"
+    al.upsert_alerts(spark, batch.where(F.col("event_ts") < F.lit(FIRST_LOAD_END).cast("timestamp")), path)
+    al.upsert_alerts(spark, batch, path)
+    al.upsert_alerts(spark, batch, path, prune_by_date=True)
     return spark.read.parquet(path).select(*alerts.columns)
 
 
@@ -201,13 +205,12 @@ def stall_stream(spark: SparkSession, sf_dir: str, params: StallParams, delay: s
     return _table(spark, base).select(*contracts.STALL_EVENT.fieldNames())
 
 
-def alert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The alert collector over a topic that holds every delay alert twice."""
+def alert_stream(spark: SparkSession, messages: DataFrame, columns: list[str]) -> DataFrame:
+    """The alert collector over a topic that holds every message twice, in different triggers."""
     base = scratch_dir(spark, "collector")
-    once = al.delay_messages(detect_delays(ad.trip_updates(ad.table(spark, sf_dir, "events"))))
     for _ in range(2):
-        once.write.mode("append").parquet(f"{base}/topic")
-    topic = spark.readStream.schema("key string, value string").parquet(f"{base}/topic")
+        messages.repartition(FILES).write.mode("append").parquet(f"{base}/topic")
+    topic = spark.readStream.schema("key string, value string").option("maxFilesPerTrigger", FILES).parquet(f"{base}/topic")
     collect = jobs.collect_alerts(f"{base}/table", "parquet")
     finish(sinks.stream_to_sinks(al.normalize_alerts(topic), "alerts_consumer", f"{base}/checkpoint", collect))
-    return spark.read.parquet(f"{base}/table").select("alert_id", "alert_type", "route_id", "trip_id", "event_ts", "event_date")
+    return spark.read.parquet(f"{base}/table").select(*columns)

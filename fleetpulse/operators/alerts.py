@@ -96,21 +96,31 @@ def first_of_each(alerts: DataFrame) -> DataFrame:
     return keep_first(alerts, ["alert_id"], [F.col("detected_at").asc_nulls_last(), F.col("payload")])
 
 
+def of_dates(target: DataFrame, batch: DataFrame) -> DataFrame:
+    """The target's rows of the dates that the batch has, each date by itself, and those without a date.
+
+    Only dates are broadcast: 3.6 million at most, as many days as there are to write. The scan skips all other
+    folders at run time, so one far-off clock adds one folder and not all between.
+    """
+    dates = batch.where(F.col("event_date") >= F.lit("0001-01-01").cast("date")).select("event_date").distinct()
+    dated = target.join(F.broadcast(dates), "event_date", "left_semi")
+    return dated.unionByName(target.where(F.col("event_date").isNull()))
+
+
 def unseen(batch: DataFrame, target: DataFrame | None, prune_by_date: bool = False) -> DataFrame:
     """Rows of a deduplicated batch whose id the target does not hold yet.
 
     The target is read for its ids only and reduced to those of the batch before it meets the
     batch, so the table itself is not shuffled while the batch is small enough to broadcast.
-    ``prune_by_date`` also skips the target's partitions outside the batch's dates; use it
+    ``prune_by_date`` also skips the target's partitions other than the batch's dates; use it
     when an id fixes its date, as the ids made here do.
     """
     if target is None:
         return batch
+    ids = target.select("event_date", "alert_id") if prune_by_date else target.select("alert_id")
     if prune_by_date:
-        low, high = batch.agg(F.min("event_date"), F.max("event_date")).first()
-        undated = F.col("event_date").isNull()
-        target = target.where(undated if low is None else undated | F.col("event_date").between(low, high))
-    known = target.select("alert_id").join(batch.select("alert_id"), "alert_id", "left_semi").distinct()
+        ids = of_dates(ids, batch).select("alert_id")
+    known = ids.join(batch.select("alert_id"), "alert_id", "left_semi").distinct()
     return batch.join(known, "alert_id", "left_anti")
 
 

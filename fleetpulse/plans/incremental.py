@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -53,10 +54,30 @@ class Mart:
             writer.saveAsTable(self.identifier)
 
 
-def high_water_mark(spark: SparkSession, mart: Mart) -> dt.date | None:
-    """Latest date a mart holds; None for a missing or empty one."""
+def stored_dates(spark: SparkSession, mart: Mart) -> set[dt.date]:
+    """The dates a mart has folders for, from the listing."""
     stored = mart.read(spark)
-    return None if stored is None else stored.agg(F.max(mart.date_col)).first()[0]
+    if stored is None:
+        return set()
+    if mart.fmt == "delta":
+        return {row[0] for row in stored.select(mart.date_col).distinct().collect() if row[0]}
+    if mart.path:
+        folders = stored.inputFiles()
+    else:
+        folders = [row[0] + "/" for row in spark.sql(f"SHOW PARTITIONS {mart.identifier}").collect()]
+    named = (re.search(rf"(?:^|/){re.escape(mart.date_col)}=(\d+-\d\d-\d\d)/", f) for f in folders)
+    return {dt.date.fromisoformat(m.group(1)) for m in named if m}
+
+
+def high_water_mark(spark: SparkSession, mart: Mart) -> dt.date | None:
+    """Latest date a mart holds; None for a missing or empty one.
+
+    Folders are asked for a row from the latest on, so as a rule one is opened.
+    """
+    for date in sorted(stored_dates(spark, mart), reverse=True):
+        if not mart.read(spark).where(F.col(mart.date_col) == F.lit(date)).isEmpty():
+            return date
+    return None
 
 
 def prune_bronze(bronze: DataFrame, since: dt.date | None, partition_col: str = "event_date") -> DataFrame:
@@ -80,7 +101,8 @@ def incremental_append(spark: SparkSession, facts: DataFrame, mart: Mart) -> Non
 def incremental_replace(spark: SparkSession, facts: DataFrame, mart: Mart, lookback_days: int = 0) -> None:
     """Recompute the dates from the high-water mark on, and swap in just those partitions.
 
-    ``lookback_days`` widens the recomputed range for rows that arrive days late.
+    ``lookback_days`` widens the recomputed range for rows that arrive days late, and for facts dated by a start
+    that lies before their arrival: a stall by its longest span, a window by its length.
     """
     mark = high_water_mark(spark, mart)
     if mark is not None:

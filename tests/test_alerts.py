@@ -86,3 +86,17 @@ def test_a_moved_date_is_only_caught_without_pruning(spark, tmp_path):
     al.upsert_alerts(spark, normalized(spark, DELAY), path)
     al.upsert_alerts(spark, normalized(spark, DELAY | {"event_timestamp": 1704067200 + 9 * 86400}), path)
     assert spark.read.parquet(path).count() == 1
+
+
+def test_upsert_reads_only_the_dates_of_its_batch(spark, tmp_path):
+    """Nine dates stored; a batch of one of them, one far off and one row without a date reads two folders and the undated one."""
+    path, day = str(tmp_path / "alerts"), 86400
+    many = [DELAY | {"event_id": f"d{i}", "event_timestamp": 1704067200 + i * day} for i in range(9)]
+    al.upsert_alerts(spark, normalized(spark, *many, {"x": 1}), path)
+    batch = normalized(spark, many[2], many[8], DELAY | {"event_id": "new", "event_timestamp": 1704067200 + 8 * day}, {"x": 1}, {"x": 2})
+    fresh = al.unseen(al.first_of_each(batch), spark.read.parquet(path), prune_by_date=True)
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+    kept = al.of_dates(spark.read.parquet(path).select("event_date", "alert_id"), batch).select(F.input_file_name()).distinct().collect()
+    assert len({r[0].split("event_date=")[1].split("/")[0] for r in kept}) == 3
+    assert sorted(r.alert_type for r in fresh.collect()) == ["DELAY", "UNKNOWN"]

@@ -155,3 +155,22 @@ def test_pruned_bronze_gives_the_same_mart(spark):
     full = staging.stg_trip_updates(df).where(F.col("event_date") >= F.lit(since))
     pruned = staging.stg_trip_updates(inc.prune_bronze(df, since, "utc_date")).where(F.col("event_date") >= F.lit(since))
     assert full.count() == pruned.count() > 0 and full.exceptAll(pruned).count() == 0
+
+
+def test_the_mark_comes_from_the_listing(spark, tmp_path):
+    """Spark takes the columns from the first file and the mark opens the last date; what lies between may be unreadable."""
+    mart = inc.Mart(path=str(tmp_path / "mart"))
+    assert inc.high_water_mark(spark, mart) is None
+    rows = spark.createDataFrame([(1, dt.date(2026, 3, 27)), (2, dt.date(2026, 3, 29)), (3, None), (4, dt.date(2026, 3, 28))], "n int, event_date date")
+    mart.write(rows, "append")
+    reader = inc.Mart(path=mart.path)
+    for file in (tmp_path / "mart").rglob("event_date=2026-03-28/*.parquet"):
+        file.write_bytes(b"x" * file.stat().st_size)
+    assert inc.stored_dates(spark, reader) == {dt.date(2026, 3, d) for d in (27, 28, 29)}
+    assert inc.high_water_mark(spark, reader) == dt.date(2026, 3, 29)
+    named = inc.Mart(name="listed_mart")
+    named.write(rows, "overwrite")
+    try:
+        assert inc.high_water_mark(spark, named) == dt.date(2026, 3, 29)
+    finally:
+        spark.sql("DROP TABLE listed_mart")
