@@ -296,8 +296,9 @@ def exact(codes: DataFrame, levels: list[DataFrame], longest: DataFrame) -> Data
             after = F.when(F.col("lower_n").isNotNull(), F.log10("lower_n") - F.log10("lower_mass")).otherwise(escape + F.col("lower_after"))
             first = F.col("lower_first")
         total = F.log10(F.col("mass") + F.col("kinds"))
-        done = at.withColumn("after", after).select(
-            "gram", "n", "after", F.when(F.col("n").isNotNull(), F.log10("n") - total).when(F.col("mass").isNotNull(), F.log10("kinds") - total + F.col("after")).otherwise(first).alias("first"))
+        # Stored one by one: as one plan the levels take the driver more memory than all else.
+        done = stored(at.withColumn("after", after).select(
+            "gram", "n", "after", F.when(F.col("n").isNotNull(), F.log10("n") - total).when(F.col("mass").isNotNull(), F.log10("kinds") - total + F.col("after")).otherwise(first).alias("first")), f"scores-{k}")
         below = done.select(F.col("gram").alias("end"), F.col("n").alias("lower_n"), F.col("after").alias("lower_after"), F.col("first").alias("lower_first"))
     return done.select("gram", "first")
 
@@ -365,6 +366,7 @@ def score(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     done = carry(rows, "n_tokens long, n_known long, base double, rare array<struct<word:binary,k:long>>, score double, others array<struct<gram:long,k:long>>", work)
     done = done.select("__row.doc_id", "__row.held_out", "n_tokens", "n_known", "base", "rare", "score", "others", F.monotonically_increasing_id().alias("row"))
     done = stored(done, "scored")
+    shared.destroy()
     rare = done.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.k")
     joined = rare.join(words, "word", "left")
     value = F.col("k") * (F.log10(F.coalesce("n", F.lit(0)) + F.lit(ADD)) - F.lit(float(below)))
