@@ -260,5 +260,6 @@ def encode_decode(df: DataFrame, path: str, text: str = "text", keep_ids: bool =
                     back.append(out.decode())
             arrays = [pa.array(counts, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())]
             yield arrays + ([pa.array(listed, pa.list_(pa.int32())), pa.array(back, pa.string())] if keep_ids else [])
+        _worker.clear()
 
     return carry(df, new, work)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -32,6 +34,22 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Give a worker's free memory back at the end of a task: workers live on, and the next operator's find none left."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # only some C libraries have it
+        pass
+
+
+def small(batch: pa.RecordBatch, rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+    """A batch in slices, so that neither side holds a second copy of all of it."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def carry(df: DataFrame, new: str, work: Callable[[Iterator[pa.StructArray]], Iterator[list[pa.Array]]], keep: list[str] | None = None) -> DataFrame:
     """Columns ``__row`` (the input row as a struct) and those of ``new`` (DDL), whatever the input's columns are called.
 
@@ -54,6 +72,7 @@ def carry(df: DataFrame, new: str, work: Callable[[Iterator[pa.StructArray]], It
 
         for arrays in work(rows()):
             yield pa.RecordBatch.from_arrays([held.pop(0), *arrays], names=["__row", *added.names])
+        release()
 
     bounded_batches(df.sparkSession)
     return df.select(F.struct("*").alias("__row")).mapInArrow(run, schema)
