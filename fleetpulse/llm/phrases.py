@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fleetpulse.llm.common import bounded_batches, stored
+from fleetpulse.llm.common import bounded_batches, release, small, stored
 
 SHARDS = 4
 #: Text split at once, tokens of a task counted at once, words numbered at once (21 bits a word, three in a key).
@@ -120,6 +120,7 @@ def token_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, np
                     group = held.setdefault((lang, shard), [np.array([words[names[n]] for n in tail.tolist()], np.int32)])
             group.append(np.zeros(2, np.int32))
     yield from flush()
+    release()
 
 
 def rows_of(df: DataFrame, lang: str, text: str, shards: int) -> DataFrame:
@@ -180,7 +181,7 @@ def hashed_counts(rows: DataFrame, sizes: tuple[int, ...], keep: Callable | None
                 if keep:
                     found = found[keep(ids, hashes, lang, shard)]
                 h, n = counted(found)
-                yield pa.RecordBatch.from_arrays([pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(h), np.int8)), [lang]).cast(pa.string()), pa.array(np.full(len(h), shard, np.int32)), pa.array(h.view(np.int64)), pa.array(n)], names=["lang", "shard", "h", "n"])
+                yield from small(pa.RecordBatch.from_arrays([pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(h), np.int8)), [lang]).cast(pa.string()), pa.array(np.full(len(h), shard, np.int32)), pa.array(h.view(np.int64)), pa.array(n)], names=["lang", "shard", "h", "n"]))
 
     return rows.mapInArrow(work, "lang string, shard int, h long, n long").groupBy("lang", "shard", "h").agg(F.sum("n").alias("n"))
 
@@ -243,7 +244,7 @@ def frequent(df: DataFrame, support: int, lang: str = "lang", text: str = "text"
                 keys, n = counted(found.keys[has(union.value, bits_of(found.hashes, -1, all_bits))])
                 parts = [names.take(pa.array((keys >> (21 * k)) & ((1 << 21) - 1))) for k in range(size - 1, -1, -1)]
                 phrase = parts[0] if size == 1 else pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.binary()))
-                yield pa.RecordBatch.from_arrays([pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(keys), np.int8)), [language]).cast(pa.string()), pa.array(np.full(len(keys), size, np.int32)), phrase, pa.array(n)], names=["lang", "size", "phrase", "f"])
+                yield from small(pa.RecordBatch.from_arrays([pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(keys), np.int8)), [language]).cast(pa.string()), pa.array(np.full(len(keys), size, np.int32)), phrase, pa.array(n)], names=["lang", "size", "phrase", "f"]))
 
     whole = rows.mapInArrow(count, "lang string, size int, phrase binary, f long").groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= support)
     phrases = stored(whole.withColumn("phrase", F.col("phrase").cast("string")), "phrases")
