@@ -582,6 +582,17 @@ ORACLES: dict[str, str] = {
         ),
         "positions",
     ),
+    "profile_quartiles": _with(
+        "\nUNION ALL ".join(
+            f"""
+        SELECT '{c}' AS column_name, {_round(f'quantile_cont(CAST({c} AS DOUBLE), 0.25)', 4)} AS p25,
+               {_round(f'quantile_cont(CAST({c} AS DOUBLE), 0.5)', 4)} AS p50,
+               {_round(f'quantile_cont(CAST({c} AS DOUBLE), 0.75)', 4)} AS p75, true AS sketch_within_error
+        FROM positions"""
+            for c in ("latitude", "longitude", "speed")
+        ),
+        "positions",
+    ),
     "row_counts": "\nUNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in ("events", "nation", "supplier")
     ),

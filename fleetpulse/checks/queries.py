@@ -571,6 +571,30 @@ def profile(spark, d):
     )
 
 
+@query
+def profile_quartiles(spark, d):
+    """Exact quartiles, and whether the sketch's ranks are within its stated error."""
+    columns, n = ["latitude", "longitude", "speed"], 100
+    rows = _positions(spark, d)
+    exact = quality.profile(rows, columns, accuracy=None).select("column_name", "p25", "p50", "p75")
+    near = quality.profile(rows, columns, accuracy=n).select("column_name", "non_null", *[F.col(q).alias(f"near_{q}") for q in ("p25", "p50", "p75")])
+    values = rows.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in columns])).alias("s")).select("s.*")
+    joined = values.join(F.broadcast(near), "column_name")
+    ranks = joined.groupBy("column_name", "non_null").agg(*[
+        f(F.col("v"), F.col(f"near_{q}")).alias(f"{name}_{q}")
+        for q in ("p25", "p50", "p75") for name, f in (("below", lambda v, x: F.count_if(v < x)), ("upto", lambda v, x: F.count_if(v <= x)))
+    ])
+    # Some row with the sketch's value has a rank that is close enough.
+    within = [
+        (F.col(f"below_{q}") <= F.col("non_null") * (p + 1 / n) + 1) & (F.col(f"upto_{q}") >= F.col("non_null") * (p - 1 / n) - 1)
+        for q, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))
+    ]
+    ranked = ranks.select("column_name", functools.reduce(lambda a, b: a & b, within).alias("sketch_within_error"))
+    return exact.join(ranked, "column_name").select(
+        "column_name", *[tc.rounded(F.col(q), 4).alias(q) for q in ("p25", "p50", "p75")], "sketch_within_error"
+    )
+
+
 @query
 def row_counts(spark, d):
     return quality.row_counts({t: ad.table(spark, d, t) for t in ("events", "nation", "supplier")})
