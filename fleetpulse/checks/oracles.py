@@ -360,6 +360,14 @@ ORACLES: dict[str, str] = {
     "distinct_lines": "SELECT DISTINCT 'R' || (user_id % 30) AS route_id, CAST(event_id % 2 AS INTEGER) AS direction_id FROM events",
     "routes_dim": _with("SELECT * FROM routes", "routes"),
     "stops_dim": _with("SELECT * FROM stops", "stops"),
+    "csv_routes": _with("SELECT * FROM routes", "routes"),
+    "csv_stops": _with("SELECT * FROM stops", "stops"),
+    "full_refresh_and_snapshot": _with(
+        """
+        SELECT (SELECT count(*) FROM by_hour) AS first_copy, (SELECT count(*) FROM early_by_hour) AS second_copy,
+               (SELECT count(*) FROM early_by_hour) AS held""",
+        "by_hour", "early_by_hour",
+    ),
     "incremental_append": _with(
         """
         SELECT * FROM early_by_hour

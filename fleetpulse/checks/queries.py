@@ -26,6 +26,7 @@ from fleetpulse.plans import dims, marts, staging
 from fleetpulse.session import configure
 from fleetpulse.sources import adapters as ad
 from fleetpulse.sources import feed_json, messages
+from fleetpulse.sources.tables import read_routes, read_stops
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -600,6 +601,27 @@ def row_counts(spark, d):
     return quality.row_counts({t: ad.table(spark, d, t) for t in ("events", "nation", "supplier")})
 
 
+@query
+def csv_routes(spark, d):
+    """The route dimension from a schedule file."""
+    seed = ad.routes_seed(ad.table(spark, d, "nation"))
+    return dims.dim_routes(read_routes(spark, replays.as_csv(spark, seed, contracts.ROUTES_SEED)))
+
+
+@query
+def csv_stops(spark, d):
+    seed = ad.stops_seed(ad.table(spark, d, "supplier"))
+    return dims.dim_stops(read_stops(spark, replays.as_csv(spark, seed, contracts.STOPS_SEED)))
+
+
+@query
+def full_refresh_and_snapshot(spark, d):
+    """Hours of all trips, then of those up to a cut: a full refresh keeps none of what was there before."""
+    trips = _stg_trips(spark, d)
+    early = trips.where(F.col("event_ts") < F.lit(replays.FIRST_LOAD_END).cast("timestamp"))
+    return replays.copied(spark, marts.fct_delay_by_hour(trips), marts.fct_delay_by_hour(early))
+
+
 # -- streams: the events table read as a stream, run to its end, read back from its table --
 
 

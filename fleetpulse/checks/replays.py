@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetpulse import contracts
@@ -75,6 +76,26 @@ def upsert_twice(spark: SparkSession, alerts: DataFrame) -> DataFrame:
     return spark.read.parquet(path).select(*alerts.columns)
 
 
+def as_csv(spark: SparkSession, seed: DataFrame, contract: T.StructType) -> str:
+    """A schedule file with all of its contract's columns; those that the seed lacks are empty."""
+    path = scratch_dir(spark, "seed")
+    columns = [F.col(f.name) if f.name in seed.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in contract]
+    seed.select(*columns).write.option("header", True).csv(path)
+    return path
+
+
+def copied(spark: SparkSession, first: DataFrame, second: DataFrame) -> DataFrame:
+    """Row counts of a table's copies: as first written, after a full refresh with other rows, and what the copy then holds."""
+    base = scratch_dir(spark, "copies")
+    mart = inc.Mart(path=f"{base}/mart")
+    counts = []
+    for rows in (first, second):
+        inc.full_refresh(rows, mart)
+        counts.append(inc.snapshot(spark, mart.path, f"{base}/copy"))
+    held = spark.read.parquet(f"{base}/copy").agg(F.count(F.lit(1)).alias("held"))
+    return held.select(F.lit(counts[0]).cast("bigint").alias("first_copy"), F.lit(counts[1]).cast("bigint").alias("second_copy"), "held")
+
+
 def finish(query: StreamingQuery) -> StreamingQuery:
     """Wait for a bounded run; its error, if any, is raised here."""
     query.awaitTermination()
