@@ -93,12 +93,14 @@ def _stalls(walk: str) -> str:
 PARTS = {
     "trips": """
         SELECT event_id AS n, ts, 'E' || event_id AS event_id, 'S' || user_id AS id, 'S' || user_id AS source_id,
-               'T' || (user_id % 40) AS trip_id, 'R' || (user_id % 30) AS route_id,
+               'T' || (user_id % 40) AS trip_id,
+               CASE WHEN event_id % 71 = 3 THEN '' ELSE 'R' || (user_id % 30) END AS route_id,
                CAST(event_id % 2 AS INTEGER) AS direction_id,
-               lpad(CAST(CASE WHEN hour(ts) < 4 THEN hour(ts) + 24 ELSE hour(ts) END AS VARCHAR), 2, '0')
-                   || strftime(ts, ':%M:%S') AS start_time,
+               CASE WHEN event_id % 83 <> 5
+                    THEN lpad(CAST(CASE WHEN hour(ts) < 4 THEN hour(ts) + 24 ELSE hour(ts) END AS VARCHAR), 2, '0')
+                         || strftime(ts, ':%M:%S') END AS start_time,
                strftime(ts, '%Y%m%d') AS start_date, 0 AS schedule_relationship,
-               CAST(floor(value * 10) - 200 AS INTEGER) AS delay,
+               CASE WHEN event_id % 61 <> 7 THEN CAST(floor(value * 10) - 200 AS INTEGER) END AS delay,
                date_trunc('hour', ts) AS event_ts,
                epoch_us(date_trunc('hour', ts)) // 1000000 AS timestamp,
                event_type = 'error' AS is_deleted,
@@ -116,7 +118,7 @@ PARTS = {
         SELECT 'R' || n_nationkey AS route_id, n_name AS route_name, 'Line ' || n_name AS route_long_name,
                n_regionkey AS route_type,
                CASE n_regionkey WHEN 2 THEN 'Rail' WHEN 3 THEN 'Bus' ELSE 'Other' END AS route_type_label
-        FROM nation""",
+        FROM nation WHERE n_nationkey % 12 <> 11""",
     "delays": f"""
         SELECT {_key('delay', 'id', 'trip_id', 'start_date', 'timestamp', 'delay')} AS event_id, trip_id, route_id,
                delay, {_SEVERITY} AS severity, start_time, start_date, timestamp AS event_timestamp
@@ -125,15 +127,17 @@ PARTS = {
         SELECT make_timestamp((epoch_us(event_ts) // 21600000000 - k) * 21600000000) AS window_start,
                n, route_id, direction_id,
                CAST(split_part(start_time, ':', 1) AS BIGINT) * 3600 + CAST(split_part(start_time, ':', 2) AS BIGINT) * 60
-                   + CAST(split_part(start_time, ':', 3) AS BIGINT) + delay AS departure
-        FROM trips, (SELECT unnest([0, 1, 2, 3]) AS k)""",
+                   + CAST(split_part(start_time, ':', 3) AS BIGINT) + coalesce(delay, 0) AS departure
+        FROM trips, (SELECT unnest([0, 1, 2, 3]) AS k) WHERE route_id <> '' AND start_time IS NOT NULL""",
     "gaps": _gaps("departures"),
     "spread": _spread("gaps"),
     "windows": _measured("spread"),
     "stg_windows": _staged_windows("windows"),
     "positions": """
-        SELECT event_id AS n, 'V' || (user_id % 30) AS vehicle_id, 'D' || day(ts) AS trip_id, 'R' || (user_id % 30) AS route_id,
-               CASE WHEN event_type = 'error' THEN 0e0 ELSE -36.85e0 + floor(value / 50) * 0.001e0 END AS latitude,
+        SELECT event_id AS n, 'V' || (user_id % 30) AS vehicle_id, 'D' || day(ts) AS trip_id,
+               'R' || ((user_id + CASE WHEN hour(ts) >= 18 THEN 1 ELSE 0 END) % 30) AS route_id,
+               CASE WHEN event_id % 97 = 11 THEN 123e0 WHEN event_type = 'error' THEN 0e0
+                    ELSE -36.85e0 + floor(value / 50) * 0.00006e0 END AS latitude,
                174.76e0 AS longitude, CAST(value AS FLOAT) AS bearing,
                CASE WHEN event_type <> 'signup' THEN CAST(value AS FLOAT) END AS speed,
                CAST(event_id % 20 AS INTEGER) AS current_stop_sequence, 'P' || (event_id % 20) AS stop_id,
@@ -143,7 +147,8 @@ PARTS = {
                ts + to_seconds(event_id % 60) AS ingested_at, event_type, props
         FROM events""",
     "stg_positions": f"""
-        SELECT event_id, vehicle_id, trip_id, route_id, latitude, longitude, speed AS speed_kmh, current_stop_sequence,
+        SELECT event_id, vehicle_id, trip_id, CASE WHEN n % 89 <> 2 THEN route_id END AS route_id, latitude, longitude,
+               speed AS speed_kmh, current_stop_sequence,
                stop_id, current_status, event_ts, CAST({_local('event_ts')} AS DATE) AS event_date,
                CAST(hour({_local('event_ts')}) AS INTEGER) AS event_hour
         FROM (SELECT *, row_number() OVER (PARTITION BY vehicle_id, event_ts ORDER BY ingested_at, event_id) AS rn
@@ -199,7 +204,7 @@ PARTS = {
                CAST(hour({_local('first_seen')}) AS INTEGER) AS event_hour
         FROM stalls""",
     "stops": """
-        SELECT CAST(s_suppkey AS VARCHAR) AS stop_id, s_name AS stop_name,
+        SELECT CAST(s_suppkey AS VARCHAR) AS stop_id, CASE WHEN s_suppkey % 9 <> 4 THEN s_name END AS stop_name,
                CAST(-(30 + s_suppkey % 20) AS DOUBLE) AS stop_lat, CAST(160 + s_suppkey % 25 AS DOUBLE) AS stop_lon,
                'C' || s_suppkey AS stop_code
         FROM supplier
@@ -325,6 +330,7 @@ def _report(tables: dict[str, tuple[str, list[Rule]]], *parts: str) -> str:
     )
 
 
+_EARLY = "event_ts < TIMESTAMP '2024-01-15 06:00:00'"
 _ROUTES_STG = "(SELECT *, route_name AS route_short_name FROM routes)"
 _DELAY_MESSAGES = "SELECT trip_id AS key FROM delays"
 _TRIP_RECORD = (
@@ -346,7 +352,9 @@ ORACLES: dict[str, str] = {
     "fct_stall_incidents": _with("SELECT * FROM fct_stalls", "fct_stalls"),
     "stg_trip_updates": _with("SELECT * FROM stg", "stg"),
     "stg_stall_events": _with("SELECT * FROM stg_stalls", "stg_stalls"),
-    "stg_headway_metrics": _with(_windows_rounded("stg_windows", ", event_date, event_hour"), "stg_windows"),
+    "stg_headway_metrics": _with(
+        _windows_rounded("stg_windows", ", event_date, event_hour") + " WHERE route_id <> 'R7' OR direction_id <> 1", "stg_windows"
+    ),
     "trip_updates_keep_first": _with(
         """
         SELECT source_id, CAST(event_ts AS DATE) AS day, event_id, delay, is_deleted FROM trips
@@ -357,7 +365,7 @@ ORACLES: dict[str, str] = {
     "keep_last_per_user": """
         SELECT user_id, event_id, ts, value FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
-    "distinct_lines": "SELECT DISTINCT 'R' || (user_id % 30) AS route_id, CAST(event_id % 2 AS INTEGER) AS direction_id FROM events",
+    "distinct_lines": _with("SELECT DISTINCT route_id, direction_id FROM trips", "trips"),
     "routes_dim": _with("SELECT * FROM routes", "routes"),
     "stops_dim": _with("SELECT * FROM stops", "stops"),
     "csv_routes": _with("SELECT * FROM routes", "routes"),
@@ -454,7 +462,7 @@ ORACLES: dict[str, str] = {
         """
         SELECT t.id, t.trip_id, CASE WHEN e.event_type = 'signup' THEN '' ELSE t.route_id END AS route_id, t.direction_id,
                t.start_time, t.start_date, t.schedule_relationship,
-               CASE WHEN t.n % 7 = 0 THEN 0 ELSE t.delay END AS delay, t.timestamp, t.is_deleted
+               CASE WHEN t.n % 7 = 0 THEN 0 ELSE coalesce(t.delay, 0) END AS delay, t.timestamp, t.is_deleted
         FROM trips t JOIN events e ON e.event_id = t.n""",
         "trips",
     ),
@@ -575,6 +583,20 @@ ORACLES: dict[str, str] = {
         },
         "stg_stalls", "stg_windows", "fct_stalls", "fct_headways",
     ),
+    "quality_on_append": _with(
+        "\nUNION ALL ".join(
+            f"""
+        SELECT '{part}' AS table_name, 'delay' AS column_name, 'not_null' AS rule, count(*) FILTER (delay IS NULL) AS violations FROM ({rows})
+        UNION ALL SELECT '{part}', 'start_time', 'not_null', count(*) FILTER (start_time IS NULL) FROM ({rows})
+        UNION ALL SELECT '{part}', 'delay', 'between(,300)', count(*) FILTER (delay > 300) FROM ({rows})
+        UNION ALL SELECT '{part}', 'event_id', 'unique', {repeated}"""
+            for part, rows, repeated in (
+                ("first", f"SELECT * FROM trips WHERE {_EARLY}", "0"),
+                ("second", f"SELECT * FROM trips WHERE NOT {_EARLY} OR n % 6 = 0", f"(SELECT count(*) FROM trips WHERE {_EARLY} AND n % 6 = 0)"),
+            )
+        ),
+        "trips",
+    ),
     "quality_raw_events": _report(
         {"events": ("events", between("value", 0.01, 200) + unique("user_id")
                     + accepted("event_type", "view", "click") + not_null("event_id"))}

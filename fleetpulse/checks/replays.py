@@ -6,6 +6,7 @@ Everything is written to and read back from the session's shared scratch folder.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
@@ -17,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from fleetpulse import contracts
 from fleetpulse.config import Settings
 from fleetpulse.operators import alerts as al
+from fleetpulse.operators import quality
 from fleetpulse.operators.enrich import TRIPS
 from fleetpulse.operators.stall import StallParams
 from fleetpulse.plans import incremental as inc
@@ -76,6 +78,38 @@ def upsert_twice(spark: SparkSession, alerts: DataFrame) -> DataFrame:
     return spark.read.parquet(path).select(*alerts.columns)
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows written and read back, for a plan that needs them twice."""
+    path = f"{scratch_dir(df.sparkSession, label)}/table"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def build_checked(spark: SparkSession, models: dict[str, Callable[[dict[str, DataFrame]], DataFrame]]) -> DataFrame:
+    """The reports of models stored one after another; each is built from the tables stored before it."""
+    base = scratch_dir(spark, "models")
+    tables: dict[str, DataFrame] = {}
+    reports = []
+    for name, build in models.items():
+        tables[name], report = quality.write_checked(build(tables), name, f"{base}/{name}")
+        reports.append(report)
+    return functools.reduce(DataFrame.unionByName, reports)
+
+
+def append_checked(spark: SparkSession, bronze: DataFrame) -> DataFrame:
+    """Reports of a partitioned table's two loads; the second brings a sixth of the first's rows again."""
+    path = f"{scratch_dir(spark, 'appended')}/table"
+    rules = quality.not_null("delay", "start_time") + quality.unique("event_id") + quality.between("delay", None, 300)
+    cut = F.lit(FIRST_LOAD_END).cast("timestamp")
+    again = F.pmod(F.substring("event_id", 2, 20).cast("bigint"), F.lit(6)) == 0
+    reports = []
+    for part, rows in (("first", F.col("event_ts") < cut), ("second", (F.col("event_ts") >= cut) | again)):
+        _, report = quality.write_checked(bronze.where(rows), part, path, rules, mode="append", date_col="event_date")
+        # The first unique count is of the first part only if it is taken before the second is written.
+        reports.append(stored(report, "report"))
+    return functools.reduce(DataFrame.unionByName, reports)
+
+
 def as_csv(spark: SparkSession, seed: DataFrame, contract: T.StructType) -> str:
     """A schedule file with all of its contract's columns; those that the seed lacks are empty."""
     path = scratch_dir(spark, "seed")

@@ -146,7 +146,7 @@ def busiest_route_variation(windows: DataFrame, limit: int = 15) -> DataFrame:
 
 
 def in_busiest(windows: DataFrame, limit: int = 15) -> DataFrame:
-    """All windows of the routes with the most rows."""
+    """All windows of the routes with the most rows. Reads its input twice, so give it a stored table."""
     busiest = windows.groupBy("route_id").count().orderBy(F.desc("count"), "route_id").limit(limit)
     return windows.join(busiest, "route_id", "left_semi")
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from fleetpulse.sources.tables import per_folder
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -120,12 +123,46 @@ def _report(table: str, df: DataFrame, simple: Sequence[Rule], key: Rule | None)
         sums = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in bad.values()]
         totals = per_value.agg(*sums, repeated.alias("repeated"))
         bad[key] = "repeated"
+    return totals.selectExpr(_lines(table, bad))
+
+
+def _lines(table: str, counts: dict[Rule, str]) -> str:
     lines = ", ".join(
         f"named_struct('table_name', {_quoted(table)}, 'column_name', {_quoted(r.column)}, "
-        f"'rule', {_quoted(r.label)}, 'violations', {name})"
-        for r, name in bad.items()
+        f"'rule', {_quoted(r.label)}, 'violations', {count})"
+        for r, count in counts.items()
     )
-    return totals.selectExpr(f"inline(array({lines}))")
+    return f"inline(array({lines}))"
+
+
+def write_checked(
+    df: DataFrame, table: str, path: str, rules: Sequence[Rule] | None = None, fmt: str = "parquet", mode: str = "errorifexists",
+    date_col: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Store a table and check it on the way: (the stored table, its report as of ``check``).
+
+    Row rules are counted by the tasks that write, so they cost neither a pass nor a shuffle; a task that is run
+    again counts once, as its files do. A unique rule then reads its one column of the stored table, copies folded
+    before the one shuffle. ``mode`` "append" reports row rules of the rows added and unique rules of the whole
+    table.
+    """
+    rules = RULES[table] if rules is None else list(rules)
+    simple = {r: f"v{i}" for i, r in enumerate(r for r in rules if r.kind != "unique")}
+    rows = per_folder(df, date_col) if date_col else df
+    seen = Observation()
+    if simple:
+        # Above the shuffle that deals rows to folders: only tasks that end the job are counted once for sure.
+        rows = rows.observe(seen, *[F.expr(f"count_if({r.violated})").alias(name) for r, name in simple.items()])
+    writer = rows.write.format(fmt).mode(mode)
+    (writer.partitionBy(date_col) if date_col else writer).save(path)
+    spark = df.sparkSession
+    stored = spark.read.format(fmt).load(path)
+    parts = []
+    if simple:
+        found = seen.get
+        parts.append(spark.range(1).selectExpr(_lines(table, {r: f"{int(found.get(name) or 0)}L" for r, name in simple.items()})))
+    parts += [_report(table, stored, [], r) for r in rules if r.kind == "unique"]
+    return stored, functools.reduce(DataFrame.unionByName, parts)
 
 
 def profile(df: DataFrame, columns: Sequence[str], accuracy: int | None = 10_000) -> DataFrame:

@@ -31,7 +31,8 @@ def _instant() -> Column:
 
 
 def trip_columns() -> list[Column]:
-    hour = F.hour("ts")
+    """Some routes are blank, some start times and delays missing."""
+    hour, n = F.hour("ts"), F.col("event_id")
     start = F.concat_ws(
         ":",
         F.lpad(F.when(hour < 4, hour + 24).otherwise(hour).cast("string"), 2, "0"),
@@ -40,12 +41,12 @@ def trip_columns() -> list[Column]:
     return [
         _text("S", F.col("user_id")).alias("id"),
         _text("T", F.col("user_id") % 40).alias("trip_id"),
-        _text("R", F.col("user_id") % 30).alias("route_id"),
-        (F.col("event_id") % 2).cast("int").alias("direction_id"),
-        start.alias("start_time"),
+        F.when(n % 71 == 3, "").otherwise(_text("R", F.col("user_id") % 30)).alias("route_id"),
+        (n % 2).cast("int").alias("direction_id"),
+        F.when(n % 83 != 5, start).alias("start_time"),
         F.date_format("ts", "yyyyMMdd").alias("start_date"),
         F.lit(0).alias("schedule_relationship"),
-        (F.floor(F.col("value") * 10) - 200).cast("int").alias("delay"),
+        F.when(n % 61 != 7, F.floor(F.col("value") * 10) - 200).cast("int").alias("delay"),
         F.unix_timestamp(F.date_trunc("hour", _instant())).alias("timestamp"),
         (F.col("event_type") == "error").alias("is_deleted"),
     ]
@@ -69,12 +70,15 @@ def bronze_trip_updates(events: DataFrame) -> DataFrame:
 
 
 def position_columns() -> list[Column]:
-    north = F.lit(-36.85) + F.floor(F.col("value") / 50) * F.lit(0.001)
+    """Steps of some 6.7 m, so that two stay within a stall's radius and three do not. Vehicles change route in the
+    evening, errors lie outside the service area, and some readings are not on the globe."""
+    n, north = F.col("event_id"), F.lit(-36.85) + F.floor(F.col("value") / 50) * F.lit(0.00006)
+    evening = F.when(F.hour("ts") >= 18, 1).otherwise(0)
     return [
         _text("V", F.col("user_id") % 30).alias("vehicle_id"),
         _text("D", F.dayofmonth("ts")).alias("trip_id"),
-        _text("R", F.col("user_id") % 30).alias("route_id"),
-        F.when(F.col("event_type") == "error", 0.0).otherwise(north).alias("latitude"),
+        _text("R", (F.col("user_id") + evening) % 30).alias("route_id"),
+        F.when(n % 97 == 11, 123.0).when(F.col("event_type") == "error", 0.0).otherwise(north).alias("latitude"),
         F.lit(174.76).alias("longitude"),
         F.col("value").cast("float").alias("bearing"),
         F.when(F.col("event_type") != "signup", F.col("value")).cast("float").alias("speed"),
@@ -88,12 +92,13 @@ def position_columns() -> list[Column]:
 
 
 def vehicle_positions(events: DataFrame) -> DataFrame:
-    """Positions on a grid of about 111 m; errors lie outside the service area."""
     return events.select(*position_columns(), "event_id", "ts")
 
 
 def bronze_vehicle_positions(events: DataFrame) -> DataFrame:
-    return vehicle_positions(events).select(
+    """Some readings have no route."""
+    routed = vehicle_positions(events).withColumn("route_id", F.when(F.col("event_id") % 89 != 2, F.col("route_id")))
+    return routed.select(
         _text("E", F.col("event_id")).alias("event_id"),
         (_instant() + F.make_dt_interval(secs=F.col("event_id") % 60)).alias("ingested_at"),
         *("vehicle_id", "trip_id", "route_id", "latitude", "longitude", "bearing", "speed"),
@@ -122,8 +127,9 @@ def service_alerts(events: DataFrame) -> DataFrame:
 
 
 def routes_seed(nation: DataFrame) -> DataFrame:
+    """Some routes have no id."""
     return nation.select(
-        _text("R", F.col("n_nationkey")).alias("route_id"),
+        F.when(F.col("n_nationkey") % 12 != 11, _text("R", F.col("n_nationkey"))).alias("route_id"),
         F.col("n_name").alias("route_short_name"),
         F.concat(F.lit("Line "), F.col("n_name")).alias("route_long_name"),
         F.col("n_regionkey").alias("route_type"),
@@ -131,9 +137,10 @@ def routes_seed(nation: DataFrame) -> DataFrame:
 
 
 def stops_seed(supplier: DataFrame) -> DataFrame:
+    """Some stops have no name."""
     return supplier.select(
         F.col("s_suppkey").cast("string").alias("stop_id"),
-        F.col("s_name").alias("stop_name"),
+        F.when(F.col("s_suppkey") % 9 != 4, F.col("s_name")).alias("stop_name"),
         (-(F.lit(30) + F.col("s_suppkey") % 20)).cast("double").alias("stop_lat"),
         (F.lit(160) + F.col("s_suppkey") % 25).cast("double").alias("stop_lon"),
         _text("C", F.col("s_suppkey")).alias("stop_code"),
@@ -144,7 +151,8 @@ def feed_responses(events: DataFrame) -> DataFrame:
     """One nested feed document per event, with a vehicle, an update and a notice entity.
 
     Signups have no trip block, multiples of 7 no delay, multiples of 5 no affected route, and
-    only deletions carry the flag, so that the readers' defaults are used.
+    only deletions carry the flag, so that the readers' defaults are used. Notices list several
+    routes, periods and translations, of which readers take the first.
     """
     rows = events.select(
         "event_id",
@@ -179,14 +187,16 @@ def feed_responses(events: DataFrame) -> DataFrame:
     )
 
     def words(column: str) -> Column:
-        return F.struct(F.array(F.struct(F.col(column).alias("text"))).alias("translation"))
+        second = F.concat(F.lit("mi: "), F.col(column))
+        return F.struct(F.array(*[F.struct(c.alias("text")) for c in (F.col(column), second)]).alias("translation"))
 
     nowhere = F.col("event_id") % 5 == 0
     notice = F.struct(
-        unless(nowhere, F.array(F.struct(F.col("n.route_id").alias("route_id")))).alias("informed_entity"),
-        F.array(
-            F.struct(F.col("n.active_period_start").alias("start"), F.col("n.active_period_end").alias("end"))
-        ).alias("active_period"),
+        unless(nowhere, F.array(*[F.struct(c.alias("route_id")) for c in (F.col("n.route_id"), F.lit("R99"))])).alias("informed_entity"),
+        F.array(*[
+            F.struct((F.col("n.active_period_start") + s).alias("start"), (F.col("n.active_period_end") + s).alias("end"))
+            for s in (0, 86_400)
+        ]).alias("active_period"),
         words("n.header_text").alias("header_text"),
         words("n.description_text").alias("description_text"),
         *pick("n", "cause", "effect"),

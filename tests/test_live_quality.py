@@ -94,6 +94,31 @@ def test_quality_rules(spark):
     assert len(clean) == 8 and all(r.violations == 0 for r in clean)
 
 
+@pytest.mark.parametrize("date_col", [None, "d"])
+def test_rules_counted_while_writing(spark, tmp_path, date_col):
+    rows = [("a", 5, "Bus", "2024-01-01"), ("a", -1, "Tram", "2024-01-01"), (None, None, None, "2024-01-02")]
+    df = spark.createDataFrame(rows, "k string, n int, label string, d string")
+    rules = quality.not_null("k", "n") + quality.unique("k", "n") + quality.between("n", 0, 4) + quality.accepted("label", "Bus")
+    stored, report = quality.write_checked(df, "t", f"{tmp_path}/t", rules, date_col=date_col)
+    assert sorted(map(str, report.collect())) == sorted(map(str, quality.check(df, "t", rules).collect()))
+    assert stored.count() == 3 and report.columns == ["table_name", "column_name", "rule", "violations"]
+    _, again = quality.write_checked(df.where("n = 5"), "t", f"{tmp_path}/t", rules, mode="append", date_col=date_col)
+    got = {(r.column_name, r.rule): r.violations for r in again.collect()}
+    assert got[("n", "between(0,4)")] == 1 and got[("k", "unique")] == 1 and got[("n", "unique")] == 1
+
+
+def test_empty_table_and_one_kind_of_rule(spark, tmp_path):
+    df = spark.createDataFrame([("a",)], "k string")
+    _, none = quality.write_checked(df.limit(0), "t", f"{tmp_path}/e", quality.not_null("k") + quality.unique("k"))
+    assert [r.violations for r in none.collect()] == [0, 0]
+    _, local = quality.write_checked(spark.createDataFrame([], "k string"), "t", f"{tmp_path}/l", quality.not_null("k"))
+    assert [r.violations for r in local.collect()] == [0]
+    _, one = quality.write_checked(df, "t", f"{tmp_path}/u", quality.unique("k"))
+    assert [r.violations for r in one.collect()] == [0]
+    plan = quality.write_checked(df, "t", f"{tmp_path}/p", quality.not_null("k") + quality.unique("k"))[1]._jdf.queryExecution().toString()
+    assert plan.count("Exchange hashpartitioning") <= 2  # once in each of the two forms that are printed
+
+
 def test_every_declared_rule_is_there():
     counts = {t: len(r) for t, r in quality.RULES.items()}
     assert counts == {"stg_vehicle_positions": 7, "stg_trip_updates": 7, "stg_stall_events": 6, "stg_headway_metrics": 5,
