@@ -31,6 +31,10 @@ DECLARED_RIGHT, SUFFIX_RIGHT = 0.9, 0.7
 UNKNOWN = "und"
 # Country suffixes with one main language.
 SUFFIXES = {"de": "de", "at": "de", "fr": "fr", "es": "es", "mx": "es", "ar": "es", "co.uk": "en", "uk": "en", "us": "en", "au": "en", "ie": "en", "it": "it", "pt": "pt", "br": "pt", "nl": "nl", "pl": "pl", "ru": "ru", "jp": "ja", "cn": "zh", "kr": "ko"}
+#: Those of the suffixes that have two parts, tried first.
+LONG_SUFFIXES = "|".join(s.replace(".", r"\.") for s in SUFFIXES if "." in s)
+# Second parts under which a country's registry gives out names.
+REGISTRY = "co|com|net|org|edu|gov|ac|or|ne|go"
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -51,7 +55,7 @@ def views(df: DataFrame, text: str, declared: Column, host: Column, key: Column)
     """``__row``, and what the evidence needs in columns of their own."""
     host = F.lower(F.coalesce(host.cast("string"), F.lit("")))
     return df.select(F.struct("*").alias("__row0"), F.col(text).cast("string").alias("__text"), language(declared).alias("__declared"), host.alias("__host"), F.xxhash64(key, F.col(text).cast("string")).alias("__hash")).withColumn(
-        "__suffix", F.regexp_extract("__host", r"\.([a-z]{2}\.[a-z]{2}|[a-z]+)$", 1)).withColumn("__domain", F.regexp_extract("__host", r"([^.]+\.[^.]+)$", 1))
+        "__suffix", F.regexp_extract("__host", rf"\.({LONG_SUFFIXES}|[a-z]+)$", 1)).withColumn("__domain", F.regexp_extract("__host", rf"([^.]+\.(?:(?:{REGISTRY})\.[a-z]{{2}}|[^.]+))$", 1))
 
 
 def fit(rows: DataFrame) -> Model:
