@@ -14,7 +14,6 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,26 +70,29 @@ def lengths(path: str, pieces: list[bytes]) -> list[int]:
 def frequent_lengths(df: DataFrame, text: str, path: str, size: int = FREQUENT) -> tuple[bytes, bytes]:
     """The table: frequent pre-tokens joined by blanks, and their lengths as 16-bit numbers.
 
-    Counted in a bounded sample, merged on the driver from at most SAMPLE_PARTITIONS lists of ``size``.
+    Counted in a bounded sample, merged on the driver from at most SAMPLE_PARTITIONS lists of ``size``. One job
+    reads the partitions of the sample and no others.
     """
     bounded_batches(df.sparkSession)
-    stride = max(1, -(-df.rdd.getNumPartitions() // SAMPLE_PARTITIONS))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, left = Counter(), SAMPLE_DOCS
-        if TaskContext.get().partitionId() % stride == 0:
-            for batch in batches:
-                for t in batch.column(0)[:left].to_pylist():
-                    found.update(p for p in pre_tokens(t or b"") if len(p) <= CACHE_LENGTH)
-                left -= batch.num_rows
-                if left <= 0:
-                    break
+        for batch in batches:
+            for t in batch.column(0)[:left].to_pylist():
+                found.update(p for p in pre_tokens(t or b"") if len(p) <= CACHE_LENGTH)
+            left -= batch.num_rows
+            if left <= 0:
+                break
         top = sorted(found.items(), key=lambda x: (-x[1], x[0]))[:size]
-        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.binary()), pa.array([n for _, n in top], pa.int64())], names=["w", "n"])
+        packed = [b" ".join(w for w, _ in top)], [array("q", [n for _, n in top]).tobytes()]
+        yield pa.RecordBatch.from_arrays([pa.array(p, pa.binary()) for p in packed], names=["w", "n"])
 
+    lists = df.select(F.col(text).cast("binary")).mapInArrow(count, "w binary, n binary").rdd
+    stride = max(1, -(-lists.getNumPartitions() // SAMPLE_PARTITIONS))
+    chosen = list(range(0, lists.getNumPartitions(), stride))
     total: Counter = Counter()
-    for w, n in df.select(F.col(text).cast("binary")).mapInArrow(count, "w binary, n long").toLocalIterator():
-        total[bytes(w)] += n
+    for w, n in df.sparkSession.sparkContext.runJob(lists, lambda rows: [(bytes(r["w"]), bytes(r["n"])) for r in rows], chosen) if chosen else []:
+        total.update(dict(zip(w.split(), array("q", n), strict=True)))
     words = [w for w, _ in sorted(total.items(), key=lambda x: (-x[1], x[0]))[:size]]
     return b" ".join(words), array("H", lengths(path, words)).tobytes()
 
