@@ -9,6 +9,7 @@ windows are searched backward at once by its ranks, and rows are located by walk
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.common import WORD_TABLE, binaries, carry, plain_words, sums
+from fleetpulse.llm.common import WORD_TABLE, binaries, carry, plain_words, stored, sums
 
 # Fixed value: words of a window.
 WINDOW = 10
@@ -202,23 +203,31 @@ def runs_of(hit: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
 
 
-def blocks(benchmark: DataFrame, item: str, text: str) -> list[list[tuple[str, bytes]]]:
-    """Test items (distinct; null texts have no words) in blocks of about BLOCK_BYTES, one after another on the driver."""
+def blocks(benchmark: DataFrame, item: str, text: str) -> Iterator[list[tuple[str, bytes]]]:
+    """Test items (distinct; null texts have no words) in blocks of about BLOCK_BYTES; one at a time is on the driver."""
     rows = benchmark.where(F.col(text).isNotNull()).select(F.coalesce(F.col(item).cast("string"), F.lit("")).alias("item"), F.col(text).cast("string").alias("text")).distinct()
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = -(-size // BLOCK_BYTES)
-    return [[(r["item"], r["text"].encode()) for r in rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(count)) == b).toLocalIterator()] for b in range(count)]
+    for b in range(count):
+        yield [(r["item"], r["text"].encode()) for r in rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(count)) == b).collect()]
+    if not count:
+        yield []
 
 
 def scan(df: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """``__row`` with ``n_words``, ``runs`` (hit words as merged half-open ranges), ``items`` and ``contaminated``.
 
     ``items`` are strings in order. Null and empty texts have no words; an empty benchmark hits nothing. Repeated
-    rows stay. Documents are neither joined nor shuffled: each block of tests adds its hits to those before.
+    rows stay. Documents are neither joined nor shuffled: each block of tests adds its hits to those before, which
+    are stored in between, so that one block is broadcast at a time.
     """
     state = df.select(F.struct("*").alias("row"), F.lit(0).cast("long").alias("n"), F.expr("cast(array() as array<struct<start:long,end:long>>)").alias("runs"), F.expr("cast(array() as array<string>)").alias("items"))
     run_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    for block in blocks(benchmark, item, item_text) or [[]]:
+    shared = None
+    for block in blocks(benchmark, item, item_text):
+        if shared is not None:
+            state = stored(state, "contamination")
+            shared.destroy()
         shared = df.sparkSession.sparkContext.broadcast(TestWindows(block))
 
         def work(rows, shared=shared):
