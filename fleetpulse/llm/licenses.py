@@ -7,6 +7,9 @@ verifies the notice and gives its span and edits.
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
+from collections.abc import Sequence
+
 import ahocorasick
 import numpy as np
 import pyarrow as pa
@@ -47,7 +50,7 @@ _worker: dict = {}
 
 
 class Scanner:
-    def __init__(self, notices: list[tuple[str, str]]):
+    def __init__(self, notices: Sequence[tuple[str, str]]):
         self.notices = []
         self.seeds = ahocorasick.Automaton()
         at: dict[str, list[tuple[int, int]]] = {}
@@ -60,32 +63,44 @@ class Scanner:
         for seed, places in at.items():
             self.seeds.add_word(seed, (len(seed), places))
         self.seeds.make_automaton()
+        self.longest = max((len(words) + k for _, words, k, _ in self.notices), default=0)
 
-    def spans(self, text: str) -> list[tuple[str, int, int, int, int]]:
-        """(label, notice, start, end, edits) in the normalised text, each place of a notice once."""
-        windows: dict[int, list[tuple[int, int]]] = {}
+    def candidates(self, text: str) -> list[tuple[int, int, int, int]]:
+        """(start, end, notice, edits) of the places of each notice. Every seed has its own window, at most 2 k longer
+        than the notice, so the work grows with the seeds. Of overlapping places of one notice the one with the fewest
+        edits stands, then the first."""
+        begins: dict[int, set[int]] = {}
         for end, (size, places) in self.seeds.iter(text):
             for i, lo in places:
-                _, words, k, _ = self.notices[i]
-                begin = end + 1 - size - lo
-                windows.setdefault(i, []).append((max(0, begin - k), begin + len(words) + k))
+                begins.setdefault(i, set()).add(end + 1 - size - lo)
         found = []
-        for i, around in windows.items():
-            label, _, k, pattern = self.notices[i]
-            merged: list[list[int]] = []
-            for lo, hi in sorted(around):
-                if merged and lo <= merged[-1][1]:
-                    merged[-1][1] = max(hi, merged[-1][1])
-                else:
-                    merged.append([lo, hi])
-            for lo, hi in merged:
-                at = lo
-                while m := pattern.search(text, at, hi):
-                    found.append((label, i, m.start(), m.end(), sum(m.fuzzy_counts)))
-                    at = max(m.end(), at + 1)
-        # Where notices overlap, those with the fewest edits stand.
-        best = [f for f in found if not any(g[4] < f[4] and g[2] < f[3] and f[2] < g[3] for g in found)]
-        return sorted(best, key=lambda s: (s[2], s[3], s[1]))
+        for i, around in begins.items():
+            _, words, k, pattern = self.notices[i]
+            places = set()
+            for b in around:
+                if b >= 0 and text.startswith(words, b):
+                    places.add((0, b, b + len(words)))
+                elif m := pattern.search(text, max(0, b - k), b + len(words) + k):
+                    places.add((sum(m.fuzzy_counts), m.start(), m.end()))
+            kept: list[tuple[int, int]] = []
+            for edits, start, end in sorted(places):
+                at = bisect_left(kept, (start, end))
+                if (at == 0 or kept[at - 1][1] <= start) and (at == len(kept) or end <= kept[at][0]):
+                    insort(kept, (start, end))
+                    found.append((start, end, i, edits))
+        return sorted(found)
+
+    def spans(self, text: str) -> list[tuple[str, int, int, int, int]]:
+        """(label, notice, start, end, edits) in the normalised text. Where notices overlap, those with the fewest
+        edits stand: a place falls if any place of another notice that overlaps it has fewer."""
+        found = self.candidates(text)
+        starts = [f[0] for f in found]
+        out = []
+        for start, end, i, edits in found:
+            near = found[bisect_left(starts, start - self.longest):bisect_left(starts, end)]
+            if not any(g[3] < edits and start < g[1] for g in near):
+                out.append((self.notices[i][0], i, start, end, edits))
+        return sorted(out, key=lambda s: (s[2], s[3], s[1]))
 
 
 def phrase_places(text: bytes) -> list[tuple[int, str]]:
@@ -99,9 +114,11 @@ def phrase_places(text: bytes) -> list[tuple[int, str]]:
     return out
 
 
-def scan(df: DataFrame, text: str = "text", spans: bool = False) -> DataFrame:
+def scan(df: DataFrame, text: str = "text", spans: bool = False, notices: Sequence[tuple[str, str]] = NOTICES) -> DataFrame:
     """``__row`` with the base columns, ``labels`` and ``score``; with ``spans`` also the notices found.
 
+    ``notices`` are labels and wordings, these as plain lower-case words.
+
     ``score`` is 1 for an exact phrase, else the best share of letters of a notice without edit, 0 for none.
     Spans are offsets in the text's words joined by blanks. Null and empty texts have no words and no labels;
     repeated rows stay; a text of any length is searched whole.
@@ -109,11 +126,11 @@ def scan(df: DataFrame, text: str = "text", spans: bool = False) -> DataFrame:
     new = "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
     if spans:
         new += ", spans array<struct<label:string,start:int,end:int,edits:int>>"
-    width = 8 if spans else 7
+    width, known = 8 if spans else 7, tuple(notices)
 
     def work(rows):
-        if "scanner" not in _worker:
-            _worker["scanner"] = Scanner(NOTICES)
+        if _worker.get("notices") != known:
+            _worker.update(notices=known, scanner=Scanner(known))
         scanner = _worker["scanner"]
         for batch in rows:
             out: list[list] = [[] for _ in range(width)]
