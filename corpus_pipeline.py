@@ -35,9 +35,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document's token ids, digests of ids and of the text decoded from them."""
+    """Every document's token ids, digests of ids and of the text decoded from them, in place of columns of these names."""
     found = bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_50k.json"), keep_ids=True)
-    return found.select("__row.*", "n_tokens", "ids_sha256", "decoded_sha256", "ids")
+    new = ["n_tokens", "ids_sha256", "decoded_sha256", "ids"]
+    return found.select(*[F.col(f"__row.`{c}`").alias(c) for c in docs.columns if c.lower() not in new], *new)
 
 
 STAGES = [("quality rules", quality_rules), ("language id", language_id), ("near duplicates", near_duplicates), ("decontamination", decontamination), ("bpe", encode)]

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import random
+import time
 import zlib
 
 import numpy as np
@@ -107,6 +108,19 @@ def mixtures(parts: list[str], seed: int) -> list[str]:
     return ["".join(draw.choice(parts) for _ in range(draw.randint(1, 14))) for _ in range(4000)]
 
 
+def test_frequent_pieces_come_from_one_job(spark):
+    path, tracker = public_tokenizers.path("word_bpe_49k.json"), spark.sparkContext.statusTracker()
+    many = spark.range(300, numPartitions=300).select(F.format_string("word%d and and some", F.col("id") % 7).alias("text"))
+    spark.sparkContext.setJobGroup("sample", "sample")
+    words, lengths = token_counts.frequent_lengths(many, "text", path)
+    assert len(tracker.getJobIdsForGroup("sample")) == 1
+    stages = tracker.getJobInfo(tracker.getJobIdsForGroup("sample")[0]).stageIds
+    assert sum(tracker.getStageInfo(s).numTasks for s in stages) <= token_counts.SAMPLE_PARTITIONS
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert words.split()[0] == b"and" and len(lengths) == 2 * len(words.split())
+    assert token_counts.frequent_lengths(many.where("false"), "text", path) == (b"", b"")
+
+
 def test_token_pieces_are_apart():
     path = public_tokenizers.path("word_bpe_49k.json")
     library = Tokenizer.from_file(path)
@@ -190,6 +204,16 @@ def test_contamination(spark, sf_dir, docs, odd, none):
     assert decontaminate.scan(none, tests).count() == 0 and decontaminate.scan(odd, tests.where("false")).where("contaminated").count() == 0
 
 
+def test_contamination_block_by_block(spark, sf_dir, odd, monkeypatch):
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    columns = ["__row.doc_id", "n_words", "runs", "items", "contaminated"]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    whole = [r.asDict(recursive=True) for r in decontaminate.scan(docs, benchmark).select(*columns).orderBy("doc_id").collect()]
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 3 << 10)
+    assert len(list(decontaminate.blocks(benchmark, "item_id", "text"))) > 2
+    assert [r.asDict(recursive=True) for r in decontaminate.scan(docs, benchmark).select(*columns).orderBy("doc_id").collect()] == whole
+
+
 def test_fm_index_finds_all():
     rng = random.Random(3)
     for _ in range(60):
@@ -341,6 +365,79 @@ def test_licenses(spark, sf_dir, docs, odd, none):
     assert licenses.scan(odd, spans=True).where("labels = 'mit' AND score = 1").count() == 1 and licenses.scan(none).count() == 0
 
 
+def fewest_edits(words, text):
+    """Edits of the best place of a notice anywhere in a text."""
+    row = [0] * (len(text) + 1)
+    for i, w in enumerate(words, 1):
+        before, row = row, [i]
+        for j, t in enumerate(text, 1):
+            row.append(min(before[j - 1] + (w != t), before[j] + 1, row[-1] + 1))
+    return min(row)
+
+
+def test_notices_against_brute_force():
+    scanner, rng = licenses.Scanner(licenses.NOTICES), random.Random(5)
+    for _ in range(40):
+        parts = []
+        for _ in range(rng.randint(1, 4)):
+            notice = list(rng.choice(licenses.NOTICES)[1])
+            for _ in range(rng.randint(0, 8)):
+                at = rng.randrange(len(notice))
+                notice[at:at + rng.randint(0, 1)] = rng.choice(["", "q", "license"[rng.randrange(7)]])
+            parts.append("".join(notice))
+        text = rng.choice([" ", " and ", ""]).join(parts)
+        best: dict = {}
+        for start, end, i, edits in scanner.candidates(text):
+            assert fewest_edits(scanner.notices[i][1], text[start:end]) <= edits
+            best[i] = min(edits, best.get(i, edits))
+        expected = {i: fewest_edits(words, text) for i, (_, words, _, _) in enumerate(scanner.notices)}
+        assert best == {i: e for i, e in expected.items() if e <= scanner.notices[i][2]}
+        found = scanner.candidates(text)
+        assert scanner.spans(text) == sorted(
+            ((scanner.notices[i][0], i, a, b, e) for a, b, i, e in found if not any(f < e and c < b and a < d for c, d, _, f in found)), key=lambda s: (s[2], s[3], s[1]))
+
+
+def test_each_place_of_a_notice_once_and_long_texts(spark):
+    scanner = licenses.Scanner(licenses.NOTICES)
+    two = "licensed under the mit licence or licensed under the mit license"
+    assert [s[2:] for s in scanner.spans(two) if s[1] == 2] == [(0, 30, 1), (34, 64, 0)]
+    started = time.time()
+    for notice in ("licensed under the mit license ", "licensed under the mit licence "):
+        assert len([s for s in scanner.spans(notice * 10_000) if s[1] == 2]) == 10_000
+    assert time.time() - started < 60
+    own = licenses.scan(spark.createDataFrame([("Shared with Friends only, MIT license",)], "text string"), spans=True, notices=[("friends", "shared with friends only")])
+    assert own.select("labels", "spans").first() == ("friends,mit", [("friends", 0, 24, 0)])
+
+
+def test_address_suffixes_and_domains(spark):
+    hosts = {"www.vw.de": ("de", "vw.de"), "www.hp.fr": ("fr", "hp.fr"), "news.bbc.co.uk": ("co.uk", "bbc.co.uk"), "shop.com.au": ("au", "shop.com.au"),
+             "x.ac.jp": ("jp", "x.ac.jp"), "co.uk": ("uk", "co.uk"), "a.b.example.org": ("org", "example.org"), "localhost": ("", ""), None: ("", "")}
+    df = spark.createDataFrame([(h,) for h in hosts], "h string")
+    got = langid.views(df, "h", F.lit(None), F.col("h"), F.lit(1)).select("__row0.h", "__suffix", "__domain").collect()
+    assert {r[0]: (r[1], r[2]) for r in got} == hosts
+
+
+def test_repeated_ids_in_the_labelled_sample(spark):
+    """One text of an id is learned from, whichever row comes first."""
+    text = [" ".join(f"{w}{k}" for k in range(60)) for w in ("good", "bad")]
+    rows = [(1, text[0])] * 50 + [(1, text[1])] * 50 + [(2, text[0])]
+    labels = spark.createDataFrame([(1, 1, 0), (2, 1, 0)], "doc_id long, quality int, toxic int")
+    models = [quality.fit(spark.createDataFrame(r, "doc_id long, text string").repartition(n), labels) for r, n in ((rows, 1), (rows[::-1], 7))]
+    assert np.array_equal(models[0].ratio, models[1].ratio) and models[0].threshold == models[1].threshold
+
+
+def test_pipeline_stages_on_odd_tables(spark, sf_dir, odd, none):
+    for table in (odd, none, none.drop("n_tokens")):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, table, sf_dir)
+            assert out.columns == table.columns, name
+            assert out.count() <= table.count()
+        coded = corpus_pipeline.STAGES[-1][1](spark, table, sf_dir)
+        assert sorted(coded.columns) == sorted({*table.columns, "n_tokens", "ids_sha256", "decoded_sha256", "ids"})
+        assert coded.count() == table.count()
+    assert corpus_pipeline.STAGES[-1][1](spark, odd, sf_dir).where("doc_id = 1 AND n_tokens = 0 AND size(ids) = 0").count() == 1
+
+
 def test_pipeline(spark, sf_dir, docs):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality rules", "language id", "near duplicates", "decontamination", "bpe"]
     rows = corpus_pipeline.run(spark, sf_dir).collect()
