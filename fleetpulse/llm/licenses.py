@@ -108,9 +108,10 @@ def phrase_places(text: bytes) -> list[tuple[int, str]]:
     out = []
     if b"license" in text:
         for phrase, label in PHRASES.items():
-            at = -1
+            at, word, counted = -1, 0, 0
             while (at := text.find(b" " + phrase.encode() + b" ", at + 1)) >= 0:
-                out.append((text.count(b" ", 0, at), label))
+                word, counted = word + text.count(b" ", counted, at), at
+                out.append((word, label))
     return out
 
 
