@@ -224,7 +224,7 @@ def encode_decode(df: DataFrame, path: str, text: str = "text", keep_ids: bool =
 
     Null and empty texts have no ids, and the digests of nothing. Special strings in texts are special
     tokens. Rows are handled one by one, so repeated rows and tables without rows pass through. Memory of a
-    worker: one Arrow batch, its units and a bounded cache.
+    worker: one slice of a batch, its units and a bounded cache.
     """
     if df.schema[text].dataType != T.StringType():
         df = df.withColumn(text, F.col(text).cast("string"))
@@ -262,4 +262,4 @@ def encode_decode(df: DataFrame, path: str, text: str = "text", keep_ids: bool =
             yield arrays + ([pa.array(listed, pa.list_(pa.int32())), pa.array(back, pa.string())] if keep_ids else [])
         _worker.clear()
 
-    return carry(df, new, work)
+    return carry(df, new, work, by=text)

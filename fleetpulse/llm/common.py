@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +17,8 @@ from fleetpulse.session import scratch_dir
 
 #: Rows and bytes of one Arrow batch, so that a batch of very long texts still fits a worker.
 BATCH_ROWS, BATCH_BYTES = 1024, 8 << 20
+#: Bytes of text that operators with several numbers for each byte work on at a time.
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,11 +53,23 @@ def small(batch: pa.RecordBatch, rows: int = 1 << 16) -> Iterator[pa.RecordBatch
         yield batch.slice(at, rows)
 
 
-def carry(df: DataFrame, new: str, work: Callable[[Iterator[pa.StructArray]], Iterator[list[pa.Array]]], keep: list[str] | None = None) -> DataFrame:
+def sliced(rows: pa.StructArray, name: str, size: int) -> Iterator[pa.StructArray]:
+    """The rows in order, in slices with at most ``size`` bytes of a text column; a longer text has a slice of its own."""
+    lengths = pc.fill_null(pc.binary_length(rows.field(name)), 0).to_numpy(zero_copy_only=False)
+    total = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+    at = 0
+    while at < len(rows):
+        end = max(at + 1, int(np.searchsorted(total, total[at] + size, side="right")) - 1)
+        yield rows.slice(at, end - at)
+        at = end
+
+
+def carry(df: DataFrame, new: str, work: Callable[[Iterator[pa.StructArray]], Iterator[list[pa.Array]]], keep: list[str] | None = None, by: str | None = None) -> DataFrame:
     """Columns ``__row`` (the input row as a struct) and those of ``new`` (DDL), whatever the input's columns are called.
 
     ``work`` gets an iterator of struct arrays and yields for each the list of its new columns. ``keep`` names
-    the fields that ``__row`` brings back (all if None), so that texts need not return from the workers.
+    the fields that ``__row`` brings back (all if None), so that texts need not return from the workers. With ``by``,
+    a text column, ``work`` gets slices of SLICE_BYTES of its texts, so that its arrays are a few times as large.
     """
     added = T.StructType.fromDDL(new)
     row = df.schema if keep is None else T.StructType([df.schema[k] for k in keep])
@@ -65,8 +80,7 @@ def carry(df: DataFrame, new: str, work: Callable[[Iterator[pa.StructArray]], It
 
         def rows() -> Iterator[pa.StructArray]:
             for batch in batches:
-                if batch.num_rows:
-                    whole = batch.column(0)
+                for whole in (sliced(batch.column(0), by, SLICE_BYTES) if by else [batch.column(0)]) if batch.num_rows else []:
                     held.append(whole if keep is None else pa.StructArray.from_arrays([whole.field(k) for k in keep], names=keep))
                     yield whole
 

@@ -117,7 +117,7 @@ def priors(rows: DataFrame, model: Model) -> DataFrame:
             ll, grams = likelihoods(binaries(batch, "__text"), shared.value)
             yield [pa.array(np.where(grams > 0, ll.argmax(axis=1), size - 1).astype(np.int32))]
 
-    said = carry(rows.select("__text", "__host", "__domain"), "lang int", verdicts)
+    said = carry(rows.select("__text", "__host", "__domain"), "lang int", verdicts, by="__text")
     tally = stored(said.groupBy(F.col("__row.__host").alias("__host"), F.col("__row.__domain").alias("__domain"), "lang").agg(F.count("*").alias("n")), "host-counts")
 
     def vector(df: DataFrame, by: list[str]) -> DataFrame:
@@ -183,5 +183,5 @@ def identify(df: DataFrame, declared: Column, host: Column, key: Column, text: s
             said = [own[i] if b > und else m.languages[b] for i, b in enumerate(best)]
             yield [pa.array([x if k else UNKNOWN for x, k in zip(said, kept, strict=True)], pa.string()), pa.array(np.round(sure, 6)), pa.array(kept)]
 
-    done = carry(joined, new, work)
+    done = carry(joined, new, work, by="__text")
     return done.select(F.col("__row.__row0").alias("__row"), "lang", "confidence", F.col("__row.__declared").alias("declared"), F.col("__row.__host").alias("host"), "kept")

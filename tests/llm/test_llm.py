@@ -9,13 +9,14 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from fleetpulse.llm import bpe, chat, decontaminate, langid, licenses, neardup, ppm, quality, sharding, token_counts
-from fleetpulse.llm.common import plain_words, portions
+from fleetpulse.llm import bpe, chat, common, decontaminate, langid, licenses, neardup, ppm, quality, sharding, token_counts
+from fleetpulse.llm.common import plain_words, portions, sliced
 from fleetpulse.llm.queries import QUERIES
 
 LONG = "lorem ipsum dolor " * 3000
@@ -214,6 +215,39 @@ def test_contamination_block_by_block(spark, sf_dir, odd, monkeypatch):
     assert [r.asDict(recursive=True) for r in decontaminate.scan(docs, benchmark).select(*columns).orderBy("doc_id").collect()] == whole
 
 
+def test_slices_keep_order_and_bound():
+    texts = [None, "", "ab", "x" * 50, "cde", None, "f" * 10, "g" * 10, ""]
+    rows = pa.array([{"i": i, "text": t} for i, t in enumerate(texts)]).slice(1)
+    for size in (1, 10, 20, 1000):
+        got = [s.to_pylist() for s in sliced(rows, "text", size)]
+        assert [r for s in got for r in s] == rows.to_pylist()
+        assert all(len(s) == 1 or sum(len(r["text"] or "") for r in s) <= size for s in got)
+
+
+def test_slices_change_no_result(spark, sf_dir, odd, monkeypatch):
+    """Verdicts, languages and ids are the same with slices of few texts."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+    def all_results():
+        yield quality.judge(docs, quality.fit(docs, labels)).select("__row.doc_id", "n_words", "n_repeat_words", F.round("score", 9), "kept").collect()
+        yield langid.identify(docs, F.col("lang"), F.col("source"), F.col("doc_id")).select("__row.doc_id", "lang", "kept").collect()
+        yield bpe.encode_decode(odd, public_tokenizers.path("byte_bpe_50k.json"), keep_ids=True).select("__row.doc_id", "__row.text", "ids", "decoded").collect()
+
+    whole = [sorted(map(str, rows)) for rows in all_results()]
+    monkeypatch.setattr(common, "SLICE_BYTES", 3000)
+    monkeypatch.setattr(quality, "SLICE_BYTES", 3000)
+    assert [sorted(map(str, rows)) for rows in all_results()] == whole
+
+
+def test_phrases_in_long_texts():
+    text = b" " + b"the mit license and apache license x " * 20_000
+    began = time.monotonic()
+    places = licenses.phrase_places(text)
+    assert len(places) == 40_000 and time.monotonic() - began < 20
+    assert sorted(places)[:3] == [(1, "mit"), (4, "apache"), (8, "mit")]
+
+
 def test_fm_index_finds_all():
     rng = random.Random(3)
     for _ in range(60):
