@@ -121,7 +121,9 @@ def near_pairs(words: DataFrame) -> DataFrame:
 
     signed = words.mapInArrow(sign, "key long, longer boolean, word string, n long")
     long, all_ = signed.where("longer").alias("a"), signed.alias("b")
-    ordered = "a.key = b.key AND (NOT b.longer OR b.word < a.word) AND levenshtein(a.word, b.word, 1) = 1"
+    # Keys of unlike kinds can be equal too: lengths, not the kinds, say which way round a pair is found.
+    once = "IF(length(a.word) = length(b.word), b.word < a.word, length(b.word) < length(a.word))"
+    ordered = f"a.key = b.key AND (NOT b.longer OR b.word < a.word) AND {once} AND levenshtein(a.word, b.word, 1) = 1"
     found = long.join(all_, F.expr(ordered)).select(F.col("a.word"), F.col("a.n"), F.col("b.word").alias("other"), F.col("b.n").alias("other_n")).distinct()
     return found.select(F.explode(F.array(F.struct("word", "n", "other", "other_n"), F.struct(F.col("other").alias("word"), F.col("other_n").alias("n"), F.col("word").alias("other"), F.col("n").alias("other_n")))).alias("p")).select("p.*")
 

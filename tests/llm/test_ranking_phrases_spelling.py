@@ -128,6 +128,15 @@ def test_variants_by_brute_force(spark):
     assert {w: n for w, _, _, _, n, _ in want if n} == dict(near)
 
 
+def test_a_near_pair_under_several_keys_counts_once(spark):
+    # The key of one word among those of its length is one of the other among longer ones, and the other way round.
+    for pair in (("éèmentelle", "éêmentelle"), ("éèréelle", "éêréelle"), ("éêmenttion", "éèmenttion")):
+        kinds = [{(int(k), bool(more)) for keys, longer in spelling.signatures([w]) for k, more in zip(keys, longer)} for w in pair]
+        assert {k for k, more in kinds[0] if more} & {k for k, more in kinds[1] if not more}
+        found = spelling.near_pairs(spark.createDataFrame([(w, 5) for w in pair], "word string, n long")).collect()
+        assert sorted((r["word"], r["other"]) for r in found) == sorted([pair, pair[::-1]])
+
+
 def test_variants_of_texts(spark, odd):
     rows = [(i, "Housing housing HOUSING housin hous1ing housings " * 20) for i in range(4)] + [(None, "housings"), (9, None)]
     got = spelling.variants(spark.createDataFrame(rows, "doc_id long, text string"))
