@@ -1,7 +1,7 @@
 """Language identification: text likelihoods, declared language, address suffix and host priors in one posterior.
 
 The text model is a multinomial over hashed byte trigrams for each language that enough rows of the whole table
-declare, fitted on a sample of each. A language that fewer declare is a hypothesis for the rows that declare it, as
+declare, fitted on all of these rows. A language that fewer declare is a hypothesis for the rows that declare it, as
 a text of any language or of none. Priors are counts of what the texts alone say, over all rows, by host,
 domain and table, each level smoothed by the one above. ``und`` is a hypothesis of its own: bytes that
 follow no language, uniform over the bins.
@@ -17,11 +17,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.common import binaries, bounded_batches, carry, flat, gram_bins, stored, sums
+from fleetpulse.llm.common import SLICE_BYTES, binaries, bounded_batches, carry, flat, gram_bins, portions, release, stored, sums
 
 N, BITS = 3, 14
-#: About how many rows of each language the models are fitted on, and the rows of the table that a language must have.
-LABELLED, LEAST = 20_000, 5
+#: About how many rows of each language the models are fitted on (None: all), and the rows of the table that a language must have.
+LABELLED, LEAST = None, 5
 #: Numbers (hosts times languages) of the broadcast prior table; rows of other hosts are joined by host.
 TABLE_NUMBERS = 100_000
 #: Weights of the parent level in the smoothed priors.
@@ -59,14 +59,15 @@ def views(df: DataFrame, text: str, declared: Column, host: Column, key: Column)
 
 
 def fit(rows: DataFrame) -> Model:
-    """Trigram models of all languages that LEAST rows declare, each from its rows with the smallest hashes, LABELLED or so.
+    """Trigram models of all languages that LEAST rows declare, each from all its rows.
 
-    Rows are chosen by a bound of the hash for each language, so no row is sorted; the smallest hash is always chosen.
+    A caller that sets LABELLED gets models of the rows with the smallest hashes, by a bound for each language; the smallest
+    hash is always chosen.
     """
     declared = rows.where("__declared IS NOT NULL")
     found = declared.groupBy("__declared").agg(F.count("*").alias("n"), F.min("__hash").alias("least")).where(F.col("n") >= LEAST).orderBy("__declared").collect()
     often = [r[0] for r in found]
-    bounds = [(lang, max(least, -(1 << 63) + (1 << 64) * min(LABELLED, n) // n - 1)) for lang, n, least in found]
+    bounds = [(lang, max(least, -(1 << 63) + (1 << 64) * min(LABELLED or n, n) // n - 1)) for lang, n, least in found]
     table = rows.sparkSession.createDataFrame(bounds, "__declared string, __bound long")
     chosen = declared.join(F.broadcast(table), "__declared").where("__hash <= __bound")
     bounded_batches(rows.sparkSession)
@@ -76,12 +77,13 @@ def fit(rows: DataFrame) -> Model:
         for batch in batches:
             texts, langs = [(t or b"").translate(LOWER) for t in batch.column(0).to_pylist()], np.array(batch.column(1).to_pylist(), object)
             for lang in sorted(set(langs)):
-                data, starts = flat([t for t, x in zip(texts, langs, strict=True) if x == lang])
-                h, whole = gram_bins(data, starts, N, BITS)
-                total[lang] = total.get(lang, 0) + np.bincount(h[whole], minlength=1 << BITS)
+                for part in portions([t for t, x in zip(texts, langs, strict=True) if x == lang], SLICE_BYTES):
+                    h, whole = gram_bins(*flat(part), N, BITS)
+                    total[lang] = total.get(lang, 0) + np.bincount(h[whole], minlength=1 << BITS)
         for lang, n in total.items():
             at = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(n[at])], names=["lang", "bin", "n"])
+        release()
 
     counts = np.zeros((len(often), 1 << BITS))
     for lang, b, n in chosen.select(F.col("__text").cast("binary"), "__declared").mapInArrow(count, "lang string, bin int, n long").groupBy("lang", "bin").agg(F.sum("n")).toLocalIterator():
