@@ -460,6 +460,27 @@ def test_repeated_ids_in_the_labelled_sample(spark):
     assert np.array_equal(models[0].ratio, models[1].ratio) and models[0].threshold == models[1].threshold
 
 
+def test_percentiles_are_exact(spark):
+    draw = random.Random(8)
+    for values in ([], [3.0], [1.0] * 50 + [2.0], [draw.gauss(0, 1) ** 9 for _ in range(3000)] + [None, 0.0, 0.0], [1e-300 * k for k in range(100)]):
+        df = spark.createDataFrame([(v,) for v in values], "score double").repartition(5)
+        want = df.agg(F.percentile("score", [0.0, 0.001, 0.37, 0.5, 1.0])).first()[0]
+        assert common.percentiles(df, [0.0, 0.001, 0.37, 0.5, 1.0]) == want
+
+
+def test_models_learn_from_all_rows(spark):
+    """More labelled rows and rows of a language than a bound that was there."""
+    texts = spark.range(0, 20_600, 1, 5).selectExpr("id AS doc_id", "repeat(concat('word', id, ' '), 3) AS text", "'en' AS lang")
+    labels = texts.selectExpr("doc_id", "1 AS quality", "0 AS toxic")
+    assert not quality.fit(texts, labels).ratio.any()
+    counts = np.zeros(1 << langid.BITS)
+    for r in texts.collect():
+        h, whole = common.gram_bins(*common.flat([r["text"].encode()]), langid.N, langid.BITS)
+        np.add.at(counts, h[whole], 1)
+    model = langid.fit(langid.views(texts, "text", F.col("lang"), F.lit(None), F.col("doc_id")))
+    assert model.languages == ["en", "und"] and np.allclose(model.log_bins[0], np.log((counts + 0.1) / (counts + 0.1).sum()), rtol=1e-12)
+
+
 def test_pipeline_stages_on_odd_tables(spark, sf_dir, odd, none):
     for table in (odd, none, none.drop("n_tokens")):
         for name, stage in corpus_pipeline.STAGES[:-1]:
