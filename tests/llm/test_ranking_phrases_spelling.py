@@ -12,6 +12,7 @@ import numpy as np
 import pytest
 
 from fleetpulse.llm import phrases, ranking, spelling
+from fleetpulse.llm.common import stored
 from fleetpulse.llm.queries import QUERIES
 
 LONG = "lorem ipsum dolor " * 3000
@@ -58,6 +59,35 @@ def test_classifier_on_odd_rows(spark, odd):
     assert {r["held_out"] for r in rows if r["doc_id"] is None} == {False}
 
 
+def test_classifier_learns_from_all_labels(spark, monkeypatch):
+    """A third kind of text whose few documents a bound of 10,000 ids left out; a rare class is in every cell."""
+    kinds = spark.range(0, 16_000, 1, 4).selectExpr("id AS doc_id", "CASE WHEN id < 15970 THEN 'plain text here' ELSE 'bad ## text' END AS text", "CAST(id < 15970 AS INT) AS quality")
+    monkeypatch.setattr(ranking, "CELL", 1000)
+    used = []
+    monkeypatch.setattr(ranking, "stored", lambda df, label, **o: used.append((label, s := stored(df, label, **o))) or s)
+    model = ranking.fit(kinds, kinds.select("doc_id", "quality"))
+    learned = [i for i in range(16_000) if zlib.crc32(str(i).encode()) % 5]
+    held = dict(used)
+    assert held["ranking-sample"].count() == len(learned) > 10_000
+    sizes = held["ranking-cells"].selectExpr("size(goods) AS g", "size(bads) AS b").collect()
+    rare = sum(i >= 15_970 for i in learned)
+    assert len(sizes) == 13 and sum(r["g"] for r in sizes) == len(learned) - rare and {r["b"] for r in sizes} == {rare}
+    scores = ranking.score(kinds, model).groupBy("__row.quality").agg(ranking.F.min("score"), ranking.F.max("score")).collect()
+    assert {r[0]: (r[1] == r[2]) for r in scores} == {0: True, 1: True} and len({r[1] for r in scores}) == 2
+
+
+def test_weights_are_those_of_the_least_loss(spark):
+    draw = np.random.default_rng(2)
+    goods, bads = np.zeros((300, ranking.WIDTH)), np.zeros((100, ranking.WIDTH))
+    goods[:, :3], bads[:, :3] = draw.normal(size=(300, 3)) + [1, 0, 0.2], draw.normal(size=(100, 3))
+    held = spark.createDataFrame([(ranking.packed(goods), ranking.packed(bads))], "goods array<binary>, bads array<binary>")
+    d = np.concatenate([*ranking.preferences(goods.astype(np.float32), bads.astype(np.float32))])
+    assert len(d) == 600
+    w = ranking.learn(held)
+    slope = -(d / (1 + np.exp(d @ w))[:, None]).mean(axis=0) + ranking.RIDGE * (d ** 2).mean(axis=0) * w
+    assert np.abs(slope).max() < 1e-6 and w[0] > 0.5
+
+
 def collocations_by_hand(rows, support, top):
     split = [("und" if lang is None else lang, [p.split() for p in "".join(c.lower() if c.isascii() else c for c in t or "").translate({ord(c): "." for c in ",;:!?\n\x0b\x0c\r"}).split(".")]) for lang, t in rows]
     f = collections.Counter((lang, tuple(p[i:i + k])) for lang, ps in split for p in ps for k in (1, 2, 3) for i in range(len(p) - k + 1))
