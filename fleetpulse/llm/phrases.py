@@ -170,6 +170,12 @@ def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return found, n.astype(np.int64)
 
 
+def summed(counts: DataFrame, by: list[str], n: str) -> DataFrame:
+    """Counts added up over tasks. They go to their place as they are: a task has counted already, so adding up before finds
+    next to nothing to add."""
+    return counts.repartition(*by).groupBy(*by).agg(F.sum(n).alias(n))
+
+
 def hashed_counts(rows: DataFrame, sizes: tuple[int, ...], keep: Callable | None = None) -> DataFrame:
     """``(lang, shard, h, n)`` summed over all tasks; ``keep`` prunes by the tokens of a stretch."""
 
@@ -183,7 +189,7 @@ def hashed_counts(rows: DataFrame, sizes: tuple[int, ...], keep: Callable | None
                 h, n = counted(found)
                 yield from small(pa.RecordBatch.from_arrays([pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(h), np.int8)), [lang]).cast(pa.string()), pa.array(np.full(len(h), shard, np.int32)), pa.array(h.view(np.int64)), pa.array(n)], names=["lang", "shard", "h", "n"]))
 
-    return rows.mapInArrow(work, "lang string, shard int, h long, n long").groupBy("lang", "shard", "h").agg(F.sum("n").alias("n"))
+    return summed(rows.mapInArrow(work, "lang string, shard int, h long, n long"), ["lang", "shard", "h"], "n")
 
 
 def shard_words(rows: DataFrame) -> DataFrame:
@@ -246,7 +252,7 @@ def frequent(df: DataFrame, support: int, lang: str = "lang", text: str = "text"
                 phrase = parts[0] if size == 1 else pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.binary()))
                 yield from small(pa.RecordBatch.from_arrays([pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(keys), np.int8)), [language]).cast(pa.string()), pa.array(np.full(len(keys), size, np.int32)), phrase, pa.array(n)], names=["lang", "size", "phrase", "f"]))
 
-    whole = rows.mapInArrow(count, "lang string, size int, phrase binary, f long").groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= support)
+    whole = summed(rows.mapInArrow(count, "lang string, size int, phrase binary, f long"), ["lang", "size", "phrase"], "f").where(F.col("f") >= support)
     phrases = stored(whole.withColumn("phrase", F.col("phrase").cast("string")), "phrases")
     union.destroy()
     return phrases, sizes.select("lang", "n").distinct()
