@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from fleetpulse.llm.common import binaries, carry
 
 #: Entries of a worker's cache, and the longest unit (characters) it keeps.
-CACHE_ENTRIES, CACHE_LENGTH = 300_000, 64
+CACHE_ENTRIES, CACHE_LENGTH = 150_000, 64
 NEVER = 1 << 40
 
 # Unicode white space as the pre-tokenizer sees it.
@@ -174,7 +174,7 @@ class SpeculativeBpe:
         if len(inside):
             pairs, where = np.unique(ids[inside] * self.size + ids[inside + 1], return_inverse=True)
             new = np.array([p for p in pairs.tolist() if p not in self.checked], np.int64)
-            if len(self.checked) + len(new) > 4 * CACHE_ENTRIES:
+            if len(self.checked) + len(new) > 2 * CACHE_ENTRIES:
                 self.checked.clear()
                 new = pairs
             self.checked.update(zip(new.tolist(), self.compatible(new // self.size, new % self.size).tolist(), strict=True))
