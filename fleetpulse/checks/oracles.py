@@ -366,7 +366,11 @@ ORACLES: dict[str, str] = {
         SELECT user_id, event_id, ts, value FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     "distinct_lines": _with("SELECT DISTINCT route_id, direction_id FROM trips", "trips"),
-    "routes_dim": _with("SELECT * FROM routes", "routes"),
+    "routes_dim": """
+        SELECT 'R' || n_nationkey AS route_id, n_name AS route_name, 'Line ' || n_name AS route_long_name,
+               n_regionkey AS route_type,
+               CASE n_regionkey WHEN 2 THEN 'Rail' WHEN 3 THEN 'Bus' ELSE 'Other' END AS route_type_label
+        FROM nation""",
     "stops_dim": _with("SELECT * FROM stops", "stops"),
     "csv_routes": _with("SELECT * FROM routes", "routes"),
     "csv_stops": _with("SELECT * FROM stops", "stops"),

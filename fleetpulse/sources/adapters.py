@@ -126,10 +126,11 @@ def service_alerts(events: DataFrame) -> DataFrame:
     return events.select(*notice_columns())
 
 
-def routes_seed(nation: DataFrame) -> DataFrame:
-    """Some routes have no id."""
+def routes_seed(nation: DataFrame, blanks: bool = True) -> DataFrame:
+    """Some routes have no id, unless ``blanks`` is false."""
+    name = _text("R", F.col("n_nationkey"))
     return nation.select(
-        F.when(F.col("n_nationkey") % 12 != 11, _text("R", F.col("n_nationkey"))).alias("route_id"),
+        (F.when(F.col("n_nationkey") % 12 != 11, name) if blanks else name).alias("route_id"),
         F.col("n_name").alias("route_short_name"),
         F.concat(F.lit("Line "), F.col("n_name")).alias("route_long_name"),
         F.col("n_regionkey").alias("route_type"),

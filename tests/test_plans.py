@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from fleetpulse.checks.queries import QUERIES
 from fleetpulse.operators.dedup import keep_first, keep_last
 from fleetpulse.plans import dims, incremental as inc, marts, staging
 
@@ -174,3 +175,9 @@ def test_the_mark_comes_from_the_listing(spark, tmp_path):
         assert inc.high_water_mark(spark, named) == dt.date(2026, 3, 29)
     finally:
         spark.sql("DROP TABLE listed_mart")
+
+
+def test_the_route_dimension_has_every_route(spark, sf_dir):
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    found = QUERIES["routes_dim"](spark, sf_dir)
+    assert {r["route_id"] for r in found.collect()} == {f"R{r[0]}" for r in nation.select("n_nationkey").collect()} and found.count() == nation.count()
