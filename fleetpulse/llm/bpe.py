@@ -11,6 +11,7 @@ import hashlib
 import heapq
 import json
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetpulse.llm.common import binaries, carry
+from fleetpulse.llm.common import binaries, carry, release
 
 #: Entries of a worker's cache, and the longest unit (characters) it keeps.
 CACHE_ENTRIES, CACHE_LENGTH = 150_000, 64
@@ -70,25 +71,29 @@ class SpeculativeBpe:
         self.letters = letters
         self.longest = max(map(len, self.id_of))
         self.single = [self.id_of[bytes([b])] for b in range(256)]
-        self.rank: dict[tuple[int, int], tuple[int, int]] = {}
+        #: Ranks by packed pair, and what each rank's merge makes.
+        self.flat: dict[int, int] = {}
+        self.whole: list[int] = []
         parts = np.full((self.size, 2), -1, np.int64)
         made = np.full(self.size, NEVER, np.int64)
         for r, pair in enumerate(spec["model"]["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             left, right, whole = vocab[a], vocab[b], vocab[a + b]
-            self.rank[left, right] = (r, whole)
+            self.flat[left * self.size + right] = r
+            self.whole.append(whole)
             if parts[whole, 0] < 0:
                 parts[whole], made[whole] = (left, right), r
-        self.flat = {a * self.size + b: r for (a, b), (r, _) in self.rank.items()}
-        self.whole = [w for _, w in self.rank.values()]
-        keys = np.array([a * self.size + b for a, b in self.rank], np.int64)
+        keys, ranks = (np.fromiter(x, np.int64, len(self.flat)) for x in (self.flat, self.flat.values()))
         order = np.argsort(keys)
-        self.keys, self.ranks = keys[order], np.array([r for r, _ in self.rank.values()], np.int64)[order]
+        self.keys, self.ranks = keys[order], ranks[order]
         self.left, self.left_until = self._edge(parts[:, 0], made)
         self.right, self.right_until = self._edge(parts[:, 1], made)
-        self.checked: dict[int, bool] = {}
-        self.sound: set[int] = set()
-        self.unsound: set[int] = set()
+        #: Checked pairs in order with their verdicts, packed: as a dict they would take ten times the memory.
+        self.checked, self.good = np.zeros(0, np.int64), np.zeros(0, bool)
+        #: Of each token whether its own bytes merge to it: not yet known, yes, no.
+        self.sound = np.zeros(self.size, np.int8)
+        #: The ids of units of one token, which are most, once for all units.
+        self.packed = [array("i", [i]).tobytes() for i in range(self.size)]
 
     def _edge(self, inner: np.ndarray, made: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """The parts along one edge of each token, outermost first, and the merge that uses each up."""
@@ -143,20 +148,21 @@ class SpeculativeBpe:
                     ranks[i] = get(ids[i] * size + ids[i + 1], NEVER)
             return ids
         after, before = [*range(1, len(ids)), -1], [*range(-1, len(ids) - 1)]
-        heap = [(self.rank[p][0], i, *p) for i, p in enumerate(zip(ids, ids[1:], strict=False)) if p in self.rank]
+        rank = lambda a, b: self.flat.get(a * self.size + b, NEVER)
+        heap = [(r, i, a, b) for i, (a, b) in enumerate(zip(ids, ids[1:], strict=False)) if (r := rank(a, b)) < NEVER]
         heapq.heapify(heap)
         while heap:
-            _, i, a, b = heapq.heappop(heap)
+            r, i, a, b = heapq.heappop(heap)
             j = after[i] if ids[i] == a else -1
             if j < 0 or ids[j] != b:
                 continue
-            ids[i], ids[j] = self.rank[a, b][1], -1
+            ids[i], ids[j] = self.whole[r], -1
             after[i] = after[j]
             if after[i] >= 0:
                 before[after[i]] = i
             for x, y in ((before[i], i), (i, after[i])):
-                if x >= 0 and y >= 0 and (ids[x], ids[y]) in self.rank:
-                    heapq.heappush(heap, (self.rank[ids[x], ids[y]][0], x, ids[x], ids[y]))
+                if x >= 0 and y >= 0 and (r := rank(ids[x], ids[y])) < NEVER:
+                    heapq.heappush(heap, (r, x, ids[x], ids[y]))
         return [i for i in ids if i >= 0]
 
     def words(self, words: list[bytes]) -> list[list[int]]:
@@ -166,19 +172,22 @@ class SpeculativeBpe:
         ids = np.fromiter((i for f in found for i in f), np.int64, int(sizes.sum()))
         owner = np.repeat(np.arange(len(found)), sizes)
         bad = np.zeros(len(found), bool)
-        for token in set(ids.tolist()) - self.sound - self.unsound:
-            (self.sound if self.exact(self.bytes_of[token]) == [token] else self.unsound).add(token)
-        if self.unsound:
-            bad[owner[np.isin(ids, list(self.unsound))]] = True
+        for token in np.unique(ids[self.sound[ids] == 0]).tolist():
+            self.sound[token] = 1 if self.exact(self.bytes_of[token]) == [token] else 2
+        bad[owner[self.sound[ids] == 2]] = True
         inside = np.flatnonzero(owner[:-1] == owner[1:])
         if len(inside):
             pairs, where = np.unique(ids[inside] * self.size + ids[inside + 1], return_inverse=True)
-            new = np.array([p for p in pairs.tolist() if p not in self.checked], np.int64)
+            place = np.searchsorted(self.checked, pairs)
+            known = np.zeros(len(pairs), bool)
+            if len(self.checked):
+                known = self.checked[np.minimum(place, len(self.checked) - 1)] == pairs
+            new, good = pairs[~known], np.zeros(len(pairs), bool)
+            good[known], good[~known] = self.good[place[known]], self.compatible(new // self.size, new % self.size)
             if len(self.checked) + len(new) > 2 * CACHE_ENTRIES:
-                self.checked.clear()
-                new = pairs
-            self.checked.update(zip(new.tolist(), self.compatible(new // self.size, new % self.size).tolist(), strict=True))
-            good = np.fromiter((self.checked[p] for p in pairs.tolist()), bool, len(pairs))
+                self.checked, self.good = pairs, good
+            else:
+                self.checked, self.good = np.insert(self.checked, place[~known], new), np.insert(self.good, place[~known], good[~known])
             bad[owner[inside[~good[where]]]] = True
         for i in np.flatnonzero(bad).tolist():
             found[i] = self.exact(words[i])
@@ -198,6 +207,10 @@ class SpeculativeBpe:
         ids = dict(zip(distinct, self.words(distinct), strict=True))
         return [[i for p in ps for i in ids[p]] for ps in parts]
 
+    def packs(self, units: list[str]) -> list[bytes]:
+        """Ids of units as 32-bit numbers one after another."""
+        return [self.packed[ids[0]] if len(ids) == 1 else array("i", ids).tobytes() for ids in self.units(units)]
+
     def decode(self, ids: list[int]) -> bytes:
         """The bytes that the ids stand for, unpaired ones not yet replaced."""
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -216,6 +229,8 @@ class SpeculativeBpe:
 def codec(path: str) -> SpeculativeBpe:
     if path not in _worker:
         _worker[path] = SpeculativeBpe(path)
+        # The parsed file is several times as large as what stays of it.
+        release()
     return _worker[path]
 
 
@@ -234,32 +249,36 @@ def encode_decode(df: DataFrame, path: str, text: str = "text", keep_ids: bool =
 
     def work(rows):
         bpe = codec(path)
-        cache: dict[str, tuple[int, str, bytes]] = _worker.setdefault(("cache", path), {})
+        cache: dict[str, bytes] = _worker.setdefault(("cache", path), {})
         for batch in rows:
             parts = [bpe.split(t.decode("utf-8", "replace")) for t in binaries(batch, text)]
             seen = set().union(*parts)
             missing = [u for u in seen if u not in cache and u not in bpe.special]
-            found = {u: (1, str(i), u.encode()) for u, i in bpe.special.items()}
+            found = {u: bpe.packed[i] for u, i in bpe.special.items()}
             found |= {u: cache[u] for u in seen if u in cache}
             if len(cache) + len(missing) > CACHE_ENTRIES:
                 cache.clear()
                 cache.update(found)
-            for u, ids in zip(missing, bpe.units(missing), strict=True):
-                found[u] = (len(ids), ",".join([bpe.digits[i] for i in ids]), bpe.decode(ids))
+            found.update(zip(missing, bpe.packs(missing), strict=True))
             cache.update((u, found[u]) for u in missing if len(u) <= CACHE_LENGTH and len(cache) < CACHE_ENTRIES)
+            del seen, missing
             counts, coded, decoded, listed, back = [], [], [], [], []
-            for units in parts:
-                got = [found[u] for u in units]
-                ids, out = ",".join([g[1] for g in got]), b"".join([g[2] for g in got])
-                out = out.decode("utf-8", "replace").encode()
-                counts.append(sum([g[0] for g in got]))
-                coded.append(hashlib.sha256(ids.encode()).hexdigest())
+            for i, units in enumerate(parts):
+                packed = b"".join([found[u] for u in units])
+                parts[i] = None
+                ids = array("i", packed).tolist()
+                out = bpe.decode(ids).decode("utf-8", "replace").encode()
+                counts.append(len(ids))
+                coded.append(hashlib.sha256(",".join([bpe.digits[i] for i in ids]).encode()).hexdigest())
                 decoded.append(hashlib.sha256(out).hexdigest())
                 if keep_ids:
-                    listed.append([int(i) for i in ids.split(",")] if ids else [])
-                    back.append(out.decode())
+                    listed.append(packed)
+                    back.append(out)
             arrays = [pa.array(counts, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())]
-            yield arrays + ([pa.array(listed, pa.list_(pa.int32())), pa.array(back, pa.string())] if keep_ids else [])
+            if keep_ids:
+                ends = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+                arrays += [pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(listed), np.int32))), pa.array(back, pa.string())]
+            yield arrays
         _worker.clear()
 
     return carry(df, new, work, by=text)

@@ -5,6 +5,8 @@ import hashlib
 import math
 import random
 import time
+import tracemalloc
+import types
 import zlib
 
 import numpy as np
@@ -12,6 +14,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -140,6 +143,27 @@ def test_bpe_units_are_apart():
         assert ids == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_bpe_worker_holds_little(monkeypatch):
+    rng, path, held = random.Random(5), public_tokenizers.path("byte_bpe_50k.json"), {}
+    monkeypatch.setattr(bpe, "carry", lambda df, new, work, by: held.update(work=work))
+    monkeypatch.setattr(bpe, "_worker", {})
+    bpe.encode_decode(types.SimpleNamespace(schema={"text": types.SimpleNamespace(dataType=T.StringType())}), path, keep_ids=True)
+    texts = [" ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(2000)) for _ in range(20)]
+    rows = [pa.StructArray.from_arrays([pa.array([t], pa.string())], names=["text"]) for t in texts]
+    tracemalloc.start()
+    try:
+        work = held["work"](iter(rows))
+        found = [next(work) for _ in rows]
+        kept, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    library = Tokenizer.from_file(path)
+    assert [a[3].to_pylist()[0] for a in found] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [a[4].to_pylist()[0] for a in found] == texts
+    # 37 MB; 50 MB with units as texts and tuples, and checked pairs in a dict.
+    assert kept < 42 << 20, (kept, peak)
+
+
 def test_ppm_is_a_distribution_and_base_is_exact(spark, odd, none):
     train = [b"the cat sat on the mat", b"abracadabra abracadabra", b""] * 3
     code, _ = ppm.codes(train)
