@@ -2,8 +2,9 @@
 
 Rows are dealt to a few shards by a hash of their text. Each shard is mined completely at a support lowered
 in proportion to its words: whatever occurs often enough overall does so in one shard at least. Mining counts
-64-bit hashes, words and pairs first, then only those triples whose two pairs are frequent in the shard; a
-collision can only add a candidate. The union of what is frequent somewhere becomes a bitmap of bounded size,
+64-bit hashes, whose last bits are the shard's, words and pairs first, then only those triples whose two pairs are
+frequent in the shard. An occurrence weighs what its shard's share of the words makes of it, so that one bound holds
+everywhere and a key and a weight are all that is shuffled; a collision can only add a candidate. The union of what is frequent somewhere becomes a bitmap of bounded size,
 and one more pass counts all phrases that it lets through, by their words, over all shards. The bitmap's false
 positives are counted too and fall by the support, so the counts are exact whatever its size.
 
@@ -15,7 +16,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
 from decimal import Decimal
 
 import numpy as np
@@ -31,6 +31,8 @@ from fleetpulse.llm.common import bounded_batches, release, small, stored
 SHARDS = 4
 #: Text split at once, tokens of a task counted at once, words numbered at once (21 bits a word, three in a key).
 SLICE, TOKENS, WORDS = 2 << 20, 1 << 23, 1 << 20
+#: Tokens whose phrases are hashed at once, and what an occurrence weighs where a shard has all words.
+STRETCH, WEIGHT = 1 << 17, 1 << 10
 #: Bits of a candidate, and of a bitmap at least and at most; a bitmap travels in blocks.
 SPARE, BITS_LEAST, BITS_MOST, BLOCK = 16, 1 << 16, 1 << 28, 1 << 20
 
@@ -69,45 +71,50 @@ def cuts(text: bytes) -> Iterator[bytes]:
         at = end
 
 
-@dataclass(frozen=True)
-class Grams:
-    """The phrases of one length that end in a stretch of tokens: their numbers, packed, and hashes."""
+def seed(lang: str, size: int) -> np.uint64:
+    return np.uint64(xxhash.xxh3_64_intdigest(lang.encode(), size))
 
-    keys: np.ndarray
-    hashes: np.ndarray
 
+def stretches(ids: np.ndarray, size: int) -> Iterator[list[np.ndarray]]:
+    """All phrases of ``size`` words within pieces, a column of numbers for each word; the first two tokens only lead in."""
+    for at in range(0, len(ids) - 2, STRETCH):
+        part = ids[at:at + STRETCH + 2]
+        columns = [part[2 - k:len(part) - k] for k in range(size - 1, -1, -1)]
+        inside = np.logical_and.reduce([c != 0 for c in columns])
+        yield [c[inside] for c in columns]
+
+
+def hashed(columns: list[np.ndarray], hashes: np.ndarray, lang: str) -> np.ndarray:
+    h = np.full(len(columns[0]), seed(lang, len(columns)))
+    for c in columns:
+        h = mixed(h * _GOLD + hashes[c])
+    return h
 
-def seed(lang: str, size: int) -> np.uint64:
-    return np.uint64(xxhash.xxh3_64_intdigest(lang.encode(), size))
 
+def low_bits(shards: int) -> int:
+    """The bits of a key that hold the shard; the others are those of the hash."""
+    return (1 << (shards - 1).bit_length()) - 1
 
-def grams(ids: np.ndarray, hashes: np.ndarray, size: int, lang: str) -> Grams:
-    """All phrases of ``size`` words within pieces; the first two tokens only lead in."""
-    parts = [ids[2 - k:len(ids) - k] for k in range(size - 1, -1, -1)]
-    inside = np.logical_and.reduce([p != 0 for p in parts])
-    key, h = np.zeros(int(inside.sum()), np.int64), np.full(int(inside.sum()), seed(lang, size))
-    for p in parts:
-        p = p[inside].astype(np.int64)
-        key = (key << 21) | p
-        h = mixed(h * _GOLD + hashes[p])
-    return Grams(key, h)
 
+def cleared(hashes: np.ndarray, shards: int) -> np.ndarray:
+    return hashes & np.uint64(_MASK ^ low_bits(shards))
 
-def token_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, np.ndarray, Words]]:
-    """(language, shard, token numbers with two leading ends, words) in bounded portions of a task's rows."""
+
+def token_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, np.ndarray, Words]]:
+    """(group, token numbers with two leading ends, words) in bounded portions of a task's rows; the text is the last column."""
     words, held, total = Words(), {}, 0
 
     def flush():
         nonlocal words, held, total
-        for (lang, shard), arrays in held.items():
+        for key, arrays in held.items():
             ids = np.concatenate(arrays)
             if len(ids) > 2:
-                yield lang, shard, ids, words
+                yield key, ids, words
         words, held, total = Words(), {}, 0
 
     for batch in batches:
-        for lang, shard, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            group = held.setdefault((lang, shard), [np.zeros(2, np.int32)])
+        for *key, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            group = held.setdefault(tuple(key), [np.zeros(2, np.int32)])
             for part in cuts((text or b"").translate(PIECES)):
                 tokens = part.replace(b".", b" . ").split()
                 group.append(np.fromiter(map(words.__getitem__, tokens), np.int32, len(tokens)))
@@ -117,7 +124,7 @@ def token_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, np
                     tail = np.concatenate(group)[-2:]
                     names = {n: w for w, n in words.items() if n in set(tail.tolist())}
                     yield from flush()
-                    group = held.setdefault((lang, shard), [np.array([words[names[n]] for n in tail.tolist()], np.int32)])
+                    group = held.setdefault(tuple(key), [np.array([words[names[n]] for n in tail.tolist()], np.int32)])
             group.append(np.zeros(2, np.int32))
     yield from flush()
     release()
@@ -176,20 +183,29 @@ def summed(counts: DataFrame, by: list[str], n: str) -> DataFrame:
     return counts.repartition(*by).groupBy(*by).agg(F.sum(n).alias(n))
 
 
-def hashed_counts(rows: DataFrame, sizes: tuple[int, ...], keep: Callable | None = None) -> DataFrame:
-    """``(lang, shard, h, n)`` summed over all tasks; ``keep`` prunes by the tokens of a stretch."""
+def hashed_weights(rows: DataFrame, sizes: DataFrame, lengths: tuple[int, ...], shards: int, keep: Callable | None = None) -> DataFrame:
+    """``(key, weight)`` summed over all tasks: hash and shard of a phrase, and its count over the shard's share of the words.
+
+    Rounded up, so a phrase that is frequent enough weighs at least WEIGHT times the support. ``keep`` prunes by the words.
+    """
+    # As words are counted to the whole text, whole * WEIGHT fits 64 bits, and so does the sum of a key's weights.
+    factor = F.expr(f"{WEIGHT}L * n div greatest(own, 1L) + 1L").alias("factor")
+    weighed = rows.join(sizes, ["lang", "shard"]).select("lang", "shard", factor, "text")
 
     def work(batches):
-        for lang, shard, ids, words in token_runs(batches):
+        for (lang, shard, factor), ids, words in token_runs(batches):
             hashes = np.array(words.hashes, np.uint64)
-            for size in sizes:
-                found = grams(ids, hashes, size, lang).hashes
-                if keep:
-                    found = found[keep(ids, hashes, lang, shard)]
-                h, n = counted(found)
-                yield from small(pa.RecordBatch.from_arrays([pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(h), np.int8)), [lang]).cast(pa.string()), pa.array(np.full(len(h), shard, np.int32)), pa.array(h.view(np.int64)), pa.array(n)], names=["lang", "shard", "h", "n"]))
+            for size in lengths:
+                found = []
+                for columns in stretches(ids, size):
+                    if keep:
+                        some = keep(columns, hashes, lang, shard)
+                        columns = [c[some] for c in columns]
+                    found.append(cleared(hashed(columns, hashes, lang), shards) | np.uint64(shard))
+                key, n = counted(np.concatenate(found))
+                yield from small(pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n * factor)], names=["key", "weight"]))
 
-    return summed(rows.mapInArrow(work, "lang string, shard int, h long, n long"), ["lang", "shard", "h"], "n")
+    return summed(weighed.mapInArrow(work, "key long, weight long"), ["key"], "weight")
 
 
 def shard_words(rows: DataFrame) -> DataFrame:
@@ -207,9 +223,11 @@ def shard_words(rows: DataFrame) -> DataFrame:
     return own.withColumn("n", F.sum("own").over(Window.partitionBy("lang")))
 
 
-def locally_frequent(counts: DataFrame, sizes: DataFrame, support: int) -> DataFrame:
-    """At least the support, lowered in proportion to the shard's share of its language's words."""
-    return counts.join(sizes.withColumnRenamed("n", "whole"), ["lang", "shard"]).where(F.col("n") * F.col("whole") >= F.lit(support) * F.col("own")).select("shard", "h")
+def locally_frequent(weights: DataFrame, support: int, shards: int) -> DataFrame:
+    """``(shard, h)`` with at least the support, lowered in proportion to the shard's share of its language's words."""
+    low = low_bits(shards)
+    key = F.col("key")
+    return weights.where(F.col("weight") >= F.lit(support * WEIGHT)).select(key.bitwiseAND(F.lit(low)).cast("int").alias("shard"), key.bitwiseAND(F.lit(~low)).alias("h"))
 
 
 def frequent(df: DataFrame, support: int, lang: str = "lang", text: str = "text", shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
@@ -217,42 +235,41 @@ def frequent(df: DataFrame, support: int, lang: str = "lang", text: str = "text"
     context = df.sparkSession.sparkContext
     rows = rows_of(df, lang, text, shards)
     sizes = stored(shard_words(rows), "phrase-words")
-    pairs = stored(locally_frequent(hashed_counts(rows, (1, 2)), sizes, support), "phrase-pairs")
+    pairs = stored(locally_frequent(hashed_weights(rows, sizes, (1, 2), shards), support, shards), "phrase-pairs")
     bits, packed = bitmap(pairs)
     near = context.broadcast(packed)
 
-    def both_pairs(ids: np.ndarray, hashes: np.ndarray, language: str, shard: int) -> np.ndarray:
-        """For each triple within a piece whether its two pairs may be frequent in the shard."""
-        first, second, third = (ids[k:len(ids) - 2 + k] for k in range(3))
-        inside = (first != 0) & (second != 0) & (third != 0)
-
-        def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-            h = np.full(len(a), seed(language, 2))
-            for p in (a, b):
-                h = mixed(h * _GOLD + hashes[p])
-            return has(near.value, bits_of(h, shard, bits))
-
-        a, b, c = first[inside], second[inside], third[inside]
-        return pair(a, b) & pair(b, c)
+    def both_pairs(columns: list[np.ndarray], hashes: np.ndarray, language: str, shard: int) -> np.ndarray:
+        """For each triple whether its two pairs may be frequent in the shard."""
+        first, second = (has(near.value, bits_of(cleared(hashed(columns[k:k + 2], hashes, language), shards), shard, bits)) for k in (0, 1))
+        return first & second
 
-    triples = stored(locally_frequent(hashed_counts(rows, (3,), both_pairs), sizes, support), "phrase-triples")
+    triples = stored(locally_frequent(hashed_weights(rows, sizes, (3,), shards, both_pairs), support, shards), "phrase-triples")
     near.destroy()
     candidates = pairs.unionByName(triples).select(F.lit(-1).alias("shard"), "h").distinct()
     all_bits, all_packed = bitmap(candidates)
     union = context.broadcast(all_packed)
 
     def count(batches):
-        for language, _, ids, words in token_runs(batches):
+        for (language, _), ids, words in token_runs(batches):
             hashes = np.array(words.hashes, np.uint64)
             names = pa.array(list(words), pa.binary())
             for size in (1, 2, 3):
-                found = grams(ids, hashes, size, language)
-                keys, n = counted(found.keys[has(union.value, bits_of(found.hashes, -1, all_bits))])
+                found = []
+                for columns in stretches(ids, size):
+                    some = has(union.value, bits_of(cleared(hashed(columns, hashes, language), shards), -1, all_bits))
+                    key = np.zeros(int(some.sum()), np.int64)
+                    for c in columns:
+                        key = (key << 21) | c[some]
+                    found.append(key)
+                keys, n = counted(np.concatenate(found))
                 parts = [names.take(pa.array((keys >> (21 * k)) & ((1 << 21) - 1))) for k in range(size - 1, -1, -1)]
                 phrase = parts[0] if size == 1 else pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.binary()))
                 yield from small(pa.RecordBatch.from_arrays([pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(keys), np.int8)), [language]).cast(pa.string()), pa.array(np.full(len(keys), size, np.int32)), phrase, pa.array(n)], names=["lang", "size", "phrase", "f"]))
 
-    whole = summed(rows.mapInArrow(count, "lang string, size int, phrase binary, f long"), ["lang", "size", "phrase"], "f").where(F.col("f") >= support)
+    # Shards no longer matter: a task names a phrase once and not once a shard.
+    undealt = rows_of(df, lang, text, 1)
+    whole = summed(undealt.mapInArrow(count, "lang string, size int, phrase binary, f long"), ["lang", "size", "phrase"], "f").where(F.col("f") >= support)
     phrases = stored(whole.withColumn("phrase", F.col("phrase").cast("string")), "phrases")
     union.destroy()
     return phrases, sizes.select("lang", "n").distinct()

@@ -119,6 +119,18 @@ def test_phrases_are_the_same_however_rows_are_dealt(spark, monkeypatch, shards,
     assert got == sorted(collocations_by_hand(rows, 10, 12))
 
 
+def test_phrases_shuffle_no_more_than_they_need(spark, monkeypatch):
+    shuffled = []
+    summed = phrases.summed
+    monkeypatch.setattr(phrases, "summed", lambda counts, by, n: shuffled.append((counts.dtypes, by, counts.count())) or summed(counts, by, n))
+    df = spark.createDataFrame([("en", f"a b c. {'x ' * i}") for i in range(40)], "lang string, text string").coalesce(1)
+    found, _ = phrases.frequent(df, 10)
+    assert {(r["phrase"], r["f"]) for r in found.collect()} == {("a", 40), ("b", 40), ("c", 40), ("a b", 40), ("b c", 40), ("a b c", 40), ("x", 780), ("x x", 741), ("x x x", 703)}
+    # Mining moves a key and a weight; one task names a phrase once when it counts, not once for each shard.
+    assert [(dtypes, by) for dtypes, by, _ in shuffled[:-1]] == [([("key", "bigint"), ("weight", "bigint")], ["key"])] * 2
+    assert shuffled[-1][1:] == (["lang", "size", "phrase"], 9)
+
+
 def test_phrases_of_odd_rows(odd):
     rows = phrases.collocations(odd).collect()
     assert {(r["lang"], r["phrase"]) for r in rows} == {(lang, p) for lang in ("und", "xx") for p in ("lorem ipsum dolor", "ipsum dolor lorem", "dolor lorem ipsum")} and all(r["n"] >= 9000 for r in rows)
