@@ -311,6 +311,69 @@ def test_chat(spark, sf_dir):
         assert (r["turns_sha256"], r["loss_sha256"], r["loss_chars"]) == (sha(whole[c]), sha(loss[c]), len(loss[c]))
 
 
+def test_chat_writes_every_example(spark, monkeypatch):
+    """Texts of all examples are written, short and long conversations', in parts and stretches of any size, and digests are read from them."""
+    rng = random.Random(6)
+    odd = ["", None, "\\\\", "###", "</turn>", "<</turn>\n### assistant: x", ": ", "ñ漢🙂" * 40, "a: b:", "word " * 300]
+    rows = [(conv, turn, rng.choice(["user", "assistant", "assistant", None, "a:", ": \\"]), rng.choice(odd)) for conv, n in ((1, 1), (2, 7), (3, 120), (None, 30)) for turn in range(n)]
+    rows += [(4, 0, "user", "only"), (4, 1, "user", "users"), (5, 0, "assistant", "x"), (5, 0, "assistant", "x"), (5, None, "user", "first")] + [(6, t, "user", "y" * 500) for t in range(40)] + [(6, 40, "assistant", "z")]
+
+    def masked(t, marks):
+        t = (t or "").replace("\\", "\\\\")
+        for m in marks:
+            t = t.replace(m, "\\" + m)
+        return t
+
+    told, expected = collections.defaultdict(list), {}
+    for r in sorted(rows, key=lambda r: (str(r[0]), -1 if r[1] is None else r[1])):
+        told[r[0]].append(r)
+    for conv, turns in told.items():
+        text = ""
+        for k, (_, _, role, said) in enumerate(turns):
+            body = masked(said, ["###", "</turn>"])
+            text += f"### {masked(role, ['###', '</turn>', ': '])}: {body}</turn>\n"
+            if role == "assistant":
+                expected[conv, k] = (text, text[len(text) - 8 - len(body):-8])
+            elif k == len(turns) - 1:
+                expected[conv, k] = (text, None)
+    docs = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    kept, digests, keep = {}, [], chat.stored
+
+    def stored(df, label, **options):
+        kept[label] = keep(df, label, **options)
+        return kept[label]
+
+    monkeypatch.setattr(chat, "stored", stored)
+    for part, stretch in ((chat.PART, chat.STRETCH), (1, 20_000), (2000, 1)):
+        monkeypatch.setattr(chat, "PART", part)
+        monkeypatch.setattr(chat, "STRETCH", stretch)
+        pieces = chat.render(docs)
+        shown = chat.examples(pieces)
+        assert shown.count() == len(expected)
+        digests.append({r["conv_id"]: r for r in chat.read_back(pieces, shown).collect()})
+        found = collections.defaultdict(list)
+        for r in kept["chat-examples"].collect():
+            found[r["conv_id"], r["last"]].append(r)
+        assert found.keys() == expected.keys()
+        for key, parts in found.items():
+            parts.sort(key=lambda r: r["part"])
+            text = "".join(r["text"] for r in parts)
+            start, size = parts[0]["loss_start"], parts[0]["loss_chars"]
+            assert [r["part"] for r in parts] == list(range(len(parts))) and (part > 1 or len(parts) == key[1] + 1)
+            assert [r["at"] for r in parts] == [sum(len(p["text"]) for p in parts[:k]) for k in range(len(parts))]
+            assert (text, None if start is None else text[start:start + size]) == expected[key]
+        if part == chat.PART:
+            assert {(r["conv_id"], r["last"]): r["text"] for r in chat.materialise(shown, pieces).collect()} == {k: t for k, (t, _) in expected.items()}
+    assert all(d == digests[0] for d in digests) and len(digests[0]) == len(told)
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    for r in digests[0].values():
+        turns = told[r["conv_id"]]
+        losses = [t or "" for _, _, role, t in turns if role == "assistant"]
+        assert (r["n_turns"], r["turns_sha256"]) == (len(turns), sha("".join(f"{role or ''}\n{t or ''}\n" for _, _, role, t in turns)))
+        assert (r["loss_chars"], r["loss_sha256"]) == (sum(map(len, losses)), sha("".join(losses)))
+        assert r["formatted_chars"] == sum(len(t) for (conv, _), (t, _) in expected.items() if conv == r["conv_id"])
+
+
 def test_near_duplicates(spark, sf_dir, docs, odd, none):
     rows = {r["doc_id"]: r["class_id"] for r in QUERIES["op7_near_duplicates"](spark, sf_dir).collect()}
     sets = {i: {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} for i, t in docs.items() if (w := plain_words(t.encode()))}
